@@ -1 +1,385 @@
+"""Candidates, manifests, schema drift, and loading landed files once."""
 
+from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tideline.functions import period_of
+from tideline.operators.aggregate import schema_shapes
+from tideline.operators.ingest import committed, copy_into, create_like, latest_batches, reset
+from tideline.operators.manifest import from_json_lines, to_json_lines, update_manifest
+from tideline.operators.quality import verify_load
+from tideline.queries.feeds import table
+from tideline.queries.incremental import new_table
+from tideline.queries.registry import query
+from tideline.session import workspace
+from tideline.sources.candidates import candidate_window, classify_candidates, to_fetch
+from tideline.sources.drift import read_evolving, schema_drift, schema_fingerprints
+from tideline.sources.files import list_files, scan_parquet, size_mismatches, with_lineage
+from tideline.streaming import stream_copy_into
+
+LOADED_AT = datetime(2002, 1, 1)
+LINES = (
+    "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax "
+    "l_returnflag l_linestatus l_shipdate"
+).split()
+_LINES_SQL = f"SELECT {', '.join(LINES)}, strftime(l_shipdate, '%Y-%m') AS period FROM lineitem"
+
+
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").withColumn("period", period_of(F.col("l_shipdate")))
+
+
+def land(df: DataFrame, folder: str, *keys: str, mode: str = "append") -> None:
+    """Write rows as landed files, one folder per key value; big values get several files."""
+    df.hint("rebalance", *keys).write.mode(mode).partitionBy(*keys).parquet(folder)
+
+
+# ---------------------------------------------------------------- candidates and manifest
+
+_WINDOW_SQL = """
+    WITH runs AS (
+      SELECT o_orderpriority AS dataset, date_trunc('month', max(o_orderdate)) - INTERVAL 2 MONTH AS anchor
+      FROM orders GROUP BY o_orderpriority
+    ), months AS (
+      SELECT dataset, strftime(anchor - to_months(CAST(i AS INTEGER)), '%Y-%m') AS period FROM runs, range(0, 8) r(i)
+    )
+    SELECT dataset || '/' || period AS key, dataset, period, dataset || '_tripdata_' || period || '.parquet' AS filename
+    FROM months
+    """
+
+
+@query(_WINDOW_SQL)
+def candidates_per_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The look-back window of every dataset, each anchored at its own newest order."""
+    orders = table(spark, sf_dir, "orders")
+    runs = orders.groupBy(F.col("o_orderpriority").alias("dataset")).agg(F.max("o_orderdate").cast("date").alias("run_date"))
+    return candidate_window(runs)
+
+
+_STATE_SQL = """
+    feeds AS (
+      SELECT CASE l_linestatus WHEN 'F' THEN 'yellow' ELSE 'green' END AS dataset,
+             strftime(l_shipdate, '%Y-%m') AS period, l_orderkey, l_linenumber, l_returnflag
+      FROM lineitem
+    ),
+    listing AS (
+      SELECT dataset || '/' || period AS key, dataset, period,
+             md5(count(*) || '|' || sum(l_orderkey) || '|' || sum(l_linenumber)) AS etag, count(*) AS content_length
+      FROM feeds GROUP BY dataset, period
+    ),
+    manifest AS (
+      SELECT dataset || '/' || period AS key, dataset, period,
+             md5(count(*) || '|' || sum(l_orderkey) || '|' || sum(l_linenumber)) AS etag, count(*) AS content_length
+      FROM feeds WHERE period <= '2001-07' AND (period < '2001-05' OR l_returnflag <> 'R') GROUP BY dataset, period
+    ),
+    anchor AS (SELECT date_trunc('month', max(l_shipdate)) + INTERVAL 3 MONTH AS a FROM lineitem),
+    candidates AS (
+      SELECT d AS dataset, strftime(a - to_months(CAST(i AS INTEGER)), '%Y-%m') AS period
+      FROM anchor, range(0, 12) r(i), (VALUES ('yellow'), ('green')) v(d)
+    ),
+    classified AS (
+      SELECT c.dataset || '/' || c.period AS key, c.dataset, c.period,
+             c.dataset || '_tripdata_' || c.period || '.parquet' AS filename, l.etag, l.content_length,
+             m.etag AS prior_etag,
+             CASE WHEN l.etag IS NULL THEN 'unpublished' WHEN m.etag = l.etag THEN 'unchanged'
+                  WHEN m.etag IS NOT NULL THEN 'restated' ELSE 'new' END AS status
+      FROM candidates c LEFT JOIN listing l ON c.dataset || '/' || c.period = l.key
+      LEFT JOIN manifest m ON c.dataset || '/' || c.period = m.key
+    )"""
+
+
+def _state(spark: SparkSession, sf_dir: str, rows: Column) -> DataFrame:
+    """One entry per dataset and period, its etag made from the rows it holds."""
+    feed = F.when(F.col("l_linestatus") == "F", "yellow").otherwise("green").alias("dataset")
+    grouped = lines(spark, sf_dir).where(rows).groupBy(feed, "period")
+    counts = grouped.agg(
+        F.count(F.lit(1)).alias("content_length"), F.sum("l_orderkey").alias("a"), F.sum("l_linenumber").alias("b")
+    )
+    etag = F.md5(F.concat_ws("|", "content_length", "a", "b"))
+    return counts.select(F.concat_ws("/", "dataset", "period").alias("key"), "dataset", "period", etag.alias("etag"), "content_length")
+
+
+def _listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _state(spark, sf_dir, F.lit(True))
+
+
+def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What an earlier run took: later months were shorter then, the last ones absent."""
+    earlier = (F.col("period") < "2001-05") | (F.col("l_returnflag") != "R")
+    return _state(spark, sf_dir, (F.col("period") <= "2001-07") & earlier)
+
+
+def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    newest = table(spark, sf_dir, "lineitem").agg(F.max("l_shipdate").cast("date").alias("newest"))
+    runs = newest.select(F.add_months("newest", 5).alias("run_date"))
+    candidates = candidate_window(runs, ["yellow", "green"], lookback_months=12)
+    return classify_candidates(candidates, _listing(spark, sf_dir), _manifest(spark, sf_dir))
+
+
+@query(f"WITH {_STATE_SQL} SELECT * FROM classified")
+def candidate_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _classified(spark, sf_dir)
+
+
+@query(f"WITH {_STATE_SQL} SELECT key, filename, status FROM classified WHERE status IN ('new', 'restated')")
+def files_to_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return to_fetch(_classified(spark, sf_dir)).select("key", "filename", "status")
+
+
+@query(
+    f"""
+    WITH {_STATE_SQL}, results AS (
+      SELECT l.* FROM listing l JOIN classified c USING (key) WHERE status IN ('new', 'restated')
+    )
+    SELECT * FROM results UNION ALL SELECT * FROM manifest WHERE key NOT IN (SELECT key FROM results)
+    """
+)
+def manifest_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fetched files enter the manifest, which goes out as JSON and comes back."""
+    fetched = to_fetch(_classified(spark, sf_dir)).select("key")
+    results = _listing(spark, sf_dir).join(fetched, "key", "left_semi")
+    updated = update_manifest(_manifest(spark, sf_dir), results)
+    schema = "key string, dataset string, period string, etag string, content_length bigint"
+    return from_json_lines(to_json_lines(updated), schema)
+
+
+@query(
+    f"""
+    WITH {_STATE_SQL}
+    SELECT l.key, l.content_length AS length, m.content_length AS expected_length
+    FROM listing l JOIN manifest m USING (key)
+    WHERE l.period <> '2001-06' AND l.content_length <> m.content_length
+    """
+)
+def size_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files longer or shorter than noted; the length of one month is unknown and not checked."""
+    files = _listing(spark, sf_dir).select("key", F.col("content_length").alias("length"))
+    noted = F.when(F.col("period") == "2001-06", 0).otherwise(F.col("content_length"))
+    expected = _manifest(spark, sf_dir).select("key", noted.alias("length"))
+    return size_mismatches(files, expected, "key")
+
+
+# ----------------------------------------------------------------------- schemas of files
+
+_TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+).split()
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS dataset, string_agg(column_name, ',' ORDER BY column_name) AS columns, "
+        f"substr(sha256(string_agg(column_name, ',' ORDER BY column_name)), 1, 16) AS schema_hash FROM (DESCRIBE {name})"
+        for name in _TABLES
+    )
+)
+def schema_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every given table's file."""
+    prints = schema_fingerprints(list_files(spark, sf_dir, "*.parquet"))
+    return prints.select(
+        F.regexp_extract("path", r"([^/]+)\.parquet$", 1).alias("dataset"),
+        F.concat_ws(",", "columns").alias("columns"),
+        "schema_hash",
+    )
+
+
+_OLD = ["l_linenumber", "l_orderkey", "l_quantity"]
+_NEW = sorted([*_OLD, "l_tax"])
+
+
+def _landed_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of landed files: from 2001 on, the yellow feed's files have one column more."""
+    folder = workspace(spark, "shapes")
+    feed = F.when(F.col("l_linestatus") == "F", "yellow").otherwise("green").alias("dataset")
+    rows = lines(spark, sf_dir).select(feed, "period", *_NEW)
+    grown = (F.col("dataset") == "yellow") & (F.col("period") >= "2001-01")
+    land(rows.where(~grown).drop("l_tax"), folder, "dataset", "period")
+    land(rows.where(grown), folder, "dataset", "period")
+    prints = schema_fingerprints(list_files(spark, folder, "*.parquet"))
+    return prints.select(
+        F.regexp_extract("path", "/dataset=([^/]+)/", 1).alias("dataset"),
+        F.regexp_extract("path", "/period=([^/]+)/", 1).alias("period"),
+        F.concat_ws(",", "columns").alias("columns"),
+        "schema_hash",
+    ).distinct()
+
+
+@query(
+    f"""
+    SELECT DISTINCT 'yellow' AS dataset, strftime(l_shipdate, '%Y-%m') AS period, '{",".join(_NEW)}' AS columns,
+           substr(sha256('{",".join(_NEW)}'), 1, 16) AS schema_hash
+    FROM lineitem WHERE l_linestatus = 'F' AND l_shipdate >= TIMESTAMP '2001-01-01'
+    """
+)
+def schema_drift_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with a shape their dataset never had before 2001."""
+    prints = _landed_shapes(spark, sf_dir)
+    return schema_drift(prints.where("period >= '2001-01'"), prints.where("period < '2001-01'"))
+
+
+@query(
+    f"""
+    WITH shapes AS (
+      SELECT DISTINCT CASE l_linestatus WHEN 'F' THEN 'yellow' ELSE 'green' END AS dataset,
+             substr(sha256(CASE WHEN l_linestatus = 'F' AND l_shipdate >= TIMESTAMP '2001-01-01'
+                                THEN '{",".join(_NEW)}' ELSE '{",".join(_OLD)}' END), 1, 16) AS h
+      FROM lineitem
+    )
+    SELECT dataset, string_agg(h, ',' ORDER BY h) AS schema_hashes FROM shapes GROUP BY dataset
+    """
+)
+def schema_shapes_per_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shapes = schema_shapes(_landed_shapes(spark, sf_dir))
+    return shapes.select("dataset", F.concat_ws(",", "schema_hashes").alias("schema_hashes"))
+
+
+_GROWN_SQL = """
+    SELECT l_orderkey, l_partkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_quantity,
+           CASE WHEN l_shipdate >= TIMESTAMP '1999-01-01' THEN l_tax END AS l_tax, strftime(l_shipdate, '%Y-%m') AS period
+    FROM lineitem
+    """
+_GROWN = ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_tax", "period"]
+
+
+def _land_generation(spark: SparkSession, sf_dir: str, folder: str, new: bool) -> None:
+    """Old files lack a column and have a narrower integer."""
+    rows = lines(spark, sf_dir).select(*_GROWN)
+    if new:
+        rows = rows.where("period >= '1999-01'").withColumn("l_linenumber", F.col("l_linenumber").cast("bigint"))
+    else:
+        rows = rows.where("period < '1999-01'").drop("l_tax")
+    land(rows, folder, "period")
+
+
+@query(_GROWN_SQL)
+def evolving_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of both generations read by one scan with a schema that fits them all."""
+    folder = workspace(spark, "evolving")
+    for new in (False, True):
+        _land_generation(spark, sf_dir, folder, new)
+    return read_evolving(spark, list_files(spark, folder, "*.parquet"), folder)
+
+
+@query(_GROWN_SQL)
+def copy_into_evolving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The new generation arrives after the old one was loaded: the table gains a column."""
+    folder, raw = workspace(spark, "landing"), new_table(spark, "evolving")
+    for new in (False, True):
+        _land_generation(spark, sf_dir, folder, new)
+        copy_into(spark, raw, folder, loaded_at=LOADED_AT, actor="loader")
+    return committed(spark, raw).select(*_GROWN).withColumn("l_linenumber", F.col("l_linenumber").cast("bigint"))
+
+
+# ------------------------------------------------------------------------------ ingest once
+
+
+@query(
+    """
+    SELECT strftime(l_shipdate, '%Y-%m') AS period, count(*) AS row_count, count(*) AS with_file, count(*) AS with_time,
+           'loader' AS loaded_by
+    FROM lineitem GROUP BY 1
+    """
+)
+def scan_with_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed files scanned with the period from their folder and lineage on every row."""
+    folder = workspace(spark, "lineage")
+    land(lines(spark, sf_dir), folder, "period")
+    rows = with_lineage(scan_parquet(spark, folder), LOADED_AT, "loader")
+    return rows.groupBy("period").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count("_loaded_from").alias("with_file"),
+        F.count("_source_modified_at").alias("with_time"),
+        F.min("_loaded_by").alias("loaded_by"),
+    )
+
+
+@query(_LINES_SQL)
+def copy_into_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Old months are landed and loaded, new months too, then a third load finds nothing."""
+    folder, raw = workspace(spark, "landing"), new_table(spark, "ingest")
+    for part in ("period < '2000-01'", "period >= '2000-01'"):
+        land(lines(spark, sf_dir).where(part), folder, "period")
+        copy_into(spark, raw, folder, loaded_at=LOADED_AT, actor="loader")
+    again = copy_into(spark, raw, folder, loaded_at=LOADED_AT, actor="loader")
+    if again.files_loaded:
+        raise AssertionError(f"{again.files_loaded} files were loaded twice")
+    return committed(spark, raw).select(*LINES, "period")
+
+
+@query(
+    f"""
+    SELECT {", ".join(c if c != "l_extendedprice" else "l_extendedprice + CASE WHEN l_shipdate >= TIMESTAMP '2001-10-01' "
+    "AND l_shipdate < TIMESTAMP '2001-11-01' THEN 1 ELSE 0 END AS l_extendedprice" for c in LINES)},
+    strftime(l_shipdate, '%Y-%m') AS period FROM lineitem
+    """
+)
+def copy_into_restated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A month is published again with other prices; raw keeps both, the view reads the last."""
+    folder, raw = workspace(spark, "landing"), new_table(spark, "restated")
+    land(lines(spark, sf_dir), folder, "period")
+    copy_into(spark, raw, folder, loaded_at=LOADED_AT, actor="loader")
+    month = lines(spark, sf_dir).where("period = '2001-10'")
+    land(month.withColumn("l_extendedprice", F.col("l_extendedprice") + 1), folder, "period", mode="overwrite")
+    copy_into(spark, raw, folder, loaded_at=LOADED_AT, actor="loader")
+    return latest_batches(spark, raw).select(*LINES, "period")
+
+
+@query(_LINES_SQL)
+def reset_and_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """After a reset the same files load again, once."""
+    folder, raw = workspace(spark, "landing"), new_table(spark, "reset")
+    land(lines(spark, sf_dir), folder, "period")
+    copy_into(spark, raw, folder, loaded_at=LOADED_AT, actor="loader")
+    reset(spark, raw)
+    copy_into(spark, raw, folder, loaded_at=LOADED_AT, actor="loader")
+    return committed(spark, raw).select(*LINES, "period")
+
+
+@query(
+    """
+    SELECT strftime(l_shipdate, '%Y-%m') AS period, count(*) AS row_count FROM lineitem GROUP BY 1 ORDER BY 1 DESC LIMIT 12
+    """
+)
+def load_verification(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, raw = workspace(spark, "landing"), new_table(spark, "verify")
+    land(lines(spark, sf_dir), folder, "period")
+    copy_into(spark, raw, folder, loaded_at=LOADED_AT, actor="loader")
+    return verify_load(spark.table(raw))
+
+
+@query(
+    """
+    SELECT column_name, CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+           WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' END AS column_type, false AS is_partition,
+           CAST(0 AS BIGINT) AS rows_stored
+    FROM (DESCRIBE lineitem)
+    UNION ALL
+    SELECT * FROM (VALUES ('_loaded_from', 'string', false, 0), ('_loaded_at', 'timestamp', false, 0),
+      ('_loaded_by', 'string', false, 0), ('_source_modified_at', 'timestamp', false, 0),
+      ('period', 'string', true, 0), ('_batch_id', 'string', true, 0))
+    """
+)
+def table_like_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns of a table made, without rows, from the schema of the files."""
+    raw = new_table(spark, "like")
+    create_like(spark, raw, table(spark, sf_dir, "lineitem").schema)
+    columns = [(c.name, c.dataType, c.isPartition) for c in spark.catalog.listColumns(raw)]
+    described = spark.createDataFrame(columns, "column_name string, column_type string, is_partition boolean")
+    return described.withColumn("rows_stored", F.lit(spark.table(raw).count()))
+
+
+@query(_LINES_SQL)
+def stream_ingest_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through a file stream, called three times."""
+    folder, target, checkpoint = (workspace(spark, n) for n in ("landing", "streamed", "checkpoint"))
+    keyed = T.StructType([*table(spark, sf_dir, "lineitem").schema, T.StructField("period", T.StringType())])
+    for part in ("period < '2000-01'", "period >= '2000-01'"):
+        land(lines(spark, sf_dir).where(part), folder, "period")
+        stream_copy_into(spark, folder, target, checkpoint, keyed, loaded_at=LOADED_AT, actor="loader")
+    stream_copy_into(spark, folder, target, checkpoint, keyed, loaded_at=LOADED_AT, actor="loader")
+    return spark.read.parquet(target).select(*LINES, "period")

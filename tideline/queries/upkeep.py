@@ -1 +1,85 @@
+"""Compaction, expiry of old versions, and governance metadata."""
 
+from __future__ import annotations
+
+from datetime import datetime, timedelta, timezone
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tideline.operators.governance import apply_governance, describe_governance
+from tideline.operators.maintain import TARGET_BYTES, compact, describe_detail, expire_versions
+from tideline.operators.versions import new_version, replace_contents, stage, switch_partitions, create_table, staged_partitions
+from tideline.queries.feeds import table
+from tideline.queries.incremental import lines, new_table
+from tideline.queries.landing import LINES
+from tideline.queries.landing import lines as periods
+from tideline.queries.registry import query
+
+
+@query(
+    """
+    SELECT strftime(l_shipdate, '%Y-%m') AS source_period, count(*) AS row_count, sum(l_suppkey) AS vendor_sum,
+           true AS few_files
+    FROM lineitem GROUP BY 1
+    """
+)
+def compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months written as several small files each; afterwards one per month, with the same rows."""
+    target = new_table(spark, "compact")
+    rows = lines(spark, sf_dir, 1)
+    version = new_version(spark, target)
+    staged = stage(rows.repartition(4), f"{version}/rows", ["source_period"], spread=False)
+    create_table(spark, target, rows.schema, ["source_period"])
+    switch_partitions(spark, target, version, staged_partitions(spark, staged.path, rows.schema, ["source_period"]))
+    compact(spark, target, "source_period")
+    stored = spark.table(target)
+    counts = stored.groupBy("source_period").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("vendor_id").cast("bigint").alias("vendor_sum")
+    )
+    needed = F.greatest(F.lit(1), F.ceil(F.col("size_in_bytes") / TARGET_BYTES)) + 1
+    detail = describe_detail(stored, ["source_period"])
+    few = detail.select("source_period", (F.col("num_files") <= needed).alias("few_files"))
+    return counts.join(few, "source_period")
+
+
+@query(f"SELECT {', '.join(LINES)}, strftime(l_shipdate, '%Y-%m') AS period FROM lineitem")
+def compaction_unpartitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table in many files, rewritten in the order of its period."""
+    target = new_table(spark, "cluster")
+    replace_contents(spark, target, periods(spark, sf_dir).repartition(16))
+    compact(spark, target, "period")
+    return spark.table(target)
+
+
+@query(
+    """
+    SELECT c_mktsegment AS segment, count(*) AS customers, 0 AS deleted_at_once, 1 AS deleted_later
+    FROM customer GROUP BY c_mktsegment
+    """
+)
+def version_expiry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A replaced version outlives the first clean-up and goes a week later; the rows stay."""
+    target = new_table(spark, "expiry")
+    for _ in range(2):
+        replace_contents(spark, target, table(spark, sf_dir, "customer"))
+    now = datetime.now(timezone.utc)
+    early = expire_versions(spark, target, now=now)
+    late = expire_versions(spark, target, now=now + timedelta(days=8))
+    counts = spark.table(target).groupBy(F.col("c_mktsegment").alias("segment")).agg(F.count(F.lit(1)).alias("customers"))
+    return counts.withColumns({"deleted_at_once": F.lit(len(early)), "deleted_later": F.lit(len(late))})
+
+
+@query(
+    """
+    SELECT 'tag' AS kind, 'dataOwner' AS name, 'ORDERS' AS value
+    UNION ALL SELECT 'tag', 'rowsAtCreation', CAST(count(*) AS VARCHAR) FROM supplier
+    UNION ALL SELECT 'column', 's_suppkey', 'key of the vendor''s record'
+    """
+)
+def governance_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = new_table(spark, "governed")
+    staged = replace_contents(spark, target, table(spark, sf_dir, "supplier"))
+    tags = {"dataOwner": "ORDERS", "rowsAtCreation": str(staged.rows)}
+    apply_governance(spark, target, tags, "Vendors of orders", {"s_suppkey": "key of the vendor's record"})
+    return describe_governance(spark, target)

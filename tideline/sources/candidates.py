@@ -29,8 +29,8 @@ def candidate_window(
     if datasets is not None:
         runs = runs.withColumn("dataset", F.explode(F.array(*[F.lit(d) for d in datasets])))
     months = months_back(month_anchor(F.col("run_date"), lag_months), lookback_months)
-    rows = runs.select("dataset", period_of(F.explode(months)).alias("period"))
-    return rows.select(
+    rows = runs.select("dataset", F.explode(months).alias("month"))
+    return rows.select("dataset", period_of(F.col("month")).alias("period")).select(
         F.concat_ws("/", "dataset", "period").alias("key"),
         "dataset",
         "period",
