@@ -52,11 +52,13 @@ def schema_differences(schema: T.StructType, declared: dict[str, str]) -> list[s
 
 
 def enforce_contract(df: DataFrame, contract: Contract) -> DataFrame:
-    """Fail on any schema difference; the result has the declared column order."""
+    """Fail on any schema difference; the result has the declared column order and comments."""
     differences = schema_differences(df.schema, contract.types)
     if differences:
         raise SchemaMismatch("; ".join(differences))
-    return df.select(*contract.types)
+    return df.select(
+        *[F.col(c.name).alias(c.name, metadata={"comment": c.comment} if c.comment else {}) for c in contract.columns]
+    )
 
 
 def null_violations(df: DataFrame, contract: Contract) -> DataFrame:

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tideline.frames import small_frame
 from tideline.operators.contract import Contract
+from tideline.operators.versions import partition_columns
 
 
 def _text(value: str) -> str:
@@ -40,8 +42,13 @@ def apply_governance(
 
 
 def apply_contract_governance(spark: SparkSession, table: str, contract: Contract) -> None:
-    """The tags and comments that a contract carries."""
-    comments = {c.name: c.comment for c in contract.columns if c.comment}
+    """The tags and comments that a contract carries.
+
+    Spark sets the comment of a partition column at creation only; `enforce_contract` hands
+    it over with the column.
+    """
+    fixed = partition_columns(spark, table)
+    comments = {c.name: c.comment for c in contract.columns if c.comment and c.name not in fixed}
     apply_governance(spark, table, contract.tags, contract.comment or None, comments)
 
 
@@ -50,7 +57,8 @@ def describe_governance(spark: SparkSession, table: str) -> DataFrame:
     tags = spark.sql(f"SHOW TBLPROPERTIES {table}").select(
         F.lit("tag").alias("kind"), F.col("key").alias("name"), "value"
     )
-    columns = spark.createDataFrame(
+    columns = small_frame(
+        spark,
         [("column", c.name, c.description) for c in spark.catalog.listColumns(table) if c.description],
         "kind string, name string, value string",
     )

@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tideline.frames import small_frame
 from tideline.operators.versions import create_table, drop_partitions, registered_partitions
-from tideline.sources.drift import schema_fingerprints, shapes_of, widen_schemas
+from tideline.sources.drift import schema_fingerprints, shapes_of, widen_schemas, widen_type
 from tideline.sources.files import LINEAGE, list_files, with_lineage
 
 BATCH = "_batch_id"
-_FILES = "path string, modified_at timestamp, length bigint"
+_FILES = "path string, modified_us bigint, length bigint"
 
 
 @dataclass(frozen=True)
@@ -66,24 +67,19 @@ def evolve_table(spark: SparkSession, table: str, incoming: T.StructType) -> lis
     wider integer is stored by checked cast, which fails on overflow; anything else is
     refused.
     """
-    existing = {f.name.lower(): f for f in spark.table(table).schema}
+    existing = {f.name.lower(): f.dataType for f in spark.table(table).schema}
     new = [f for f in incoming if f.name.lower() not in existing]
     for f in incoming:
-        if f.name.lower() in existing:
-            target = existing[f.name.lower()].dataType
-            both_integers = isinstance(f.dataType, T.IntegralType) and isinstance(target, T.IntegralType)
-            if not both_integers and widen_schemas([_single(target), _single(f.dataType)])[0].dataType != target:
-                raise ValueError(f"{table}: {f.name} is {target.simpleString()}, got {f.dataType.simpleString()}")
+        target = existing.get(f.name.lower(), f.dataType)
+        both_integers = isinstance(f.dataType, T.IntegralType) and isinstance(target, T.IntegralType)
+        if not both_integers and widen_type(target, f.dataType) != target:
+            raise ValueError(f"{table}: {f.name} is {target.simpleString()}, got {f.dataType.simpleString()}")
     if new:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
     return [f.name for f in new]
 
 
-def _single(data_type: T.DataType) -> T.StructType:
-    return T.StructType([T.StructField("value", data_type)])
-
-
 def drop_unfinished(spark: SparkSession, table: str) -> list[str]:
     """Remove rows of batches that were written but never completed."""
     names = spark.sql(f"SHOW PARTITIONS {table}")
@@ -118,14 +114,15 @@ def copy_into(
     exists = spark.catalog.tableExists(table)
     if exists:
         drop_unfinished(spark, table)
-    listing = list_files(spark, source_dir, glob)
-    new = listing.join(loaded_files(spark, table), ["path", "modified_at", "length"], "left_anti")
-    new_files = new.collect()
-    skipped = listing.count() - len(new_files)
+    found = Observation()
+    listing = list_files(spark, source_dir, glob).observe(found, F.count(F.lit(1)).alias("files"))
+    listing = listing.select("path", F.unix_micros("modified_at").alias("modified_us"), "length")
+    new_files = listing.join(loaded_files(spark, table), ["path", "modified_us", "length"], "left_anti").collect()
+    skipped = found.get["files"] - len(new_files)
     if not new_files:
         return LoadSummary(None, 0, 0, skipped)
 
-    files = spark.createDataFrame(new_files, _FILES)
+    files = small_frame(spark, new_files, _FILES)
     shapes = shapes_of(schema_fingerprints(files, file_count=len(new_files)))
     schema = widen_schemas(shapes)
     if exists:
@@ -149,13 +146,20 @@ def copy_into(
     ordered.observe(watch, F.count(F.lit(1)).alias("rows")).write.insertInto(table)
     row_count = watch.get["rows"]
 
+    record_batch(spark, table, batch_id, files, len(new_files), row_count)
+    return LoadSummary(batch_id, len(new_files), row_count, skipped)
+
+
+def record_batch(
+    spark: SparkSession, table: str, batch_id: str, files: DataFrame, file_count: int, row_count: int
+) -> None:
+    """List the files of a batch, then complete it: one row, so it is there or it is not."""
     ledger_files, ledger_batches = ledger_tables(table)
     files.withColumn(BATCH, F.lit(batch_id)).write.insertInto(ledger_files)
-    done = spark.range(1).select(
-        F.lit(batch_id), F.current_timestamp(), F.lit(len(new_files)).cast("bigint"), F.lit(row_count).cast("bigint")
+    done = spark.range(1, numPartitions=1).select(
+        F.lit(batch_id), F.current_timestamp(), F.lit(file_count).cast("bigint"), F.lit(row_count).cast("bigint")
     )
     done.write.insertInto(ledger_batches)
-    return LoadSummary(batch_id, len(new_files), row_count, skipped)
 
 
 def committed(spark: SparkSession, table: str) -> DataFrame:

@@ -8,6 +8,7 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tideline.frames import small_frame
 from tideline.operators.versions import (
     PENDING,
     finish_pending,
@@ -68,9 +69,9 @@ def compact(spark: SparkSession, table: str, cluster_by: str, target_bytes: int
         return 0
     rows = df
     if keys:
-        chosen = spark.createDataFrame([tuple(r[k] for k in keys) for r in crowded], df.select(*keys).schema)
+        chosen = small_frame(spark, [tuple(r[k] for k in keys) for r in crowded], df.select(*keys).schema)
         rows = df.where(F.col(keys[0]).isin(sorted({r[keys[0]] for r in crowded}))).join(
-            F.broadcast(chosen), keys, "left_semi"
+            chosen, keys, "left_semi"
         )
     parts = max(1, -(-sum(r.size_in_bytes for r in crowded) // target_bytes))
     version = new_version(spark, table)
@@ -121,17 +122,15 @@ def expire_versions(
     root = versions_folder(spark, table)
     notes = f"{root.rsplit('/', 1)[0]}/_unused/{split_name(table)[1]}"
     unused = sorted(set(_children(spark, root)) - versions_in_use(spark, table))
-    schema = "version string, noted_at timestamp"
+    schema = "version string, noted_at_s bigint"
     noted = {}
     if _children(spark, notes):
-        rows = spark.read.schema(schema).parquet(notes).groupBy("version").agg(
-            F.unix_timestamp(F.min("noted_at")).alias("noted")
-        )
+        rows = spark.read.schema(schema).parquet(notes).groupBy("version").agg(F.min("noted_at_s").alias("noted"))
         noted = {r.version: r.noted for r in rows.collect()}
-    fresh = [(v, now) for v in unused if v not in noted]
+    fresh = [(v, int(now.timestamp())) for v in unused if v not in noted]
     if fresh:
-        spark.createDataFrame(fresh, schema).coalesce(1).write.mode("append").parquet(notes)
-    limit = (now - timedelta(days=retain_days)).timestamp()
+        small_frame(spark, fresh, schema).coalesce(1).write.mode("append").parquet(notes)
+    limit = int((now - timedelta(days=retain_days)).timestamp())
     expired = [v for v in unused if v in noted and noted[v] <= limit]
     for version in expired:
         _delete(spark, f"{root}/{version}")

@@ -16,6 +16,7 @@ from tideline.operators.versions import (
     partition_name,
     registered_partitions,
     replace_contents,
+    require_no_nulls,
     stage,
     staged_partitions,
     switch_partitions,
@@ -114,9 +115,8 @@ def merge_into(
     """
     if not spark.catalog.tableExists(table) or full_refresh:
         rows = dedupe_source(source, key, latest_by) if latest_by else source
-        if not latest_by:
-            _require_unique(rows, key)
-        staged = replace_contents(spark, table, rows, [partition_by], not_null)
+        unique = None if latest_by else lambda written: _require_unique(written, key)
+        staged = replace_contents(spark, table, rows, [partition_by], not_null, unique)
         return MergeResult("full", len(registered_partitions(spark, table)), staged.rows)
 
     finish_pending(spark, table)
@@ -125,9 +125,7 @@ def merge_into(
     version = new_version(spark, table)
     rows = dedupe_source(source, key, latest_by) if latest_by else source
     staged = stage(rows.select(*target.columns), f"{version}/source", (), not_null)
-    broken = {c: n for c, n in staged.nulls.items() if n}
-    if broken:
-        raise ValueError(f"{table}: NULL in columns declared not null: {broken}")
+    require_no_nulls(staged, table)
     fresh = spark.read.schema(target.schema).parquet(staged.path)
     if not latest_by:
         _require_unique(fresh, key)

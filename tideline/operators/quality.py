@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tideline.frames import small_frame
 from tideline.operators.aggregate import more_than_one, rows_per_period
 from tideline.operators.versions import replace_contents
 
@@ -104,40 +105,74 @@ def verify_min_rows(df: DataFrame, minimum: int = 200) -> int:
     return count
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class DataTest:
-    """A named test: failing rows, and from how many of them on it warns or fails."""
+    """A named test: its failing rows, and above how many of them it warns or fails.
+
+    A test of single rows gives its condition as `fails` on `rows`; run_tests counts all
+    such tests of one frame in one pass.  A test over groups gives `failing` itself, with
+    `weight` where one failing row stands for several.
+    """
 
     name: str
-    failing: Callable[[], DataFrame]
+    rows: DataFrame | None = None
+    fails: Column | None = None
+    failing: DataFrame | None = None
+    weight: str | None = None
     warn_if: int | None = None
     error_if: int | None = 0
-    weight: str | None = None
 
-    def count(self, failing: DataFrame) -> int:
-        total = F.coalesce(F.sum(self.weight), F.lit(0)) if self.weight else F.count(F.lit(1))
-        return failing.agg(total.cast("bigint")).first()[0]
+    def failing_rows(self) -> DataFrame:
+        return self.rows.where(self.fails) if self.failing is None else self.failing
+
+
+def not_null_test(name: str, df: DataFrame, column: str, **limits: int) -> DataTest:
+    return DataTest(name, df, F.col(column).isNull(), **limits)
+
+
+def accepted_values_test(name: str, df: DataFrame, column: str, values: Iterable[object], **limits: int) -> DataTest:
+    outside = F.col(column).isNotNull() & ~F.col(column).isin(list(values))
+    return DataTest(name, df, outside, **{"warn_if": 0, **limits})
+
+
+def unique_test(name: str, df: DataFrame, column: str) -> DataTest:
+    return DataTest(name, failing=unique(df, column))
+
+
+def relationships_test(
+    name: str, child: DataFrame, column: str, parent: DataFrame, field: str, warn_if: int = 0, error_if: int = 100
+) -> DataTest:
+    failing = relationships(child, column, parent, field)
+    return DataTest(name, failing=failing, weight="row_count", warn_if=warn_if, error_if=error_if)
 
 
-def store_failures(spark: SparkSession, table: str, failing: DataFrame) -> int:
-    """Keep the failing rows of a test's last run in a table; returns how many there are."""
-    if spark.catalog.tableExists(table) and spark.table(table).schema != failing.schema:
+def store_failures(spark: SparkSession, table: str, failing: DataFrame) -> None:
+    """Keep the failing rows of a test's last run in a table."""
+    if spark.catalog.tableExists(table) and spark.table(table).dtypes != failing.dtypes:
         spark.sql(f"DROP TABLE {table}")
-    return replace_contents(spark, table, failing).rows
+    replace_contents(spark, table, failing)
 
 
 def run_tests(spark: SparkSession, tests: Sequence[DataTest], failures_in: str | None = None) -> DataFrame:
     """Run every test, also after a failure; one row per test.
 
-    `failures_in` names a database that receives the failing rows of each test.
+    `failures_in` names a database that receives the failing rows, a table per test; a
+    test that passes leaves its table empty.
     """
-    results = []
+    failures: dict[str, int] = {}
+    frames = {id(t.rows): t.rows for t in tests if t.failing is None}
+    for frame_id, frame in frames.items():
+        of_frame = [t for t in tests if id(t.rows) == frame_id]
+        counts = frame.agg(*[F.count_if(t.fails).alias(t.name) for t in of_frame]).first()
+        failures.update(counts.asDict())
     for test in tests:
-        failing = test.failing()
-        if failures_in:
+        if test.failing is not None:
+            total = F.coalesce(F.sum(test.weight), F.lit(0)) if test.weight else F.count(F.lit(1))
+            failures[test.name] = test.failing.agg(total.cast("bigint")).first()[0]
+    if failures_in:
+        for test in tests:
             table = f"{failures_in}.{test.name}"
-            store_failures(spark, table, failing)
-            failing = spark.table(table)
-        failures = test.count(failing)
-        results.append((test.name, failures, threshold_status(failures, test.warn_if, test.error_if)))
-    return spark.createDataFrame(results, "test string, failures bigint, status string")
+            if failures[test.name] or spark.catalog.tableExists(table):
+                store_failures(spark, table, test.failing_rows())
+    results = [(t.name, failures[t.name], threshold_status(failures[t.name], t.warn_if, t.error_if)) for t in tests]
+    return small_frame(spark, results, "test string, failures bigint, status string")

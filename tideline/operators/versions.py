@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tideline.frames import small_frame
 from tideline.session import shared_dir
 
 PENDING = "tideline.pending"
@@ -105,10 +106,15 @@ def _clause(partition: str) -> str:
 
 
 def create_table(spark: SparkSession, table: str, schema: T.StructType, partition_by: Sequence[str] = ()) -> None:
-    """Empty managed Parquet table; partition columns go last."""
+    """Empty managed Parquet table; partition columns go last.  Comments of fields are kept."""
+
+    def declared(f: T.StructField) -> str:
+        comment = f.metadata.get("comment", "").replace("\\", "\\\\").replace("'", "\\'")
+        return f"`{f.name}` {f.dataType.simpleString()}" + (f" COMMENT '{comment}'" if comment else "")
+
     ordered = [f for f in schema if f.name not in partition_by]
     ordered += [schema[name] for name in partition_by]
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ordered)
+    columns = ", ".join(map(declared, ordered))
     partitioned = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
     spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {partitioned}")
 
@@ -150,7 +156,7 @@ def switch_partitions(
     `finish_pending` repeats the last step until the property is gone.
     """
     todo = [(p, True) for p in present] + [(p, False) for p in emptied]
-    spark.createDataFrame(todo, "partition string, present boolean").coalesce(1).write.parquet(f"{version}/todo")
+    small_frame(spark, todo, "partition string, present boolean").coalesce(1).write.parquet(f"{version}/todo")
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{PENDING}' = '{version}')")
     finish_pending(spark, table)
 
@@ -167,19 +173,31 @@ def finish_pending(spark: SparkSession, table: str) -> bool:
     return True
 
 
+def require_no_nulls(staged: Staged, table: str) -> None:
+    broken = {c: n for c, n in staged.nulls.items() if n}
+    if broken:
+        raise ValueError(f"{table}: NULL in columns declared not null: {broken}")
+
+
 def replace_contents(
-    spark: SparkSession, table: str, df: DataFrame, partition_by: Sequence[str] = (), not_null: Iterable[str] = ()
+    spark: SparkSession,
+    table: str,
+    df: DataFrame,
+    partition_by: Sequence[str] = (),
+    not_null: Iterable[str] = (),
+    verify: Callable[[DataFrame], None] | None = None,
 ) -> Staged:
     """Give a table new contents as a whole; creates it when it is absent.
 
-    Rows with a NULL in a `not_null` column stop the switch: the old contents stay.
+    A NULL in a `not_null` column stops the switch, and so does `verify`, which gets the
+    rows as written: `df` is computed once, and the old contents stay if it fails.
     """
     partition_by = list(partition_by)
     version = new_version(spark, table)
     staged = stage(df, f"{version}/rows", partition_by, not_null)
-    broken = {c: n for c, n in staged.nulls.items() if n}
-    if broken:
-        raise ValueError(f"{table}: NULL in columns declared not null: {broken}")
+    require_no_nulls(staged, table)
+    if verify:
+        verify(spark.read.schema(df.schema).parquet(staged.path))
     if not spark.catalog.tableExists(table):
         create_table(spark, table, df.schema, partition_by)
     if partition_by:

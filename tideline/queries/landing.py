@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tideline.frames import small_frame
 from tideline.functions import period_of
 from tideline.operators.aggregate import schema_shapes
 from tideline.operators.ingest import committed, copy_into, create_like, latest_batches, reset
@@ -369,7 +370,7 @@ def table_like_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = new_table(spark, "like")
     create_like(spark, raw, table(spark, sf_dir, "lineitem").schema)
     columns = [(c.name, c.dataType, c.isPartition) for c in spark.catalog.listColumns(raw)]
-    described = spark.createDataFrame(columns, "column_name string, column_type string, is_partition boolean")
+    described = small_frame(spark, columns, "column_name string, column_type string, is_partition boolean")
     return described.withColumn("rows_stored", F.lit(spark.table(raw).count()))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tideline.frames import small_frame
 from tideline.functions import surrogate_key
 from tideline.operators import quality
 from tideline.operators.contract import null_violations, schema_differences
@@ -138,7 +139,7 @@ def contract_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     declared = {"l_orderkey": "bigint", "l_linenumber": "bigint", "vendor_name": "string"}
     found = schema_differences(lines.schema, declared)
-    return spark.createDataFrame([(d,) for d in found], "difference string")
+    return small_frame(spark, [(d,) for d in found], "difference string")
 
 
 @query(
@@ -158,10 +159,8 @@ def data_test_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = workspace(spark, "failures")
     database = create_database(spark, f"failures_{folder[-12:]}", folder)
     tests = [
-        quality.DataTest("order_key_present", lambda: quality.not_null(lines, "l_orderkey")),
-        quality.DataTest(
-            "known_flags", lambda: quality.accepted_values(lines, "l_returnflag", ["A", "N"]), 0, 1_000_000_000_000
-        ),
-        quality.DataTest("known_vendors", lambda: dq_relationships(spark, sf_dir), 0, 100, weight="row_count"),
+        quality.not_null_test("order_key_present", lines, "l_orderkey"),
+        quality.accepted_values_test("known_flags", lines, "l_returnflag", ["A", "N"], error_if=1_000_000_000_000),
+        quality.relationships_test("known_vendors", lines, "l_suppkey", vendor_lookup(spark, sf_dir), "vendor_id"),
     ]
     return quality.run_tests(spark, tests, failures_in=database)
