@@ -22,6 +22,22 @@ def observe_keys(df: DataFrame, key: str, moment: str) -> DataFrame:
     )
 
 
+def combine_observations(earlier: DataFrame, later: DataFrame, key: str) -> DataFrame:
+    """Observations of earlier and of newly loaded rows as one.
+
+    With the earlier ones stored, a run aggregates the rows of its new batches only.
+    """
+    return (
+        earlier.unionByName(later)
+        .groupBy(key)
+        .agg(
+            F.min("first_seen_at").alias("first_seen_at"),
+            F.max("last_seen_at").alias("last_seen_at"),
+            F.sum("trip_count").alias("trip_count"),
+        )
+    )
+
+
 def rows_per_period(df: DataFrame, period: str = "period", newest: int | None = 12) -> DataFrame:
     """Row count per period, newest periods first; `newest=None` for all of them."""
     counts = df.groupBy(F.col(period).alias("period")).agg(F.count(F.lit(1)).alias("row_count"))

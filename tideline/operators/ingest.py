@@ -98,6 +98,7 @@ def copy_into(
     loaded_at: datetime | None = None,
     actor: str | None = None,
     glob: str = "*.parquet",
+    modified_after: str | None = None,
 ) -> LoadSummary:
     """Append the files below `source_dir` that no completed batch holds.
 
@@ -109,13 +110,16 @@ def copy_into(
 
     The driver sees names of new files, never rows.  Footers of the new files are read
     in tasks and give one schema that fits them all, so one scan reads every file.
+
+    `modified_after` leaves older files out of the listing, for landing folders with a
+    long past; files that keep an old modification time when copied there need it off.
     """
     _ensure_ledger(spark, table)
     exists = spark.catalog.tableExists(table)
     if exists:
         drop_unfinished(spark, table)
     found = Observation()
-    listing = list_files(spark, source_dir, glob).observe(found, F.count(F.lit(1)).alias("files"))
+    listing = list_files(spark, source_dir, glob, modified_after).observe(found, F.count(F.lit(1)).alias("files"))
     listing = listing.select("path", F.unix_micros("modified_at").alias("modified_us"), "length")
     new_files = listing.join(loaded_files(spark, table), ["path", "modified_us", "length"], "left_anti").collect()
     skipped = found.get["files"] - len(new_files)
@@ -174,14 +178,14 @@ def latest_batches(spark: SparkSession, table: str, within: Sequence[str] = ("pe
     """For each period only the rows of the newest batch that brought it.
 
     For sources that restate a period by replacing its file: raw keeps both versions, and
-    this view reads the last.
+    this view reads the last.  Which batch that is comes from partition names alone.
     """
-    rows = committed(spark, table)
+    names = spark.sql(f"SHOW PARTITIONS {table}")
+    held = names.select(*[F.regexp_extract("partition", f"(?:^|/){c}=([^/]*)", 1).alias(c) for c in (*within, BATCH)])
     when = spark.table(ledger_tables(table)[1]).select(BATCH, "committed_at")
-    held = rows.select(*within, BATCH).distinct().join(when, BATCH)
-    newest = held.groupBy(*within).agg(F.max(F.struct("committed_at", BATCH)).alias("last"))
+    newest = held.join(when, BATCH).groupBy(*within).agg(F.max(F.struct("committed_at", BATCH)).alias("last"))
     chosen = newest.select(*within, F.col(f"last.{BATCH}").alias(BATCH))
-    return rows.join(chosen, [*within, BATCH], "left_semi")
+    return spark.table(table).join(chosen, [*within, BATCH], "left_semi")
 
 
 def reset(spark: SparkSession, table: str, keep_ledger: bool = False) -> None:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tideline.frames import small_frame
 from tideline.operators.versions import (
     PENDING,
+    delete_folder,
     finish_pending,
     get_property,
     new_version,
@@ -76,7 +77,7 @@ def compact(spark: SparkSession, table: str, cluster_by: str, target_bytes: int
     parts = max(1, -(-sum(r.size_in_bytes for r in crowded) // target_bytes))
     version = new_version(spark, table)
     staged = stage(clustered(rows, cluster_by, parts, keys), f"{version}/rows", keys, spread=False)
-    before = rows.count()
+    before = rows.count()  # from file footers
     if staged.rows != before:
         raise RuntimeError(f"{table}: {before} rows became {staged.rows} during compaction")
     if keys:
@@ -95,11 +96,6 @@ def _children(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in system.listStatus(folder)]
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 def versions_in_use(spark: SparkSession, table: str) -> set[str]:
     """Version folders that hold a file of the table, or a publication not yet finished."""
     marker = f"/_versions/{split_name(table)[1]}/"
@@ -133,5 +129,5 @@ def expire_versions(
     limit = int((now - timedelta(days=retain_days)).timestamp())
     expired = [v for v in unused if v in noted and noted[v] <= limit]
     for version in expired:
-        _delete(spark, f"{root}/{version}")
+        delete_folder(spark, f"{root}/{version}")
     return expired

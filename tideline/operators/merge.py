@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tideline.operators.contract import SchemaMismatch, schema_differences
 from tideline.operators.versions import (
+    delete_folder,
     finish_pending,
     new_version,
     partition_columns,
@@ -101,6 +102,7 @@ def merge_into(
     latest_by: Sequence[str] = (),
     not_null: Sequence[str] = (),
     full_refresh: bool = False,
+    by_partition: bool = False,
 ) -> MergeResult:
     """Replace matched keys, insert the others; running it twice equals running it once.
 
@@ -112,11 +114,14 @@ def merge_into(
     2. partitions holding a matched key are found from two columns of the target;
     3. only those and the source's own partitions are rewritten, beside the old ones;
     4. partitions are switched over, and those left empty dropped.
+
+    `by_partition` tells that the source arrives laid out by `partition_by`, as a scan of
+    such a table does: a whole build then writes it as it comes, without a shuffle.
     """
     if not spark.catalog.tableExists(table) or full_refresh:
         rows = dedupe_source(source, key, latest_by) if latest_by else source
         unique = None if latest_by else lambda written: _require_unique(written, key)
-        staged = replace_contents(spark, table, rows, [partition_by], not_null, unique)
+        staged = replace_contents(spark, table, rows, [partition_by], not_null, unique, not by_partition)
         return MergeResult("full", len(registered_partitions(spark, table)), staged.rows)
 
     finish_pending(spark, table)
@@ -124,7 +129,7 @@ def merge_into(
     check_schema_unchanged(target, source)
     version = new_version(spark, table)
     rows = dedupe_source(source, key, latest_by) if latest_by else source
-    staged = stage(rows.select(*target.columns), f"{version}/source", (), not_null)
+    staged = stage(rows.select(*target.columns), new_version(spark, table), (), not_null)
     require_no_nulls(staged, table)
     fresh = spark.read.schema(target.schema).parquet(staged.path)
     if not latest_by:
@@ -133,15 +138,23 @@ def merge_into(
     matched = target.select(key, partition_by).join(fresh.select(key), key, "left_semi").select(partition_by)
     affected = [r[0] for r in matched.union(fresh.select(partition_by)).distinct().collect()]
     if not affected:
+        delete_folder(spark, staged.path)
         return MergeResult("incremental", 0, 0)
     untouched = target.where(F.col(partition_by).isin(affected))
     merged = stage(merge_frames(untouched, fresh, key), f"{version}/rows", [partition_by])
     present = staged_partitions(spark, merged.path, target.schema, [partition_by])
     emptied = sorted({partition_name({partition_by: p}) for p in affected} - set(present))
     switch_partitions(spark, table, version, present, emptied)
+    delete_folder(spark, staged.path)
     return MergeResult("incremental", len(present), merged.rows)
 
 
+def merge_native(table: str, source: DataFrame, key: str) -> None:
+    """The same merge for a catalog whose tables support row-level operations themselves."""
+    condition = F.col(f"{table}.{key}") == F.col(f"source.{key}")
+    source.alias("source").mergeInto(table, condition).whenMatched().updateAll().whenNotMatched().insertAll().merge()
+
+
 def _require_unique(df: DataFrame, key: str) -> None:
     examples = duplicate_keys(df, key).limit(5).collect()
     if examples:

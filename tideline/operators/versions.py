@@ -48,6 +48,11 @@ def new_version(spark: SparkSession, table: str) -> str:
     return f"{versions_folder(spark, table)}/{stamp}-{uuid.uuid4().hex[:8]}"
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
@@ -71,17 +76,21 @@ def stage(
 
     With `spread` the rows of a partition are brought together before the write.  The
     rebalance splits a partition that holds much of the data over several tasks and
-    merges small ones, so files have an even size whatever the distribution.
+    merges small ones, so files have an even size whatever the distribution.  Rows that
+    arrive by partition already (a scan of files laid out so) need no such shuffle.
+
+    Counts are taken after the shuffle, in the tasks that write: a shuffle task repeated
+    for a lost executor would be counted twice.
     """
     not_null = list(not_null)
+    if partition_by and spread:
+        df = df.hint("rebalance", *partition_by)
     watch = Observation()
     counted = df.observe(
         watch,
         F.count(F.lit(1)).alias("rows"),
         *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in not_null],
     )
-    if partition_by and spread:
-        counted = counted.hint("rebalance", *partition_by)
     counted.write.partitionBy(*partition_by).parquet(path)
     seen = watch.get
     return Staged(path, seen["rows"], {c: seen[f"null_{c}"] for c in not_null})
@@ -186,6 +195,7 @@ def replace_contents(
     partition_by: Sequence[str] = (),
     not_null: Iterable[str] = (),
     verify: Callable[[DataFrame], None] | None = None,
+    spread: bool = True,
 ) -> Staged:
     """Give a table new contents as a whole; creates it when it is absent.
 
@@ -194,7 +204,7 @@ def replace_contents(
     """
     partition_by = list(partition_by)
     version = new_version(spark, table)
-    staged = stage(df, f"{version}/rows", partition_by, not_null)
+    staged = stage(df, f"{version}/rows", partition_by, not_null, spread)
     require_no_nulls(staged, table)
     if verify:
         verify(spark.read.schema(df.schema).parquet(staged.path))

@@ -157,7 +157,7 @@ def refresh_trip_fact(
     rows = plan.trip_fact(trips, spark.table(dimension), *code_lists, updated_at, updated_by)
     result = merge_into(
         spark, fact, enforce_contract(rows, plan.TRIP_CONTRACT), "trip_key", "source_period",
-        latest_by=latest_by, not_null=plan.TRIP_CONTRACT.required, full_refresh=full_refresh,
+        latest_by=latest_by, not_null=plan.TRIP_CONTRACT.required, full_refresh=full_refresh, by_partition=not latest_by,
     )
     if result.mode == "full":
         apply_contract_governance(spark, fact, plan.TRIP_CONTRACT)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.functions import duration_minutes, is_sentinel, local_parts
-from tideline.operators.aggregate import observe_keys
+from tideline.operators.aggregate import combine_observations, observe_keys
 from tideline.operators.conform import Field, conform, union_feeds
 from tideline.operators.contract import Contract, ContractColumn
 from tideline.operators.lookup import current_versions, lookup_with_fallback
@@ -123,9 +123,14 @@ def zone_reference(zones: DataFrame, sentinels: tuple[int, ...] = UNKNOWN_ZONES)
     )
 
 
-def observed_vendors(trips: DataFrame, vendors: DataFrame) -> DataFrame:
-    """Every vendor met in trips, named by the lookup or by a placeholder."""
+def observed_vendors(trips: DataFrame, vendors: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
+    """Every vendor met in trips, named by the lookup or by a placeholder.
+
+    With the stored observations of `earlier` runs, `trips` need only hold what is new.
+    """
     observed = observe_keys(trips.select("vendor_id", "pickup_at"), "vendor_id", "pickup_at")
+    if earlier is not None:
+        observed = combine_observations(earlier.select(*observed.columns), observed, "vendor_id")
     named = lookup_with_fallback(
         observed, vendors, "vendor_id", "vendor_id", "vendor_name", "vendor_name", "vendor", flag="is_unmapped"
     )

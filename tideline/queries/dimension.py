@@ -84,8 +84,7 @@ def stored_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{database}.vendor")
 
 
-@query(
-    f"""
+_OBSERVED_KEYS_SQL = f"""
     WITH {TRIPS_SQL}, {VENDORS_SQL}
     SELECT t.vendor_id, coalesce(any_value(vendor_name), 'Unknown vendor (' || t.vendor_id || ')') AS vendor_name,
            any_value(vendor_name) IS NULL AS is_unmapped, min(pickup_at) AS first_seen_at,
@@ -93,12 +92,24 @@ def stored_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM trips t LEFT JOIN vendors v ON t.vendor_id = v.vendor_id
     WHERE t.vendor_id IS NOT NULL GROUP BY t.vendor_id
     """
-)
+
+
+@query(_OBSERVED_KEYS_SQL)
 def observed_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips = plan.all_trips(*raw_feeds(spark, sf_dir, locations=False))
     return plan.observed_vendors(trips, vendor_lookup(spark, sf_dir))
 
 
+@query(_OBSERVED_KEYS_SQL)
+def observed_keys_in_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The observations of the months before 2000 are stored; the later months are added to them."""
+    trips = plan.all_trips(*raw_feeds(spark, sf_dir, locations=False))
+    vendors = vendor_lookup(spark, sf_dir)
+    folder = workspace(spark, "observed")
+    plan.observed_vendors(trips.where("source_period < '2000-01'"), vendors).write.parquet(folder)
+    return plan.observed_vendors(trips.where("source_period >= '2000-01'"), vendors, spark.read.parquet(folder))
+
+
 @query(
     f"""
     WITH {VENDORS_SQL}

@@ -29,12 +29,13 @@ def raw_feed(spark: SparkSession, sf_dir: str, status: str, locations: bool = Tr
     """Raw rows of one feed.  `locations=False` leaves out two joins when zones are not used."""
     lines = table(spark, sf_dir, "lineitem").where(F.col("l_linestatus") == status)
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    if locations:  # customers meet the orders, which are fewer and narrower than the lines
+        customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+        orders = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
     rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
     if locations:
         suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-        customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
         rows = rows.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"), "left")
-        rows = rows.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
     else:
         rows = rows.withColumns({"s_nationkey": F.lit(None).cast("int"), "c_nationkey": F.lit(None).cast("int")})
     prefix, feed = ("tpep", "yellow") if status == "F" else ("lpep", "green")

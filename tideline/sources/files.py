@@ -16,9 +16,14 @@ LINEAGE = (
 )
 
 
-def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """path, modified_at and length of every file below `path`; no content is read."""
+def list_files(spark: SparkSession, path: str, glob: str = "*", modified_after: str | None = None) -> DataFrame:
+    """path, modified_at and length of every file below `path`; no content is read.
+
+    `modified_after` (`yyyy-MM-ddTHH:mm:ss`) skips older files while listing.
+    """
     reader = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
+    if modified_after:
+        reader = reader.option("modifiedAfter", modified_after)
     return reader.load(path).select("path", F.col("modificationTime").alias("modified_at"), "length")
 
 
