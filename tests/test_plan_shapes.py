@@ -44,3 +44,24 @@ def test_a_large_lookup_is_not_broadcast(spark, stored_feeds):
     big = spark.range(0, 50_000_000).selectExpr("id AS code", "CAST(id AS STRING) AS name")
     text = physical(left_lookup(stored_feeds[0], big, "vendorid", "code", {"name": "name"}))
     assert "SortMergeJoin" in text
+
+
+def test_a_hot_partition_is_written_by_several_tasks(spark, tmp_path):
+    from tideline.operators.versions import stage
+
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "64KB")
+    try:
+        df = spark.range(200_000, numPartitions=8).selectExpr("id", "IF(id % 3 = 0, CAST(id % 50 AS STRING), 'hot') AS period")
+        staged = stage(df, str(tmp_path / "rows"), ["period"])
+    finally:
+        spark.conf.set(key, before)
+    assert staged.rows == 200_000
+    assert len(list((tmp_path / "rows" / "period=hot").glob("*.parquet"))) > 1
+
+
+def test_merge_reads_only_key_and_partition_to_find_its_partitions(spark, stored_feeds):
+    target, fresh = stored_feeds[0], stored_feeds[0].select("vendorid")
+    text = physical(target.select("vendorid", "period").join(fresh, "vendorid", "left_semi").select("period").distinct())
+    assert "fare_amount" not in text

@@ -357,21 +357,24 @@ def load_verification(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     SELECT column_name, CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
            WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' END AS column_type, false AS is_partition,
-           CAST(0 AS BIGINT) AS rows_stored
+           CAST(0 AS BIGINT) AS rows_stored, (SELECT count(*) FROM lineitem) AS rows_in_files
     FROM (DESCRIBE lineitem)
     UNION ALL
-    SELECT * FROM (VALUES ('_loaded_from', 'string', false, 0), ('_loaded_at', 'timestamp', false, 0),
-      ('_loaded_by', 'string', false, 0), ('_source_modified_at', 'timestamp', false, 0),
-      ('period', 'string', true, 0), ('_batch_id', 'string', true, 0))
+    SELECT v.*, 0, (SELECT count(*) FROM lineitem)
+    FROM (VALUES ('_loaded_from', 'string', false), ('_loaded_at', 'timestamp', false), ('_loaded_by', 'string', false),
+      ('_source_modified_at', 'timestamp', false), ('period', 'string', true), ('_batch_id', 'string', true)) v
     """
 )
 def table_like_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns of a table made, without rows, from the schema of the files."""
     raw = new_table(spark, "like")
-    create_like(spark, raw, table(spark, sf_dir, "lineitem").schema)
+    files = table(spark, sf_dir, "lineitem")
+    create_like(spark, raw, files.schema)
     columns = [(c.name, c.dataType, c.isPartition) for c in spark.catalog.listColumns(raw)]
     described = small_frame(spark, columns, "column_name string, column_type string, is_partition boolean")
-    return described.withColumn("rows_stored", F.lit(spark.table(raw).count()))
+    return described.withColumns(
+        {"rows_stored": F.lit(spark.table(raw).count()), "rows_in_files": F.lit(files.count())}
+    )
 
 
 @query(_LINES_SQL)

@@ -130,8 +130,8 @@ def contract_null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-    SELECT * FROM (VALUES ('missing vendor_name'), ('extra l_partkey'), ('l_linenumber is int, declared bigint')) v(difference)
-    WHERE EXISTS (SELECT 1 FROM lineitem)
+    SELECT difference, (SELECT count(*) FROM lineitem) AS rows_refused
+    FROM (VALUES ('missing vendor_name'), ('extra l_partkey'), ('l_linenumber is int, declared bigint')) v(difference)
     """
 )
 def contract_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,7 +139,7 @@ def contract_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     declared = {"l_orderkey": "bigint", "l_linenumber": "bigint", "vendor_name": "string"}
     found = schema_differences(lines.schema, declared)
-    return small_frame(spark, [(d,) for d in found], "difference string")
+    return small_frame(spark, [(d, lines.count()) for d in found], "difference string, rows_refused bigint")
 
 
 @query(
