@@ -112,6 +112,25 @@ def test_types_without_a_common_one_are_refused(spark, db, landing):
     assert spark.table(raw).count() == 2
 
 
+def test_many_files_load_in_several_batches(spark, db, landing):
+    raw = f"{db}.raw"
+    for month in range(2, 6):
+        write(landing, f"2025-0{month}", id=ints(month), fare=pa.array([1.0]))
+    summary = copy_into(spark, raw, str(landing), actor="me", files_per_batch=2)
+    assert (summary.files_loaded, summary.rows_inserted, summary.files_skipped) == (5, 6, 0)
+    assert spark.table(raw).select("_batch_id").distinct().count() == 3
+    again = copy_into(spark, raw, str(landing), actor="me", files_per_batch=2)
+    assert (again.files_loaded, again.files_skipped) == (0, 5)
+
+
+def test_older_files_can_be_left_out_of_the_listing(spark, db, landing):
+    raw = f"{db}.raw"
+    old = write(landing, "2020-01", id=ints(9), fare=pa.array([1.0]))
+    os.utime(old, (1_600_000_000, 1_600_000_000))
+    assert copy_into(spark, raw, str(landing), modified_after="2024-01-01T00:00:00").files_loaded == 1
+    assert copy_into(spark, raw, str(landing)).files_loaded == 1
+
+
 def test_reset_forgets_and_keep_ledger_does_not(spark, db, landing):
     raw = f"{db}.raw"
     load(spark, raw, landing)

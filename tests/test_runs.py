@@ -141,6 +141,20 @@ def test_all_published_checks(spark, lake):
     assert {r.status for r in run_tests(spark, tests).collect()} == {"pass"}
 
 
+def test_files_fit_a_raw_table_made_before(spark, db, tmp_path):
+    raw = f"{db}.yellow"
+    plan.create_raw_table(spark, raw, "tpep")
+    land(tmp_path, "yellow", "2025-01", [trip("tpep", 1, datetime(2025, 1, 15, 12), Airport_fee=1.75, cbd_congestion_fee=0.5)])
+    load_feed(spark, raw, f"{tmp_path}/dataset=yellow", "yellow")
+    stored = dict(spark.table(raw).dtypes)
+    assert (stored["vendorid"], stored["ratecodeid"], stored["cbd_congestion_fee"]) == ("int", "bigint", "double")
+    conformed = plan.yellow_trips(spark.table(raw))
+    assert rows(conformed.select("vendor_id", "airport_fee", "cbd_congestion_fee")) == [(1, 1.75, 0.5)]
+    assert len(conformed.columns) == 29
+    comments = {c.name: c.description for c in spark.catalog.listColumns(raw)}
+    assert comments["trip_distance"] == "miles"
+
+
 def test_reference_csv(spark, db, tmp_path):
     def write(borough):
         lines = ["LocationID,Borough,Zone,service_zone", *[f"{i},{borough},Zone {i},Boro" for i in range(1, 266)]]

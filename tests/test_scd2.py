@@ -1,9 +1,10 @@
 from datetime import datetime
 
+import pytest
 from conftest import rows
 
 from tideline.operators.quality import single_open_version
-from tideline.operators.scd2 import END_OF_TIME, open_versions, present_dimension, scd2_apply
+from tideline.operators.scd2 import END_OF_TIME, START_OF_TIME, open_versions, present_dimension, scd2_apply
 
 T1, T2, T3 = datetime(2024, 1, 1), datetime(2024, 2, 1), datetime(2024, 3, 1)
 
@@ -30,6 +31,19 @@ def test_other_columns_make_no_version(spark):
     assert rows(again) == rows(history)
 
 
+def test_first_version_may_begin_at_the_start_of_time(spark):
+    history = open_versions(look(spark, (1, "a", False)), "id", T1)
+    history = scd2_apply(history, look(spark, (1, "b", False), (2, "c", False)), "id", ["name"], T2)
+    dimension = present_dimension(history, "id", "key", from_start=True)
+    assert rows(dimension.select("name", "valid_from")) == [("a", START_OF_TIME), ("b", T2), ("c", START_OF_TIME)]
+
+
+def test_history_with_other_columns_is_refused(spark):
+    history = open_versions(look(spark, (1, "a", False)), "id", T1)
+    with pytest.raises(ValueError, match="is_unmapped"):
+        scd2_apply(history, look(spark, (1, "a", False)).drop("is_unmapped"), "id", ["name"], T2)
+
+
 def test_presented_dimension_has_one_open_version(spark):
     history = open_versions(look(spark, (1, "a", False)), "id", T1)
     history = scd2_apply(history, look(spark, (1, "b", False)), "id", ["name"], T2)

@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
 from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def instant(moment: datetime | str | Column) -> Column:
+    """Literal instant; a value without a zone is UTC, whatever zone the driver process is in."""
+    if isinstance(moment, Column):
+        return moment
+    if isinstance(moment, datetime):
+        moment = (moment.astimezone(timezone.utc) if moment.tzinfo else moment).strftime("%Y-%m-%d %H:%M:%S.%f")
+    return F.lit(moment).cast("timestamp")
+
+
 def local_to_instant(wall_clock: Column, zone: str) -> Column:
     """Instant of a zone-less wall clock.  Needs the session zone to be UTC.
 

@@ -7,22 +7,18 @@ from pyspark.sql import functions as F
 
 from tideline.frames import small_frame
 from tideline.operators.contract import Contract
-from tideline.operators.versions import partition_columns
-
-
-def _text(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+from tideline.operators.versions import partition_columns, quoted
 
 
 def _pairs(tags: dict[str, str]) -> str:
-    return ", ".join(f"{_text(key)} = {_text(value)}" for key, value in tags.items())
+    return ", ".join(f"{quoted(key)} = {quoted(value)}" for key, value in tags.items())
 
 
 def tag_database(spark: SparkSession, database: str, tags: dict[str, str], comment: str | None = None) -> None:
     if tags:
         spark.sql(f"ALTER DATABASE {database} SET DBPROPERTIES ({_pairs(tags)})")
     if comment:
-        spark.sql(f"COMMENT ON DATABASE {database} IS {_text(comment)}")
+        spark.sql(f"COMMENT ON DATABASE {database} IS {quoted(comment)}")
 
 
 def apply_governance(
@@ -36,9 +32,9 @@ def apply_governance(
     if tags:
         spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({_pairs(tags)})")
     if comment:
-        spark.sql(f"COMMENT ON TABLE {table} IS {_text(comment)}")
+        spark.sql(f"COMMENT ON TABLE {table} IS {quoted(comment)}")
     for column, text in (column_comments or {}).items():
-        spark.sql(f"ALTER TABLE {table} ALTER COLUMN `{column}` COMMENT {_text(text)}")
+        spark.sql(f"ALTER TABLE {table} ALTER COLUMN `{column}` COMMENT {quoted(text)}")
 
 
 def apply_contract_governance(spark: SparkSession, table: str, contract: Contract) -> None:

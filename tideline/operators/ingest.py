@@ -17,6 +17,7 @@ from tideline.sources.drift import schema_fingerprints, shapes_of, widen_schemas
 from tideline.sources.files import LINEAGE, list_files, with_lineage
 
 BATCH = "_batch_id"
+FILES_PER_BATCH = 100_000
 _FILES = "path string, modified_us bigint, length bigint"
 
 
@@ -52,7 +53,7 @@ def create_like(
     spark: SparkSession, table: str, schema: T.StructType, partition_by: Sequence[str] = ("period",)
 ) -> None:
     """Table without rows: the columns of representative files, plus lineage."""
-    data = [T.StructField(f.name, f.dataType) for f in schema if f.name not in partition_by]
+    data = [T.StructField(f.name, f.dataType, True, f.metadata) for f in schema if f.name not in partition_by]
     keys = [T.StructField(name, T.StringType()) for name in partition_by]
     create_table(
         spark, table, T.StructType(data + list(LINEAGE) + keys + [T.StructField(BATCH, T.StringType())]),
@@ -99,6 +100,7 @@ def copy_into(
     actor: str | None = None,
     glob: str = "*.parquet",
     modified_after: str | None = None,
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> LoadSummary:
     """Append the files below `source_dir` that no completed batch holds.
 
@@ -106,37 +108,54 @@ def copy_into(
     same path is a new version and is appended as another batch.  Rows are written to
     partitions of the batch, then the ledger lists the batch's files, then one ledger row
     completes it.  A crash before that row leaves a batch that the next run drops and
-    loads again, so no row is ever loaded twice or lost.
+    loads again, so no row is ever loaded twice or lost.  One load per table at a time.
 
-    The driver sees names of new files, never rows.  Footers of the new files are read
-    in tasks and give one schema that fits them all, so one scan reads every file.
+    The driver sees names of new files, never rows, and of no more than `files_per_batch`
+    at once; what exceeds them follows in further batches of the same call.
 
     `modified_after` leaves older files out of the listing, for landing folders with a
     long past; files that keep an old modification time when copied there need it off.
     """
     _ensure_ledger(spark, table)
-    exists = spark.catalog.tableExists(table)
-    if exists:
-        drop_unfinished(spark, table)
-    found = Observation()
-    listing = list_files(spark, source_dir, glob, modified_after).observe(found, F.count(F.lit(1)).alias("files"))
-    listing = listing.select("path", F.unix_micros("modified_at").alias("modified_us"), "length")
-    new_files = listing.join(loaded_files(spark, table), ["path", "modified_us", "length"], "left_anti").collect()
-    skipped = found.get["files"] - len(new_files)
-    if not new_files:
-        return LoadSummary(None, 0, 0, skipped)
-
+    total, skipped = LoadSummary(None, 0, 0, 0), None
+    while True:
+        if spark.catalog.tableExists(table):
+            drop_unfinished(spark, table)
+        found = Observation()
+        listing = list_files(spark, source_dir, glob, modified_after).observe(found, F.count(F.lit(1)).alias("files"))
+        listing = listing.select("path", F.unix_micros("modified_at").alias("modified_us"), "length")
+        new = listing.join(loaded_files(spark, table), ["path", "modified_us", "length"], "left_anti")
+        new_files = [tuple(row) for row in new.limit(files_per_batch).collect()]
+        if new_files:
+            batch, row_count = _load_batch(spark, table, source_dir, new_files, partition_by, loaded_at, actor)
+            total = LoadSummary(batch, total.files_loaded + len(new_files), total.rows_inserted + row_count, 0)
+        if len(new_files) < files_per_batch:
+            skipped = found.get["files"] - len(new_files)
+            break
+    already = total.files_loaded - len(new_files)  # loaded by earlier batches of this call
+    return LoadSummary(total.batch_id, total.files_loaded, total.rows_inserted, skipped - already)
+
+
+def _load_batch(
+    spark: SparkSession,
+    table: str,
+    source_dir: str,
+    new_files: list[tuple],
+    partition_by: Sequence[str],
+    loaded_at: datetime | None,
+    actor: str | None,
+) -> tuple[str, int]:
+    """One batch of files: a schema that fits them all, from footers read in tasks; one scan; the ledger."""
     files = small_frame(spark, new_files, _FILES)
-    shapes = shapes_of(schema_fingerprints(files, file_count=len(new_files)))
-    schema = widen_schemas(shapes)
-    if exists:
+    schema = widen_schemas(shapes_of(schema_fingerprints(files, file_count=len(new_files))))
+    if spark.catalog.tableExists(table):
         evolve_table(spark, table, schema)
     else:
         create_like(spark, table, schema, partition_by)
 
     batch_id = uuid.uuid4().hex
     keyed = T.StructType([*schema, *[T.StructField(c, T.StringType()) for c in partition_by]])
-    rows = spark.read.schema(keyed).option("basePath", source_dir).parquet(*[f.path for f in new_files])
+    rows = spark.read.schema(keyed).option("basePath", source_dir).parquet(*[path for path, *_ in new_files])
     rows = with_lineage(rows, loaded_at, actor).withColumn(BATCH, F.lit(batch_id))
     target = spark.table(table)
     present = {c.lower() for c in rows.columns}
@@ -149,9 +168,8 @@ def copy_into(
     watch = Observation()
     ordered.observe(watch, F.count(F.lit(1)).alias("rows")).write.insertInto(table)
     row_count = watch.get["rows"]
-
     record_batch(spark, table, batch_id, files, len(new_files), row_count)
-    return LoadSummary(batch_id, len(new_files), row_count, skipped)
+    return batch_id, row_count
 
 
 def record_batch(

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.frames import small_frame
+from tideline.functions import instant
 from tideline.operators.aggregate import more_than_one, rows_per_period
 from tideline.operators.versions import replace_contents
 
@@ -81,7 +82,7 @@ def freshness(
 ) -> DataFrame:
     """Age of the newest row: pass, warn or error.  A table without rows is an error."""
     newest = df.agg(F.max(loaded_at).cast("timestamp").alias("newest"))
-    age = F.unix_timestamp(F.lit(as_of).cast("timestamp")) - F.unix_timestamp("newest")
+    age = F.unix_timestamp(instant(as_of)) - F.unix_timestamp("newest")
     status = (
         F.when(F.col("newest").isNull() | (F.col("age_seconds") > error_days * 86400), "error")
         .when(F.col("age_seconds") > warn_days * 86400, "warn")

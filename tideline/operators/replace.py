@@ -7,12 +7,13 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tideline.functions import instant
 from tideline.operators.versions import Staged, replace_contents
 
 
 def stamped(df: DataFrame, sha256: str | None, loaded_at: datetime | None = None) -> DataFrame:
     """Load time and the first 16 digits of the source's hash on every row."""
-    moment = F.lit(loaded_at).cast("timestamp") if loaded_at else F.current_timestamp()
+    moment = instant(loaded_at) if loaded_at else F.current_timestamp()
     return df.withColumns({"_loaded_at": moment, "_source_sha256": F.lit((sha256 or "unknown")[:16])})
 
 

@@ -10,18 +10,15 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.functions import version_key
+from tideline.functions import instant, version_key
 
+START_OF_TIME = datetime(1900, 1, 1)
 END_OF_TIME = datetime(9999, 12, 31)
 
 
-def _literal_time(moment: datetime | Column) -> Column:
-    return moment if isinstance(moment, Column) else F.lit(moment).cast("timestamp")
-
-
 def open_versions(current: DataFrame, key: str, as_of: datetime | Column) -> DataFrame:
     """First history of a dimension: every row open since `as_of`."""
-    start = _literal_time(as_of)
+    start = instant(as_of)
     return current.select(
         version_key(F.col(key), start).alias("version_key"),
         *current.columns,
@@ -48,8 +45,10 @@ def scd2_apply(
     Closed versions pass by without a shuffle.
     """
     attributes = [c for c in current.columns if c != key]
-    start = _literal_time(as_of)
+    start = instant(as_of)
     layout = ["version_key", key, *attributes, "valid_from", "valid_to"]
+    if set(layout) != set(history.columns):
+        raise ValueError(f"history has {sorted(history.columns)}, the source gives {sorted(layout)}")
 
     old = history.where(F.col("valid_to").isNull()).select(F.struct(*layout).alias("old"))
     new = current.select(F.struct(key, *attributes).alias("new"))
@@ -80,14 +79,24 @@ def scd2_apply(
     return history.where(F.col("valid_to").isNotNull()).select(*layout).unionByName(versions)
 
 
-def present_dimension(history: DataFrame, key: str, surrogate: str) -> DataFrame:
-    """Validity window without NULLs and a flag for the open version."""
+def present_dimension(history: DataFrame, key: str, surrogate: str, from_start: bool = False) -> DataFrame:
+    """Validity window without NULLs and a flag for the open version.
+
+    A member's first version begins when it was first looked at; `from_start` lets it
+    begin at the start of time, so that facts from before that look find it too.
+    """
     attributes = [c for c in history.columns if c not in ("version_key", key, "valid_from", "valid_to")]
+    if from_start:
+        first = history.groupBy(F.col(key).alias("__key")).agg(F.min("valid_from").alias("__first"))
+        begins = F.when(F.col("valid_from") == F.col("__first"), instant(START_OF_TIME))
+        history = history.join(first, F.col(key) == F.col("__key"), "left").withColumn(
+            "valid_from", begins.otherwise(F.col("valid_from"))
+        )
     return history.select(
         F.col("version_key").alias(surrogate),
         key,
         *attributes,
         "valid_from",
-        F.coalesce(F.col("valid_to"), _literal_time(END_OF_TIME)).alias("valid_to"),
+        F.coalesce(F.col("valid_to"), instant(END_OF_TIME)).alias("valid_to"),
         F.col("valid_to").isNull().alias("is_current"),
     )

@@ -29,10 +29,15 @@ _STATEMENT_SIZE = 200
 def create_database(spark: SparkSession, name: str, folder: str | None = None, comment: str = "") -> str:
     """Database whose tables live in `folder`, by default below the shared folder."""
     folder = folder or f"{shared_dir(spark)}/tideline/db/{name}"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} COMMENT '{comment}' LOCATION '{folder}'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} COMMENT {quoted(comment)} LOCATION '{folder}'")
     return name
 
 
+def quoted(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def split_name(table: str) -> tuple[str, str]:
     database, _, name = table.rpartition(".")
     return database or "default", name
@@ -118,8 +123,8 @@ def create_table(spark: SparkSession, table: str, schema: T.StructType, partitio
     """Empty managed Parquet table; partition columns go last.  Comments of fields are kept."""
 
     def declared(f: T.StructField) -> str:
-        comment = f.metadata.get("comment", "").replace("\\", "\\\\").replace("'", "\\'")
-        return f"`{f.name}` {f.dataType.simpleString()}" + (f" COMMENT '{comment}'" if comment else "")
+        comment = f.metadata.get("comment")
+        return f"`{f.name}` {f.dataType.simpleString()}" + (f" COMMENT {quoted(comment)}" if comment else "")
 
     ordered = [f for f in schema if f.name not in partition_by]
     ordered += [schema[name] for name in partition_by]

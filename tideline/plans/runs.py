@@ -9,6 +9,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tideline.functions import instant
 from tideline.operators.contract import build_table, enforce_contract
 from tideline.operators.governance import apply_contract_governance
 from tideline.operators.ingest import BATCH, LoadSummary, copy_into, ledger_tables
@@ -90,7 +91,7 @@ def refresh_reference(
         raw = spark.read.option("header", True).csv(csv_path)
         archive = archive_copy(raw.toDF(*header), landing, "reference", at)
         note = spark.range(1).select(
-            F.lit(seen.path), F.lit(seen.sha256), F.lit(rows).cast("bigint"), F.lit(archive), F.lit(at).cast("timestamp")
+            F.lit(seen.path), F.lit(seen.sha256), F.lit(rows).cast("bigint"), F.lit(archive), instant(at)
         )
         note.write.insertInto(state)
     elif spark.catalog.tableExists(table):

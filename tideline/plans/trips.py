@@ -6,11 +6,14 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tideline.functions import duration_minutes, is_sentinel, local_parts
+from tideline.functions import duration_minutes, instant, is_sentinel, local_parts
 from tideline.operators.aggregate import combine_observations, observe_keys
 from tideline.operators.conform import Field, conform, union_feeds
 from tideline.operators.contract import Contract, ContractColumn
+from tideline.operators.governance import apply_governance
+from tideline.operators.ingest import create_like
 from tideline.operators.lookup import current_versions, lookup_with_fallback
 
 # --- fixed values: feed names, zone, reserved zones, published code lists -----------------
@@ -47,6 +50,82 @@ TRIP_TYPES = {1: "Street-hail", 2: "Dispatch"}
 # ------------------------------------------------------------------------------------------
 
 
+# Tags of the tables.
+_TAGS = {
+    "datasetVersion": "1.0.0",
+    "contractStatus": "ACTIVE",
+    "criticality": "MODERATE",
+    "recoverySla": "2_BUSINESS_DAYS",
+    "informationClassification": "PUBLIC",
+    "complianceClassification": "NONE",
+    "dataDurationClassification": "PERMANENT",
+    "updateType": "AUTOMATIC",
+    "legalHold": "NO",
+    "dataPrimacy": "REPLICA",
+}
+_RELEASE_TAGS = ("datasetVersion", "contractStatus", "criticality", "recoverySla")
+RAW_TAGS = {key: value for key, value in _TAGS.items() if key not in _RELEASE_TAGS}
+
+
+def _columns(text: str) -> tuple[ContractColumn, ...]:
+    """Lines of `name type [!] [# comment]`; `!` marks a column that must not be NULL."""
+    columns = []
+    for line in text.strip().splitlines():
+        declared, _, comment = line.partition("#")
+        name, type_, *flags = declared.split()
+        columns.append(ContractColumn(name, type_, "!" in flags, comment.strip()))
+    return tuple(columns)
+
+
+_RAW_COMMON = """
+    vendorid              int           # provider of the record
+    pickup                timestamp_ntz # wall clock, meter on
+    dropoff               timestamp_ntz # wall clock, meter off
+    passenger_count       bigint        # entered by the driver
+    trip_distance         double        # miles
+    ratecodeid            bigint
+    store_and_fwd_flag    string        # Y if held in the vehicle before sending
+    pulocationid          int           # zone
+    dolocationid          int           # zone
+    payment_type          bigint
+    fare_amount           double
+    extra                 double
+    mta_tax               double
+    tip_amount            double        # cards only
+    tolls_amount          double
+    improvement_surcharge double
+    total_amount          double        # without cash tips
+    congestion_surcharge  double
+"""
+_RAW_OWN = {
+    "tpep": """
+    airport_fee           double        # pick-ups at airports
+""",
+    "lpep": """
+    ehail_fee             double
+    trip_type             bigint        # street-hail or dispatch
+    cbd_congestion_fee    double
+""",
+}
+
+
+def raw_schema(clock_prefix: str) -> T.StructType:
+    """Columns of a raw feed (`tpep` yellow, `lpep` green) for a table made before its first load."""
+    declared = _columns(_RAW_COMMON.strip() + "\n" + _RAW_OWN[clock_prefix].strip())
+    names = {moment: f"{clock_prefix}_{moment}_datetime" for moment in ("pickup", "dropoff")}
+    fields = [(names.get(c.name, c.name), c.type, c.comment) for c in declared]
+    schema = T.StructType()
+    for name, type_, text in fields:
+        schema.add(name, T.DataType.fromDDL(type_), True, {"comment": text} if text else None)
+    return schema
+
+
+def create_raw_table(spark: SparkSession, table: str, clock_prefix: str) -> None:
+    """Empty raw table of a feed with lineage columns, comments and tags."""
+    create_like(spark, table, raw_schema(clock_prefix))
+    apply_governance(spark, table, RAW_TAGS, "Trips as landed; append-only")
+
+
 def code_list(spark: SparkSession, values: dict[int, str], key: str, value: str) -> DataFrame:
     """A code list as rows.  Literal rows, so Spark knows their size and broadcasts them."""
     rows = ", ".join(f"({code}L, '{text}')" for code, text in values.items())
@@ -167,37 +246,13 @@ def trip_fact(
         {
             **{f"pickup_{name}": column for name, column in clock.items()},
             "trip_duration_minutes": duration_minutes(F.col("pickup_at"), F.col("dropoff_at")),
-            "updated_at": (F.lit(updated_at) if updated_at else F.current_timestamp()).cast("timestamp"),
+            "updated_at": instant(updated_at) if updated_at else F.current_timestamp(),
             "updated_by": F.lit(updated_by) if updated_by else F.current_user(),
         }
     )
     return rows.select(*TRIP_CONTRACT.types)
 
 
-_TAGS = {
-    "datasetVersion": "1.0.0",
-    "contractStatus": "ACTIVE",
-    "criticality": "MODERATE",
-    "recoverySla": "2_BUSINESS_DAYS",
-    "informationClassification": "PUBLIC",
-    "complianceClassification": "NONE",
-    "dataDurationClassification": "PERMANENT",
-    "updateType": "AUTOMATIC",
-    "legalHold": "NO",
-    "dataPrimacy": "REPLICA",
-}
-
-
-def _columns(text: str) -> tuple[ContractColumn, ...]:
-    """Lines of `name type [!] [# comment]`; `!` marks a column that must not be NULL."""
-    columns = []
-    for line in text.strip().splitlines():
-        declared, _, comment = line.partition("#")
-        name, type_, *flags = declared.split()
-        columns.append(ContractColumn(name, type_, "!" in flags, comment.strip()))
-    return tuple(columns)
-
-
 # Names, types and required columns of the published tables.
 VENDOR_CONTRACT = Contract(
     _columns(

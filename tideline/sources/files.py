@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tideline.functions import instant
+
 LINEAGE = (
     T.StructField("_loaded_from", T.StringType()),
     T.StructField("_loaded_at", T.TimestampType()),
@@ -42,7 +44,7 @@ def with_lineage(df: DataFrame, loaded_at: datetime | None = None, actor: str |
     return df.select(
         "*",
         F.col("_metadata.file_path").alias("_loaded_from"),
-        (F.lit(loaded_at) if loaded_at else F.current_timestamp()).cast("timestamp").alias("_loaded_at"),
+        (instant(loaded_at) if loaded_at else F.current_timestamp()).alias("_loaded_at"),
         (F.lit(actor) if actor else F.current_user()).alias("_loaded_by"),
         F.col("_metadata.file_modification_time").alias("_source_modified_at"),
     )
