@@ -14,7 +14,7 @@ from tideline.functions import instant
 from tideline.operators.aggregate import more_than_one, rows_per_period
 from tideline.operators.versions import replace_contents
 
-WARN_DAYS, ERROR_DAYS = 75, 120
+WARN_DAYS, ERROR_DAYS = 75, 120  # fixed values: freshness limits
 
 
 def unique(df: DataFrame, column: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tideline.functions import month_anchor, months_back, period_of
 
+# Publication delay and look-back of the source.
 LAG_MONTHS = 2
 LOOKBACK_MONTHS = 8
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tideline.sources.files import scan_csv
 
-MIN_ROWS = 200
+MIN_ROWS = 200  # fixed value: below this a reference file is suspect
 
 
 class InvalidReference(ValueError):
