@@ -19,7 +19,7 @@ from tideline.queries.registry import query
 
 @query(
     """
-    SELECT strftime(l_shipdate, '%Y-%m') AS source_period, count(*) AS row_count, sum(l_suppkey) AS vendor_sum,
+    SELECT strftime(l_shipdate, '%Y-%m') AS source_period, count(*) AS row_count, CAST(sum(l_suppkey) AS BIGINT) AS vendor_sum,
            true AS few_files
     FROM lineitem GROUP BY 1
     """
