@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tideline.llm.rows import Columns, identified, map_columns, stored
 
-CAPACITY, ROUNDS = 2048, 200
+CAPACITY, ROUNDS = 2048, 150
 CACHED_WORDS = 800_000  # of a Python worker, so its memory stays bounded
 
 Configuration = tuple[tuple[int, int], ...]  # (length, how often), longest first
@@ -112,7 +112,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
 
 def best_knapsack(lengths: np.ndarray, prices: np.ndarray, limits: np.ndarray, capacity: int) -> Configuration:
     """The multiset of lengths within `capacity` with the highest sum of prices (each length as often
-    as it fits), by dynamic programming over capacity; then cut to `limits`."""
+    as it fits), by dynamic programming over capacity; then cut to `limits`, and the room this frees
+    filled with the longest other lengths that fit."""
     order = np.argsort(lengths)
     lengths, prices, limits = lengths[order], prices[order], limits[order]
     worth = np.zeros(capacity + 1)
@@ -135,7 +136,14 @@ def best_knapsack(lengths: np.ndarray, prices: np.ndarray, limits: np.ndarray, c
             continue
         counts[i] += 1
         c -= int(lengths[i])
-    return tuple(sorted(((int(lengths[i]), int(min(n, limits[i]))) for i, n in counts.items()), reverse=True))
+    counts = Counter({i: int(min(n, limits[i])) for i, n in counts.items()})
+    room = capacity - sum(int(lengths[i]) * n for i, n in counts.items())
+    for i in range(len(lengths) - 1, -1, -1):
+        more = int(min(limits[i] - counts[i], room // int(lengths[i])))
+        if more > 0:
+            counts[i] += more
+            room -= more * int(lengths[i])
+    return tuple(sorted(((int(lengths[i]), n) for i, n in counts.items() if n), reverse=True))
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[tuple[Configuration, int]]:
