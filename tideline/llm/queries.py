@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import chat, fingerprints, main_text, packing, simhash
+from tideline.llm import chat, decontaminate, fingerprints, line_runs, main_text, packing, simhash, toxicity
 from tideline.llm.rows import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,16 +31,62 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def held_out(doc_id: Column) -> Column:
+    return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
+
+
+@query("op1_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.learn(docs, labels.where(~held_out(F.col("doc_id"))))
+    return toxicity.score_documents(docs, model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 @query("op3_main_text")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.extract_main_text(table(spark, sf_dir, "pages"))
 
 
+@query("op4_benchmark_decontamination")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op6_simhash_near_dedup")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def line_dedup_sql(documents: str = "documents", least_words: int = line_runs.LEAST_WORDS) -> str:
+    """Every run of 1, 2, 4, ... lines with enough words, after its first place, is deleted."""
+    return f"""
+WITH l AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM {documents}),
+p AS (SELECT doc_id, ls, unnest(range(len(ls))) AS line FROM l),
+w AS (
+  SELECT doc_id, line, k, array_to_string(ls[line + 1 : line + k], chr(10)) AS content
+  FROM p, (SELECT CAST(power(2, i) AS BIGINT) AS k FROM range(20) r(i)) WHERE line + k <= len(ls)
+),
+r AS (SELECT *, row_number() OVER (PARTITION BY k, content ORDER BY doc_id, line) AS nth FROM w),
+g AS (
+  SELECT DISTINCT doc_id, line + unnest(range(k)) AS line FROM r
+  WHERE nth > 1 AND len(regexp_extract_all(content, '[^\\s]+')) >= {least_words}
+),
+k AS (
+  SELECT p.doc_id, count(*) AS n_lines, count(g.line) AS n_deleted,
+    coalesce(string_agg(p.ls[p.line + 1], chr(10) ORDER BY p.line) FILTER (g.line IS NULL), '') AS text
+  FROM p LEFT JOIN g ON p.doc_id = g.doc_id AND p.line = g.line GROUP BY p.doc_id
+)
+SELECT doc_id, CAST(n_lines AS INTEGER) AS n_lines, CAST(n_deleted AS INTEGER) AS n_deleted, text FROM k"""
+
+
+@query("op7_line_dedup", line_dedup_sql())
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    deduped = line_runs.dedupe_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return deduped.select("doc_id", "n_lines", "n_deleted", F.col("kept").alias("text"))
+
+
 # Escaped as the template does, plus what it writes around a turn: '<|', '|>\n' and '<|end|>\n'.
 _FORMATTED = "sum(length(replace(replace(replace({0}, '&', '&amp;'), '<', '&lt;'), '[', '&#91;')))"
 _CHAT_SQL = f"""
