@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import chat, decontaminate, fingerprints, line_runs, main_text, packing, simhash, toxicity
+from tideline.llm import chains, chat, decontaminate, fingerprints, line_runs, main_text, packing, simhash, sparse_suffixes, toxicity
 from tideline.llm.rows import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op2_substring_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chains.fuzzy_passages(table(spark, sf_dir, "documents"))
+
+
 @query("op3_main_text")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.extract_main_text(table(spark, sf_dir, "pages"))
@@ -54,6 +59,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op5_suffix_array_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sparse_suffixes.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 @query("op6_simhash_near_dedup")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
