@@ -338,6 +338,20 @@ def score_documents(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     return map_columns(identified(docs), kernel, "doc_id long, score double")
 
 
+def with_scores(docs: DataFrame, model: ToxicityModel) -> DataFrame:
+    """All columns of `docs`, and `score`; rows in, rows out."""
+    held = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("whole"), F.coalesce("text", F.lit("")).alias("__text"))
+    schema = docs.withColumn("score", F.lit(0.0)).schema
+
+    def kernel(batches: Iterator[Columns]) -> Iterator[dict]:
+        known: dict[str, str] = {}
+        for b in batches:
+            yield {c: [w[c] for w in b["whole"]] for c in docs_columns} | {"score": [model.score(t, known) for t in b["__text"]]}
+
+    docs_columns = docs.columns
+    return map_columns(held, kernel, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema))
+
+
 def learn(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     """Character model over all documents, classifier from the labelled ones."""
     docs = identified(docs)
