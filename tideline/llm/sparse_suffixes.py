@@ -30,7 +30,7 @@ DEPTH = 24  # words that neighbours must agree in
 
 def neighbours(docs: DataFrame) -> DataFrame:
     """(a_doc, a_pos, b_doc, b_pos): suffixes b with the suffix a before it in sorted order, if they agree in DEPTH words."""
-    suffixes = sampled(docs, EXTENTS).drop("k0")
+    suffixes = sampled(docs, EXTENTS).drop("k0", "nth", "pos0")
     order = ["k1", "k2", "k3", "doc_id", "pos"]
     ranges = suffixes.repartitionByRange(*order).sortWithinPartitions(*order)
 
