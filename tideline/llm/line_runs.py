@@ -53,7 +53,8 @@ def repeated_runs(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     while True:
         place = F.struct("doc_id", "row", "line")
         classes = level.groupBy("a", "b").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-        shared = stored(level.join(classes, ["a", "b"]).withColumn("later", place != F.col("first")).drop("first"), "line-classes")
+        # Stored, so that a very common line is a skewed join of two inputs, which Spark splits.
+        shared = stored(level.join(stored(classes, "line-firsts"), ["a", "b"]).withColumn("later", place != F.col("first")).drop("first"), "line-classes")
         copies = shared.where(F.col("later") & (F.col("words") >= least_words)).select("doc_id", "row", "line", F.lit(length).alias("lines"))
         found = copies if found is None else found.union(copies)
         ahead = Window.partitionBy("doc_id", "row").orderBy("line").rangeBetween(length, length)
