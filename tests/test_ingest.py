@@ -8,7 +8,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tideline.operators import ingest
-from tideline.operators.ingest import committed, copy_into, latest_batches, loaded_files, reset
+from tideline.operators.ingest import committed, copy_into, latest_files, loaded_files, reset
 from tideline.sources.drift import read_evolving, schema_drift, schema_fingerprints, widen_schemas
 from tideline.sources.files import check_sizes, list_files, scan_parquet
 from tideline.streaming import stream_copy_into
@@ -61,7 +61,35 @@ def test_file_replaced_at_its_path_is_a_new_batch(spark, db, landing):
     os.utime(path, (2_000_000_000, 2_000_000_000))
     assert load(spark, raw, landing).files_loaded == 1
     assert spark.table(raw).count() == 5
-    assert rows(latest_batches(spark, raw).select("id")) == [(1,), (2,), (3,)]
+    assert rows(latest_files(spark, raw).select("id")) == [(1,), (2,), (3,)]
+
+
+def test_split_loads_and_late_files_hide_no_rows(spark, db, tmp_path):
+    raw, folder = f"{db}.raw", tmp_path / "many" / "period=2025-01"
+    folder.mkdir(parents=True)
+    for i in range(5):
+        pq.write_table(pa.table({"id": ints(i)}), folder / f"{i}.parquet")
+    ingest.copy_into(spark, raw, str(folder.parent), files_per_batch=2)
+    assert rows(latest_files(spark, raw).select("id")) == [(i,) for i in range(5)]
+    pq.write_table(pa.table({"id": ints(5)}), folder / "5.parquet")
+    pq.write_table(pa.table({"id": ints(10)}), folder / "0.parquet")
+    os.utime(folder / "0.parquet", (2_000_000_000, 2_000_000_000))
+    ingest.copy_into(spark, raw, str(folder.parent))
+    assert rows(latest_files(spark, raw).select("id")) == [(i,) for i in (1, 2, 3, 4, 5, 10)]
+    (folder / "1.parquet").unlink()
+    present = list_files(spark, str(folder.parent), "*.parquet")
+    assert rows(latest_files(spark, raw, present).select("id")) == [(i,) for i in (2, 3, 4, 5, 10)]
+
+
+def test_reset_broken_off_half_way_still_reloads(spark, db, landing, monkeypatch):
+    raw = f"{db}.raw"
+    load(spark, raw, landing)
+    monkeypatch.setattr(ingest, "drop_partitions", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        ingest.reset(spark, raw)
+    monkeypatch.undo()
+    assert load(spark, raw, landing).files_loaded == 1
+    assert spark.table(raw).count() == 2
 
 
 def test_crash_between_rows_and_ledger_loads_once(spark, db, landing, monkeypatch):

@@ -1,9 +1,8 @@
 from datetime import datetime
 
 from conftest import rows
-from pyspark.sql import functions as F
 
-from tideline.operators.lookup import broadcast_if_small, lookup_with_fallback, point_in_time_join
+from tideline.operators.lookup import lookup_with_fallback, point_in_time_join
 
 
 def facts(spark):
@@ -24,18 +23,6 @@ def test_known_unknown_and_null_codes(spark):
     assert rows(label(spark, salt_by="id")) == expected
 
 
-def test_broadcast_needs_a_measured_bound(spark):
-    derived = spark.range(1000).groupBy((F.col("id") % 10).alias("k")).agg(F.count("*").alias("n"))
-
-
-    def hinted(df):
-        return "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
-
-    assert hinted(broadcast_if_small(derived))
-    assert not hinted(broadcast_if_small(derived, max_rows=5))
-    assert not hinted(broadcast_if_small(derived, max_bytes=8))
-
-
 def test_point_in_time_meets_one_version(spark):
     dimension = spark.sql(
         "SELECT * FROM VALUES (1L, 'old', timestamp'2020-01-01', timestamp'2021-01-01'), "

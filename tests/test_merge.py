@@ -118,3 +118,14 @@ def test_marks(spark, target, db):
     assert marks == {"a": "2025-01", "b": "2025-01", "c": "2025-02"}
     source = spark.createDataFrame([("a", 1, "2024-12"), ("c", 1, "2025-02"), ("new", 1, "2020-01")], SCHEMA)
     assert [r[0] for r in rows(source.where(since_per_feed("k", "period", marks)))] == ["c", "new"]
+
+
+def test_a_restated_partition_loses_what_the_source_dropped(spark, db):
+    table = f"{db}.restated"
+    first = spark.sql("SELECT * FROM VALUES ('a', 1, '2025-01'), ('b', 2, '2025-01'), ('c', 3, '2025-02') AS t(k, v, p)")
+    merge_into(spark, table, first, "k", "p")
+    again = spark.sql("SELECT * FROM VALUES ('a2', 12, '2025-01'), ('b', 2, '2025-01') AS t(k, v, p)")
+    merge_into(spark, table, again, "k", "p", replaces=["2025-01"])
+    assert rows(spark.table(table)) == [("a2", 12, "2025-01"), ("b", 2, "2025-01"), ("c", 3, "2025-02")]
+    merge_into(spark, table, again.limit(0), "k", "p", replaces=["2025-02"])
+    assert rows(spark.table(table).select("k")) == [("a2",), ("b",)]

@@ -52,3 +52,12 @@ def test_presented_dimension_has_one_open_version(spark):
     assert rows(dimension.select("name", "valid_to", "is_current")) == [("a", T2, False), ("b", END_OF_TIME, True)]
     assert len({r.key for r in dimension.collect()}) == 2
     assert single_open_version(dimension, "id").isEmpty()
+
+
+def test_repeated_keys_and_earlier_looks_are_refused(spark):
+    look = spark.sql("SELECT * FROM VALUES (1L, 'a') AS t(id, name)")
+    history = open_versions(look, "id", datetime(2025, 2, 1))
+    with pytest.raises(ValueError, match="not unique"):
+        scd2_apply(history, look.union(look), "id", ["name"], datetime(2025, 3, 1))
+    with pytest.raises(ValueError, match="later than this look"):
+        scd2_apply(history, look, "id", ["name"], datetime(2025, 1, 1))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -192,18 +192,32 @@ def committed(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table).join(spark.table(ledger_tables(table)[1]).select(BATCH), BATCH, "left_semi")
 
 
-def latest_batches(spark: SparkSession, table: str, within: Sequence[str] = ("period",)) -> DataFrame:
-    """For each period only the rows of the newest batch that brought it.
+def _one_spelling(path: str) -> Column:
+    """`file:/a`, `file:///a`: one path, as listings and scans spell it."""
+    return F.regexp_replace(path, "^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/")
 
-    For sources that restate a period by replacing its file: raw keeps both versions, and
-    this view reads the last.  Which batch that is comes from partition names alone.
+
+def latest_files(spark: SparkSession, table: str, present: DataFrame | None = None) -> DataFrame:
+    """Rows of completed batches, of each file only its newest loaded version.
+
+    For sources that restate a file in place: raw keeps every version, this view reads the last
+    one of each path, whatever batch brought it, so a load that was split or a late file of a
+    period hides nothing.  A file that has gone from the landing folder keeps its rows, unless
+    `present` (a listing with `path`) says which files count: for sources that replace a
+    file by one of another name.  Within one modification time the later batch wins.  Batches without a current file are pruned.
     """
-    names = spark.sql(f"SHOW PARTITIONS {table}")
-    held = names.select(*[F.regexp_extract("partition", f"(?:^|/){c}=([^/]*)", 1).alias(c) for c in (*within, BATCH)])
-    when = spark.table(ledger_tables(table)[1]).select(BATCH, "committed_at")
-    newest = held.join(when, BATCH).groupBy(*within).agg(F.max(F.struct("committed_at", BATCH)).alias("last"))
-    chosen = newest.select(*within, F.col(f"last.{BATCH}").alias(BATCH))
-    return spark.table(table).join(chosen, [*within, BATCH], "left_semi")
+    files, batches = ledger_tables(table)
+    done = spark.table(batches).select(BATCH, "committed_at")
+    newest = (
+        spark.table(files).join(done, BATCH).groupBy("path")
+        .agg(F.max(F.struct("modified_us", "committed_at", BATCH)).alias("last"))
+        .select(_one_spelling("path").alias("__path"), F.col(f"last.{BATCH}").alias(BATCH))
+    )
+    if present is not None:
+        newest = newest.join(present.select(_one_spelling("path").alias("__path")), "__path", "left_semi")
+    raw = spark.table(table)
+    rows = raw.withColumn("__path", _one_spelling("_loaded_from"))
+    return rows.join(newest, ["__path", BATCH], "left_semi").select(*raw.columns)
 
 
 def reset(spark: SparkSession, table: str, keep_ledger: bool = False) -> None:
@@ -211,7 +225,9 @@ def reset(spark: SparkSession, table: str, keep_ledger: bool = False) -> None:
 
     With `keep_ledger` only the rows go: files stay marked as loaded.
     """
-    drop_partitions(spark, table, sorted(registered_partitions(spark, table)))
+    # Batches first: rows without one are an unfinished load, which the next load drops and repeats.
     if not keep_ledger:
-        for ledger in ledger_tables(table):
-            spark.sql(f"TRUNCATE TABLE {ledger}")
+        files, batches = ledger_tables(table)
+        spark.sql(f"TRUNCATE TABLE {batches}")
+        spark.sql(f"TRUNCATE TABLE {files}")
+    drop_partitions(spark, table, sorted(registered_partitions(spark, table)))

@@ -7,34 +7,6 @@ from pyspark.sql import functions as F
 
 from tideline.functions import label_or_unknown
 
-MAX_BROADCAST_ROWS = 500_000
-MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-def broadcast_if_small(
-    df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
-) -> DataFrame:
-    """Hint a broadcast only after the side has been measured.
-
-    For sides that carry no usable size, such as aggregates and joins; a scan of files
-    needs no hint, as Spark compares its size with `autoBroadcastJoinThreshold`
-    itself.  The measuring job stops at `max_rows + 1` rows.  A side over either bound
-    is returned as it is and joins by shuffle, where skewed partitions are split.
-    """
-    width = [
-        F.coalesce(F.octet_length(name), F.lit(0)) if dtype == "string" else F.lit(8)
-        for name, dtype in df.dtypes
-    ]
-    size = F.lit(0)
-    for part in width:
-        size = size + part
-    rows, total = (
-        df.limit(max_rows + 1)
-        .agg(F.count(F.lit(1)), F.coalesce(F.sum(size.cast("bigint")), F.lit(0)))
-        .first()
-    )
-    return F.broadcast(df) if rows <= max_rows and total <= max_bytes else df
-
 
 def left_lookup(
     fact: DataFrame,

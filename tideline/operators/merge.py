@@ -103,6 +103,7 @@ def merge_into(
     not_null: Sequence[str] = (),
     full_refresh: bool = False,
     by_partition: bool = False,
+    replaces: Sequence[str] = (),
 ) -> MergeResult:
     """Replace matched keys, insert the others; running it twice equals running it once.
 
@@ -115,6 +116,9 @@ def merge_into(
     3. only those and the source's own partitions are rewritten, beside the old ones;
     4. partitions are switched over, and those left empty dropped.
 
+    `replaces` names partitions that the source restates as a whole: their rows go even where
+    the source no longer has the key.
+
     `by_partition` tells that the source arrives laid out by `partition_by`, as a scan of
     such a table does: a whole build then writes it as it comes, without a shuffle.
     """
@@ -136,11 +140,13 @@ def merge_into(
         _require_unique(fresh, key)
 
     matched = target.select(key, partition_by).join(fresh.select(key), key, "left_semi").select(partition_by)
-    affected = [r[0] for r in matched.union(fresh.select(partition_by)).distinct().collect()]
+    affected = {r[0] for r in matched.union(fresh.select(partition_by)).distinct().collect()}
+    held = {p.split("=", 1)[1] for p in registered_partitions(spark, table)} if replaces else set()
+    affected = sorted(affected | (held & set(replaces)))
     if not affected:
         delete_folder(spark, staged.path)
         return MergeResult("incremental", 0, 0)
-    untouched = target.where(F.col(partition_by).isin(affected))
+    untouched = target.where(F.col(partition_by).isin([p for p in affected if p not in replaces]))
     merged = stage(merge_frames(untouched, fresh, key), f"{version}/rows", [partition_by])
     present = staged_partitions(spark, merged.path, target.schema, [partition_by])
     emptied = sorted({partition_name({partition_by: p}) for p in affected} - set(present))
@@ -149,12 +155,6 @@ def merge_into(
     return MergeResult("incremental", len(present), merged.rows)
 
 
-def merge_native(table: str, source: DataFrame, key: str) -> None:
-    """The same merge for a catalog whose tables support row-level operations themselves."""
-    condition = F.col(f"{table}.{key}") == F.col(f"source.{key}")
-    source.alias("source").mergeInto(table, condition).whenMatched().updateAll().whenNotMatched().insertAll().merge()
-
-
 def _require_unique(df: DataFrame, key: str) -> None:
     examples = duplicate_keys(df, key).limit(5).collect()
     if examples:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.functions import instant
+from tideline.operators.quality import verify_min_rows
 from tideline.operators.versions import Staged, replace_contents
 
 
@@ -27,10 +28,8 @@ def replace_table(
 ) -> Staged:
     """Give `table` the rows of `df`, stamped.
 
-    Rows are written beside the old ones and the table is switched in one statement.  The
+    Rows are written beside the old ones and the table is switched in one statement; with fewer
+    than `min_rows` written it is not switched.  The
     hash is provenance: without one the rows read `unknown` and the load goes on.
     """
-    staged = replace_contents(spark, table, stamped(df, sha256, loaded_at))
-    if staged.rows < min_rows:
-        raise ValueError(f"{table} has only {staged.rows} rows after load, expected at least {min_rows}")
-    return staged
+    return replace_contents(spark, table, stamped(df, sha256, loaded_at), verify=lambda rows: verify_min_rows(rows, min_rows))

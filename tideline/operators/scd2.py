@@ -27,6 +27,16 @@ def open_versions(current: DataFrame, key: str, as_of: datetime | Column) -> Dat
     )
 
 
+def _refuse(current: DataFrame, history: DataFrame, key: str, start: Column) -> None:
+    """A key twice in the source, or a look before an open version began, would corrupt the history."""
+    repeated = current.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(5).collect()
+    if repeated:
+        raise ValueError(f"{key} is not unique in the source, e.g. {[r[0] for r in repeated]}")
+    later = history.where(F.col("valid_to").isNull() & (F.col("valid_from") > start)).limit(5).collect()
+    if later:
+        raise ValueError(f"versions open later than this look, e.g. {key} {[r[key] for r in later]}")
+
+
 def scd2_apply(
     history: DataFrame,
     current: DataFrame,
@@ -38,7 +48,8 @@ def scd2_apply(
 
     An unseen key opens a version.  A change in `check_columns` (compared NULL-safe)
     closes the open version at `as_of` and opens another from the same moment.  Other
-    columns make no version, and a key absent from `current` stays open.
+    columns make no version, and a key absent from `current` stays open.  A key twice in
+    `current`, and an `as_of` before the start of an open version, are refused.
 
     Open versions meet the current rows in one full outer join; each pair then yields
     its one or two versions from an array, so there is no second join and no re-read.
@@ -50,6 +61,7 @@ def scd2_apply(
     if set(layout) != set(history.columns):
         raise ValueError(f"history has {sorted(history.columns)}, the source gives {sorted(layout)}")
 
+    _refuse(current, history, key, start)
     old = history.where(F.col("valid_to").isNull()).select(F.struct(*layout).alias("old"))
     new = current.select(F.struct(key, *attributes).alias("new"))
     pairs = old.join(new, F.col(f"old.{key}") == F.col(f"new.{key}"), "full_outer")

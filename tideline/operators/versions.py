@@ -193,6 +193,15 @@ def require_no_nulls(staged: Staged, table: str) -> None:
         raise ValueError(f"{table}: NULL in columns declared not null: {broken}")
 
 
+def require_same_columns(spark: SparkSession, table: str, schema: T.StructType) -> None:
+    """The catalog keeps a table's columns, so contents of another shape would be lost or unreadable."""
+    held = {f.name.lower(): f.dataType.simpleString() for f in spark.table(table).schema}
+    given = {f.name.lower(): f.dataType.simpleString() for f in schema}
+    changed = sorted(c for c in held.keys() | given.keys() if held.get(c) != given.get(c))
+    if changed:
+        raise ValueError(f"{table}: columns differ from the stored ones, drop the table to change them: {changed}")
+
+
 def replace_contents(
     spark: SparkSession,
     table: str,
@@ -205,15 +214,19 @@ def replace_contents(
     """Give a table new contents as a whole; creates it when it is absent.
 
     A NULL in a `not_null` column stops the switch, and so does `verify`, which gets the
-    rows as written: `df` is computed once, and the old contents stay if it fails.
+    rows as written: `df` is computed once, and the old contents stay if it fails.  Columns
+    other than those of an existing table are refused before anything is written.
     """
     partition_by = list(partition_by)
+    exists = spark.catalog.tableExists(table)
+    if exists:
+        require_same_columns(spark, table, df.schema)
     version = new_version(spark, table)
     staged = stage(df, f"{version}/rows", partition_by, not_null, spread)
     require_no_nulls(staged, table)
     if verify:
         verify(spark.read.schema(df.schema).parquet(staged.path))
-    if not spark.catalog.tableExists(table):
+    if not exists:
         create_table(spark, table, df.schema, partition_by)
     if partition_by:
         present = staged_partitions(spark, staged.path, df.schema, partition_by)

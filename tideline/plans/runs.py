@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tideline.functions import instant
 from tideline.operators.contract import build_table, enforce_contract
 from tideline.operators.governance import apply_contract_governance
-from tideline.operators.ingest import BATCH, LoadSummary, copy_into, ledger_tables
+from tideline.operators.ingest import BATCH, LoadSummary, committed, copy_into, ledger_tables
 from tideline.operators.merge import MergeResult, high_mark, high_marks, merge_into, since
 from tideline.operators.quality import verify_load
 from tideline.operators.replace import replace_table
@@ -60,7 +60,7 @@ def load_feed(
         found = schema_drift(prints, spark.table(shapes)).select(F.concat_ws(",", "columns").alias("c")).distinct()
         drift = sorted(row.c for row in found.collect())
         prints.select("dataset", "schema_hash", BATCH).write.insertInto(shapes)
-    newest = [(r.period, r.row_count) for r in verify_load(spark.table(raw)).collect()]
+    newest = [(r.period, r.row_count) for r in verify_load(committed(spark, raw)).collect()]
     return LoadReport(summary, drift, newest)
 
 
@@ -133,14 +133,16 @@ def refresh_trip_fact(
     updated_at: datetime | None = None,
     updated_by: str | None = None,
     full_refresh: bool = False,
-    mark_per_feed: bool = False,
+    mark_per_feed: bool = True,
     periods: Sequence[str] | None = None,
     latest_by: Sequence[str] = (),
 ) -> MergeResult:
     """Trips of the newest stored period and later into the fact, merged on the trip key.
 
-    One mark serves both feeds, unless `mark_per_feed` follows each of them; `periods`
-    names months instead, for files restated after they were loaded.  `latest_by` keeps
+    Each feed is followed by its own mark, so one that lags behind loses nothing; with
+    `mark_per_feed` off one mark serves both.  `periods` names months instead, for files
+    restated after they were loaded: those months are replaced, and trips that are no longer
+    in them leave the fact.  Give `ingest.latest_files` of the raw tables for them.  `latest_by` keeps
     the last of several rows with one key; without it they fail the run.  A full refresh
     reads everything and is for the first build and for changed logic.
     """
@@ -159,6 +161,7 @@ def refresh_trip_fact(
     result = merge_into(
         spark, fact, enforce_contract(rows, plan.TRIP_CONTRACT), "trip_key", "source_period",
         latest_by=latest_by, not_null=plan.TRIP_CONTRACT.required, full_refresh=full_refresh, by_partition=not latest_by,
+        replaces=list(periods or ()),
     )
     if result.mode == "full":
         apply_contract_governance(spark, fact, plan.TRIP_CONTRACT)

@@ -15,6 +15,7 @@ from tideline.operators.contract import Contract, ContractColumn
 from tideline.operators.governance import apply_governance
 from tideline.operators.ingest import create_like
 from tideline.operators.lookup import current_versions, lookup_with_fallback
+from tideline.operators.versions import quoted
 
 # --- fixed values: feed names, zone, reserved zones, published code lists -----------------
 ZONE = "America/New_York"
@@ -128,7 +129,7 @@ def create_raw_table(spark: SparkSession, table: str, clock_prefix: str) -> None
 
 def code_list(spark: SparkSession, values: dict[int, str], key: str, value: str) -> DataFrame:
     """A code list as rows.  Literal rows, so Spark knows their size and broadcasts them."""
-    rows = ", ".join(f"({code}L, '{text}')" for code, text in values.items())
+    rows = ", ".join(f"({code}L, {quoted(text)})" for code, text in values.items())
     return spark.sql(f"SELECT * FROM VALUES {rows} AS codes({key}, {value})")
 
 

@@ -34,7 +34,7 @@ look1 AS (
 look2 AS (
   SELECT DISTINCT l_suppkey AS vendor_id, coalesce(name, 'Unknown vendor (' || l_suppkey || ')') AS vendor_name,
          name IS NULL AS is_unmapped
-  FROM lineitem LEFT JOIN lookup2 ON l_suppkey = id WHERE l_shipdate >= TIMESTAMP '1995-03-01'
+  FROM lineitem LEFT JOIN lookup2 ON l_suppkey = id WHERE l_shipdate >= TIMESTAMP '1995-02-01'
 ),
 history AS (
   SELECT a.*, TIMESTAMP '1998-01-01 00:00:00' AS valid_from,
@@ -71,7 +71,7 @@ def vendor_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two looks at the vendors: the second finds new ones, renamed ones, and misses some."""
     lines = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_shipdate")
     early = lines.where(F.col("l_shipdate") < F.lit("1995-02-01").cast("timestamp_ntz"))
-    later = lines.where(F.col("l_shipdate") >= F.lit("1995-03-01").cast("timestamp_ntz"))
+    later = lines.where(F.col("l_shipdate") >= F.lit("1995-02-01").cast("timestamp_ntz"))
     history = open_versions(_look(spark, sf_dir, early, second=False), "vendor_id", FIRST)
     return scd2_apply(history, _look(spark, sf_dir, later, second=True), "vendor_id", ["vendor_name"], SECOND)
 

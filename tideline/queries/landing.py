@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tideline.frames import small_frame
 from tideline.functions import period_of
 from tideline.operators.aggregate import schema_shapes
-from tideline.operators.ingest import committed, copy_into, create_like, latest_batches, reset
+from tideline.operators.ingest import committed, copy_into, create_like, latest_files, reset
 from tideline.operators.manifest import from_json_lines, to_json_lines, update_manifest
 from tideline.operators.quality import verify_load
 from tideline.queries.feeds import table
@@ -327,7 +327,7 @@ def copy_into_restated(spark: SparkSession, sf_dir: str) -> DataFrame:
     month = lines(spark, sf_dir).where("period = '2001-10'")
     land(month.withColumn("l_extendedprice", F.col("l_extendedprice") + 1), folder, "period", mode="overwrite")
     copy_into(spark, raw, folder, loaded_at=LOADED_AT, actor="loader")
-    return latest_batches(spark, raw).select(*LINES, "period")
+    return latest_files(spark, raw, list_files(spark, folder, "*.parquet")).select(*LINES, "period")
 
 
 @query(_LINES_SQL)

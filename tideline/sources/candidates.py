@@ -44,12 +44,13 @@ def classify_candidates(candidates: DataFrame, listing: DataFrame, manifest: Dat
 
     `listing` (key, etag, content_length) is what the source offers now; `manifest` (key,
     etag) is what was taken before.  A candidate missing from the listing is simply not
-    there yet and never an error.
+    there yet and never an error.  A listed file without etag is there: new, or restated
+    if another etag was noted.
     """
-    offered = listing.select("key", "etag", "content_length")
+    offered = listing.select("key", "etag", "content_length", F.lit(True).alias("is_offered"))
     prior = manifest.select("key", F.col("etag").alias("prior_etag"), F.lit(True).alias("has_prior"))
     status = (
-        F.when(F.col("etag").isNull(), "unpublished")
+        F.when(F.col("is_offered").isNull(), "unpublished")
         .when(F.col("has_prior") & F.col("prior_etag").eqNullSafe(F.col("etag")), "unchanged")
         .when(F.col("has_prior"), "restated")
         .otherwise("new")
@@ -58,7 +59,7 @@ def classify_candidates(candidates: DataFrame, listing: DataFrame, manifest: Dat
         candidates.join(offered, "key", "left")
         .join(prior, "key", "left")
         .withColumn("status", status)
-        .drop("has_prior")
+        .drop("has_prior", "is_offered")
     )
 
 

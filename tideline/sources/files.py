@@ -62,8 +62,16 @@ def size_mismatches(files: DataFrame, expected: DataFrame, key: str = "path") ->
     return files.join(wanted, key).where(known & (F.col("expected_length") != F.col("length")))
 
 
+def absent_files(files: DataFrame, expected: DataFrame, key: str = "path") -> DataFrame:
+    """Expected files that never arrived."""
+    return expected.join(files, key, "left_anti")
+
+
 def check_sizes(files: DataFrame, expected: DataFrame, key: str = "path") -> DataFrame:
-    """Pass `files` on, or fail when a transfer was cut short."""
+    """Pass `files` on, or fail when a transfer was cut short or never came."""
+    absent = [r[key] for r in absent_files(files, expected, key).limit(5).collect()]
+    if absent:
+        raise ValueError(f"expected files are absent: {absent}")
     wrong = size_mismatches(files, expected, key).limit(5).collect()
     if wrong:
         details = ", ".join(f"{r[key]}: expected {r['expected_length']}, got {r['length']}" for r in wrong)
