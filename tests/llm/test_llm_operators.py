@@ -314,6 +314,13 @@ def test_plan_covers_the_histogram_exactly():
     assert all(sum(l * n for l, n in cfg) <= 2048 for cfg, _ in chosen)
 
 
+def test_a_small_histogram_is_packed_to_its_bound():
+    r = random.Random(5)
+    histogram = Counter(min(2048, int(r.lognormvariate(5.5, 1.2)) + 2) for _ in range(1500))
+    bound = -(-sum(l * n for l, n in histogram.items()) // 2048)
+    assert sum(n for _, n in packing.plan(histogram)) <= bound + 2
+
+
 # ------------------------------------------------------------------ queries and pipeline
 
 

@@ -5,7 +5,7 @@ amounts of configurations (multisets of lengths that fit a sequence) which cover
 smallest sum.  Multiplicative weights on the lengths are its dual prices; the configuration
 of the highest price is found by an unbounded knapsack over capacity; the average of those found is an
 almost optimal fractional cover.  It is rounded down; what is left is at most one sequence for each
-configuration, and goes by best fit, decreasing.
+configuration, and goes by best fit, decreasing, beside a bounded number of sequences opened again.
 
 Only the histogram and the plan (run lengths of configurations) pass the driver: both are bounded by
 `capacity` and the number of rounds, whatever the number of pieces.
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from tideline.llm.rows import Columns, identified, map_columns, stored
 
 CAPACITY, ROUNDS = 2048, 150
+OPENED = (64, 256, 1024, 4096, 16384)  # sequences opened again while the rest is placed
 CACHED_WORDS = 800_000  # of a Python worker, so its memory stays bounded
 
 Configuration = tuple[tuple[int, int], ...]  # (length, how often), longest first
@@ -181,33 +182,63 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUN
         left = {l: n for l, n in left.items() if n}
         if sum(left.values()) * 2 > before or sum(l * n for l, n in left.items()) < 64 * capacity:
             break
-    for config in _best_fit_decreasing(left, capacity):
-        chosen[config] += 1
-    return sorted(chosen.items())
+    return sorted(_fill(left, chosen, capacity).items())
+
+
+def _fill(left: dict[int, int], chosen: Counter[Configuration], capacity: int) -> Counter[Configuration]:
+    """The rest by best fit.  Rounding may have used up the short pieces that would fill beside the long ones of
+    the rest, so numbers of sequences are opened again, spread over all configurations, and the fewest kept."""
+    best, total = _best_fit_decreasing(left, chosen, capacity), sum(chosen.values())
+    for opened in OPENED:
+        share, kept, rest, due = min(1.0, opened / max(total, 1)), Counter(), Counter(left), 0.0
+        for config, times in sorted(chosen.items()):
+            due += times * share
+            out = min(times, int(due + 1e-9))
+            due -= out
+            if times > out:
+                kept[config] = times - out
+            for l, n in config:
+                rest[l] += n * out
+        tried = _best_fit_decreasing(rest, kept, capacity)
+        if sum(tried.values()) < sum(best.values()):
+            best = tried
+        if opened >= total:
+            break
+    return best
 
 
-def _best_fit_decreasing(left: dict[int, int], capacity: int) -> Iterator[Configuration]:
-    """The rest: each piece, longest first, to the fullest sequence that still holds it."""
-    rooms: dict[int, list[list[int]]] = defaultdict(list)  # by free room
-    free: list[int] = []
+def _best_fit_decreasing(left: dict[int, int], chosen: dict[Configuration, int], capacity: int) -> Counter[Configuration]:
+    """The rest: each piece, longest first, to the fullest sequence that still holds it, the chosen ones included.
+
+    Equal sequences are kept as one entry with their number, so the size is that of the rest, not of all sequences.
+    """
+    rooms: dict[int, Counter[Configuration]] = defaultdict(Counter)  # by free room
+    for config, times in chosen.items():
+        rooms[capacity - sum(l * n for l, n in config)][config] += times
+    free = sorted(rooms)
     for length in sorted(left, reverse=True):
         for _ in range(left[length]):
             i = bisect.bisect_left(free, length)
             if i < len(free):
                 room = free[i]
-                items = rooms[room].pop()
+                config = next(iter(rooms[room]))
+                rooms[room][config] -= 1
+                if not rooms[room][config]:
+                    del rooms[room][config]
                 if not rooms[room]:
                     free.pop(i)
             else:
-                room, items = capacity, []
-            items.append(length)
+                room, config = capacity, ()
+            held = dict(config)
+            held[length] = held.get(length, 0) + 1
             room -= length
             if not rooms[room]:
                 bisect.insort(free, room)
-            rooms[room].append(items)
-    for lists in rooms.values():
-        for items in lists:
-            yield tuple(sorted(Counter(items).items(), reverse=True))
+            rooms[room][tuple(sorted(held.items(), reverse=True))] += 1
+    packed: Counter[Configuration] = Counter()
+    for configs in rooms.values():
+        packed.update(configs)
+    return packed
 
 
 def _slots(chosen: list[tuple[Configuration, int]]) -> dict[int, tuple]:
