@@ -18,8 +18,41 @@ def test_compaction_keeps_rows_and_reduces_files(spark, db):
     assert describe_detail(spark.table(table)).first().num_files == 15
     assert compact(spark, table, "id") == 3
     assert rows(spark.table(table)) == before
-    assert describe_detail(spark.table(table)).first().num_files <= 4
-    assert compact(spark, table, "id") in (0, 1)
+    assert describe_detail(spark.table(table)).first().num_files == 3
+    assert compact(spark, table, "id") == 0
+
+
+def test_a_large_partition_is_cut_and_left_alone_by_the_next_run(spark, db):
+    table = f"{db}.t"
+    df = spark.range(60_000).select(F.rand(1).alias("x"), F.when(F.col("id") % 3 > 0, "hot").otherwise((F.col("id") % 7).cast("string")).alias("period"))
+    spark.sql(f"CREATE TABLE {table} (x DOUBLE, period STRING) USING parquet PARTITIONED BY (period)")
+    df.repartition(16).write.insertInto(table)
+    before = rows(spark.table(table))
+    assert compact(spark, table, "x", target_bytes=100_000) == 8
+    files = {r.period: r.num_files for r in describe_detail(spark.table(table), ["period"]).collect()}
+    assert 2 <= files.pop("hot") <= 6 and set(files.values()) == {1}
+    assert rows(spark.table(table)) == before
+    assert compact(spark, table, "x", target_bytes=100_000) == 0
+
+
+def test_files_are_listed_without_reading_rows(spark, db):
+    table = f"{db}.t"
+    replace_contents(spark, table, spark.range(90).withColumn("p", F.col("id") % 3), ["p"])
+    detail = describe_detail(spark.table(table), ["p"])
+    plan = detail._jdf.queryExecution().executedPlan().toString()
+    assert "binaryFile" in plan and "parquet" not in plan.lower().replace(".parquet", "")
+    assert [(r.p, r.num_files) for r in detail.orderBy("p").collect()] == [(0, 1), (1, 1), (2, 1)]
+    assert rows(describe_detail(spark.table(table).where("p = 1"), ["p"]).select("p")) == [(1,)]
+
+
+def test_a_table_without_rows_keeps_its_version(spark, db):
+    table = f"{db}.t"
+    replace_contents(spark, table, spark.range(3))
+    replace_contents(spark, table, spark.range(0))
+    now = datetime.now(timezone.utc)
+    expire_versions(spark, table, now=now)
+    assert len(expire_versions(spark, table, now=now + timedelta(days=8))) == 1
+    assert spark.table(table).count() == 0
 
 
 def test_a_hot_value_is_spread_over_tasks(spark):

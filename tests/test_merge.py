@@ -129,3 +129,29 @@ def test_a_restated_partition_loses_what_the_source_dropped(spark, db):
     assert rows(spark.table(table)) == [("a2", 12, "2025-01"), ("b", 2, "2025-01"), ("c", 3, "2025-02")]
     merge_into(spark, table, again.limit(0), "k", "p", replaces=["2025-02"])
     assert rows(spark.table(table).select("k")) == [("a2",), ("b",)]
+
+
+def test_matches_are_sought_in_the_dates_of_the_source_only(spark, db):
+    from datetime import date
+
+    from tideline.operators.merge import matched_partitions, within_dates
+
+    table, schema = f"{db}.dated", "k string, d date, v int, p string"
+    days = [date(2024, m, 10) for m in range(1, 13)]
+    first = spark.createDataFrame([(f"k{i}", d, 1, f"2024-{d.month:02d}") for i, d in enumerate(days)] + [("none", None, 1, "2024-01")], schema)
+    merge_into(spark, table, first, "k", "p", key_date="d")
+    moved = spark.createDataFrame([("k3", days[3], 2, "2024-09"), ("new", date(1999, 1, 1), 2, "2024-09"), ("none", None, 2, "2024-09")], schema)
+    fresh = spark.table(table).limit(0).unionByName(moved)
+    plan = matched_partitions(spark.table(table), fresh, "k", "p", "d")._jdf.queryExecution().executedPlan().toString()
+    pushed = next(line for line in plan.splitlines() if "PushedFilters" in line and "IsNull(d)" in line)
+    assert "PushedFilters" in pushed and "GreaterThanOrEqual(d,1999-01-01)" in pushed
+    result = merge_into(spark, table, moved, "k", "p", key_date="d")
+    held = {r.k: (r.v, r.p) for r in spark.table(table).collect()}
+    assert held["k3"] == (2, "2024-09") and held["none"] == (2, "2024-09") and held["new"] == (2, "2024-09")
+    assert len(held) == spark.table(table).count() == 14 and result.partitions_rewritten == 2
+
+    dates = spark.createDataFrame([(date(2024, 1, 1 + 2 * i),) for i in range(10)] + [(date(1970, 1, 1),)], "d date")
+    wide = spark.sql("SELECT explode(sequence(DATE'1969-12-01', DATE'2024-02-01')) AS d").where(within_dates("d", dates, most=2))
+    assert wide.count() == 1 + 19
+    with pytest.raises(ValueError):
+        within_dates("v", spark.table(table))

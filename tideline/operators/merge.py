@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideline.operators.contract import SchemaMismatch, schema_differences
 from tideline.operators.versions import (
@@ -104,6 +105,7 @@ def merge_into(
     full_refresh: bool = False,
     by_partition: bool = False,
     replaces: Sequence[str] = (),
+    key_date: str | None = None,
 ) -> MergeResult:
     """Replace matched keys, insert the others; running it twice equals running it once.
 
@@ -119,6 +121,11 @@ def merge_into(
     `replaces` names partitions that the source restates as a whole: their rows go even where
     the source no longer has the key.
 
+    `key_date` names a DATE column that the key fixes, such as one it is made of: a matched row has the
+    source row's date, so step 2 asks only for the source's dates, by literal ranges that the scan holds
+    against the statistics of files and row groups.  Without it the key of the whole target is read.
+    Compact the target by this column to keep its ranges narrow.
+
     `by_partition` tells that the source arrives laid out by `partition_by`, as a scan of
     such a table does: a whole build then writes it as it comes, without a shuffle.
     """
@@ -139,7 +146,7 @@ def merge_into(
     if not latest_by:
         _require_unique(fresh, key)
 
-    matched = target.select(key, partition_by).join(fresh.select(key), key, "left_semi").select(partition_by)
+    matched = matched_partitions(target, fresh, key, partition_by, key_date)
     affected = {r[0] for r in matched.union(fresh.select(partition_by)).distinct().collect()}
     held = {p.split("=", 1)[1] for p in registered_partitions(spark, table)} if replaces else set()
     affected = sorted(affected | (held & set(replaces)))
@@ -155,6 +162,34 @@ def merge_into(
     return MergeResult("incremental", len(present), merged.rows)
 
 
+def matched_partitions(
+    target: DataFrame, fresh: DataFrame, key: str, partition_by: str, key_date: str | None = None
+) -> DataFrame:
+    """Partition values of the target rows whose key is in `fresh`."""
+    if key_date:
+        target = target.where(within_dates(key_date, fresh))
+    return target.select(key, partition_by).join(fresh.select(key), key, "left_semi").select(partition_by)
+
+
+def within_dates(column: str, rows: DataFrame, most: int = 24) -> Column:
+    """`column` has a date that occurs in `rows`, or lies between two that do; NULL where `rows` has NULL.
+
+    At most `most` ranges: the widest gaps between the dates stay gaps, so a few stray dates far
+    off do not widen the rest.  The driver sees distinct dates only.
+    """
+    if rows.schema[column].dataType != T.DateType():
+        raise ValueError(f"{column} is no DATE column")
+    found = {r[0] for r in rows.select(column).distinct().collect()}
+    days = sorted(found - {None})
+    gaps = sorted(range(1, len(days)), key=lambda i: days[i - 1] - days[i])[: most - 1]
+    starts = [0, *sorted(i for i in gaps if (days[i] - days[i - 1]).days > 1), len(days)]
+    condition = F.col(column).isNull() if None in found else F.lit(False)
+    for first, end in zip(starts, starts[1:]):
+        if end > first:
+            condition = condition | F.col(column).between(F.lit(days[first]), F.lit(days[end - 1]))
+    return condition
+
+
 def _require_unique(df: DataFrame, key: str) -> None:
     examples = duplicate_keys(df, key).limit(5).collect()
     if examples:

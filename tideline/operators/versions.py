@@ -13,6 +13,7 @@ import uuid
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,7 @@ from tideline.session import shared_dir
 PENDING = "tideline.pending"
 _SAFE = re.compile(r"[A-Za-z0-9_. -]+")
 _STATEMENT_SIZE = 200
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 def create_database(spark: SparkSession, name: str, folder: str | None = None, comment: str = "") -> str:
@@ -75,7 +77,8 @@ class Staged:
 
 
 def stage(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), not_null: Iterable[str] = (), spread: bool = True
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), not_null: Iterable[str] = (), spread: bool = True,
+    mode: str = "error",
 ) -> Staged:
     """Write `df` to `path`; row and NULL counts come from the same pass over the data.
 
@@ -96,15 +99,21 @@ def stage(
         F.count(F.lit(1)).alias("rows"),
         *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in not_null],
     )
-    counted.write.partitionBy(*partition_by).parquet(path)
+    counted.write.mode(mode).partitionBy(*partition_by).parquet(path)
     seen = watch.get
     return Staged(path, seen["rows"], {c: seen[f"null_{c}"] for c in not_null})
 
 
 def staged_partitions(spark: SparkSession, path: str, schema: T.StructType, columns: Sequence[str]) -> list[str]:
-    """Names of the partitions under a staged folder; reads no column data."""
-    found = spark.read.schema(schema).parquet(path).select(*columns).distinct().collect()
-    return [partition_name(dict(zip(columns, row, strict=True))) for row in found]
+    """Names of the partitions under a staged folder, from the names of its files."""
+    folders = {tuple(f.split("/")[-1 - len(columns) : -1]) for f in file_names(spark.read.schema(schema).parquet(path))}
+    values = [dict(part.split("=", 1) for part in folder) for folder in sorted(folders)]
+    return [partition_name({c: None if v[c] == NULL_FOLDER else v[c] for c in columns}) for v in values]
+
+
+def file_names(df: DataFrame) -> list[str]:
+    """Paths of the files a scan would read, as its planning lists them; no file is opened."""
+    return [unquote(name) for name in df.inputFiles()]
 
 
 def partition_name(values: dict[str, object]) -> str:

@@ -161,7 +161,7 @@ def refresh_trip_fact(
     result = merge_into(
         spark, fact, enforce_contract(rows, plan.TRIP_CONTRACT), "trip_key", "source_period",
         latest_by=latest_by, not_null=plan.TRIP_CONTRACT.required, full_refresh=full_refresh, by_partition=not latest_by,
-        replaces=list(periods or ()),
+        replaces=list(periods or ()), key_date="pickup_date",
     )
     if result.mode == "full":
         apply_contract_governance(spark, fact, plan.TRIP_CONTRACT)

@@ -20,7 +20,7 @@ from tideline.queries.registry import query
 @query(
     """
     SELECT strftime(l_shipdate, '%Y-%m') AS source_period, count(*) AS row_count, CAST(sum(l_suppkey) AS BIGINT) AS vendor_sum,
-           true AS few_files
+           true AS few_files, 0 AS rewritten_again
     FROM lineitem GROUP BY 1
     """
 )
@@ -33,14 +33,15 @@ def compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     create_table(spark, target, rows.schema, ["source_period"])
     switch_partitions(spark, target, version, staged_partitions(spark, staged.path, rows.schema, ["source_period"]))
     compact(spark, target, "source_period")
+    again = compact(spark, target, "source_period")
     stored = spark.table(target)
     counts = stored.groupBy("source_period").agg(
         F.count(F.lit(1)).alias("row_count"), F.sum("vendor_id").cast("bigint").alias("vendor_sum")
     )
-    needed = F.greatest(F.lit(1), F.ceil(F.col("size_in_bytes") / TARGET_BYTES)) + 1
+    needed = F.greatest(F.lit(1), F.ceil(F.col("size_in_bytes") / TARGET_BYTES))
     detail = describe_detail(stored, ["source_period"])
     few = detail.select("source_period", (F.col("num_files") <= needed).alias("few_files"))
-    return counts.join(few, "source_period")
+    return counts.join(few, "source_period").withColumn("rewritten_again", F.lit(again))
 
 
 @query(f"SELECT {', '.join(LINES)}, strftime(l_shipdate, '%Y-%m') AS period FROM lineitem")
