@@ -11,6 +11,7 @@ from conftest import rows
 from tideline.operators.quality import run_tests
 from tideline.plans import checks
 from tideline.plans import trips as plan
+from tideline.plans import runs
 from tideline.plans.runs import load_feed, refresh_reference, refresh_trip_fact, refresh_vendor_dimension
 
 T1, T2 = datetime(2025, 4, 1), datetime(2025, 5, 1)
@@ -178,3 +179,30 @@ def test_reference_csv(spark, db, tmp_path):
     spark.sql(f"DROP TABLE {table}")  # as after a table load that failed
     assert run(4) == "reloaded"
     assert spark.table(table).count() == 265
+
+
+def test_vendors_are_observed_in_new_loads_only(spark, lake, db):
+    names = plan.code_list(spark, plan.VENDORS, "vendor_id", "vendor_name")
+    observed, raw = f"{db}.observed", (lake.yellow, lake.green)
+
+    def refresh(at):
+        return runs.refresh_vendors_of_loads(spark, f"{db}.h", f"{db}.d", observed, *raw, names, at)
+
+    assert refresh(T1) == 2
+    land(lake.landing, "yellow", "2025-02", [trip("tpep", 8, datetime(2025, 2, 1, 12), Airport_fee=0.0), trip("tpep", 1, datetime(2025, 2, 2, 12), Airport_fee=0.0)])
+    lake.load()
+    earlier = spark.table(observed).count()
+    assert refresh(T2) == 1
+    assert spark.table(observed).count() == earlier + 3  # two vendors and the note
+    assert rows(spark.table(f"{db}.d").select("vendor_id")) == [(1,), (8,), (9,)]
+    assert refresh(T2) == 0
+    whole = plan.observed_vendors(plan.all_trips(*map(spark.table, raw)), names).groupBy("vendor_id").sum("trip_count")
+    summed = spark.table(observed).where("vendor_id IS NOT NULL").groupBy("vendor_id").sum("trip_count")
+    assert rows(whole) == rows(summed)
+
+
+def test_stale_raw_tables_fail_the_run(spark, lake):
+    now = datetime.now()
+    assert runs.check_raw_freshness(spark, [lake.yellow, lake.green], now) == {lake.yellow: "pass", lake.green: "pass"}
+    with pytest.raises(ValueError, match="not loaded"):
+        runs.check_raw_freshness(spark, [lake.green], datetime(now.year + 1, 1, 1), error_days=0)

@@ -27,9 +27,13 @@ def combine_observations(earlier: DataFrame, later: DataFrame, key: str) -> Data
 
     With the earlier ones stored, a run aggregates the rows of its new batches only.
     """
+    return sum_observations(earlier.unionByName(later), key)
+
+
+def sum_observations(observations: DataFrame, key: str) -> DataFrame:
+    """Several observations of a key as one."""
     return (
-        earlier.unionByName(later)
-        .groupBy(key)
+        observations.groupBy(key)
         .agg(
             F.min("first_seen_at").alias("first_seen_at"),
             F.max("last_seen_at").alias("last_seen_at"),

@@ -6,19 +6,22 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.frames import small_frame
-from tideline.operators.versions import create_table, drop_partitions, registered_partitions
+from tideline.operators.versions import create_table, delete_folder, drop_partitions, registered_partitions
+from tideline.session import workspace
 from tideline.sources.drift import schema_fingerprints, shapes_of, widen_schemas, widen_type
 from tideline.sources.files import LINEAGE, list_files, with_lineage
 
 BATCH = "_batch_id"
 FILES_PER_BATCH = 100_000
 _FILES = "path string, modified_us bigint, length bigint"
+_SHAPE = "columns array<string>, schema_hash string, type_hash string, spark_schema string"
 
 
 @dataclass(frozen=True)
@@ -36,7 +39,7 @@ def ledger_tables(table: str) -> tuple[str, str]:
 
 def _ensure_ledger(spark: SparkSession, table: str) -> None:
     files, batches = ledger_tables(table)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {files} ({_FILES}, {BATCH} string) USING parquet")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {files} ({_FILES}, {_SHAPE}, {BATCH} string) USING parquet")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {batches} ({BATCH} string, committed_at timestamp, "
         "file_count bigint, row_count bigint) USING parquet"
@@ -105,35 +108,31 @@ def copy_into(
     """Append the files below `source_dir` that no completed batch holds.
 
     A file version is its path, modification time and length: a file replaced at the
-    same path is a new version and is appended as another batch.  Rows are written to
-    partitions of the batch, then the ledger lists the batch's files, then one ledger row
-    completes it.  A crash before that row leaves a batch that the next run drops and
+    same path is a new version and is appended as another batch.  The ledger lists the batch's
+    files with the schemas in their footers, which are read here and nowhere else; rows are written to
+    partitions of the batch; then one ledger row completes it.  A crash before that row leaves a batch that the next run drops and
     loads again, so no row is ever loaded twice or lost.  One load per table at a time.
 
-    The driver sees names of new files, never rows, and of no more than `files_per_batch`
-    at once; what exceeds them follows in further batches of the same call.
+    The folder is listed once.  The driver sees names of new files, never rows, and of no more than
+    `files_per_batch` at once; what exceeds them follows in further batches of the same call.
 
     `modified_after` leaves older files out of the listing, for landing folders with a
     long past; files that keep an old modification time when copied there need it off.
     """
     _ensure_ledger(spark, table)
-    total, skipped = LoadSummary(None, 0, 0, 0), None
-    while True:
-        if spark.catalog.tableExists(table):
-            drop_unfinished(spark, table)
-        found = Observation()
-        listing = list_files(spark, source_dir, glob, modified_after).observe(found, F.count(F.lit(1)).alias("files"))
-        listing = listing.select("path", F.unix_micros("modified_at").alias("modified_us"), "length")
-        new = listing.join(loaded_files(spark, table), ["path", "modified_us", "length"], "left_anti")
-        new_files = [tuple(row) for row in new.limit(files_per_batch).collect()]
-        if new_files:
-            batch, row_count = _load_batch(spark, table, source_dir, new_files, partition_by, loaded_at, actor)
-            total = LoadSummary(batch, total.files_loaded + len(new_files), total.rows_inserted + row_count, 0)
-        if len(new_files) < files_per_batch:
-            skipped = found.get["files"] - len(new_files)
-            break
-    already = total.files_loaded - len(new_files)  # loaded by earlier batches of this call
-    return LoadSummary(total.batch_id, total.files_loaded, total.rows_inserted, skipped - already)
+    if spark.catalog.tableExists(table):
+        drop_unfinished(spark, table)
+    found, pending = Observation(), workspace(spark, "pending")
+    listing = list_files(spark, source_dir, glob, modified_after).observe(found, F.count(F.lit(1)).alias("files"))
+    listing = listing.select("path", F.unix_micros("modified_at").alias("modified_us"), "length")
+    listing.join(loaded_files(spark, table), ["path", "modified_us", "length"], "left_anti").write.parquet(pending)
+    names = spark.read.schema(_FILES).parquet(pending).toLocalIterator()
+    batch, loaded, inserted = None, 0, 0
+    while new_files := [tuple(row) for row in islice(names, files_per_batch)]:
+        batch, row_count = _load_batch(spark, table, source_dir, new_files, partition_by, loaded_at, actor)
+        loaded, inserted = loaded + len(new_files), inserted + row_count
+    delete_folder(spark, pending)
+    return LoadSummary(batch, loaded, inserted, found.get["files"] - loaded)
 
 
 def _load_batch(
@@ -145,15 +144,19 @@ def _load_batch(
     loaded_at: datetime | None,
     actor: str | None,
 ) -> tuple[str, int]:
-    """One batch of files: a schema that fits them all, from footers read in tasks; one scan; the ledger."""
+    """One batch of files: their ledger rows, a schema that fits them all, one scan, completion."""
+    batch_id = uuid.uuid4().hex
     files = small_frame(spark, new_files, _FILES)
-    schema = widen_schemas(shapes_of(schema_fingerprints(files, file_count=len(new_files))))
+    prints = schema_fingerprints(files, file_count=len(new_files))
+    listed = files.join(prints, "path").withColumn(BATCH, F.lit(batch_id))
+    ledger_files = ledger_tables(table)[0]
+    listed.select(*spark.table(ledger_files).columns).write.insertInto(ledger_files)
+    schema = widen_schemas(shapes_of(spark.table(ledger_files).where(F.col(BATCH) == batch_id)))
     if spark.catalog.tableExists(table):
         evolve_table(spark, table, schema)
     else:
         create_like(spark, table, schema, partition_by)
 
-    batch_id = uuid.uuid4().hex
     keyed = T.StructType([*schema, *[T.StructField(c, T.StringType()) for c in partition_by]])
     rows = spark.read.schema(keyed).option("basePath", source_dir).parquet(*[path for path, *_ in new_files])
     rows = with_lineage(rows, loaded_at, actor).withColumn(BATCH, F.lit(batch_id))
@@ -168,16 +171,13 @@ def _load_batch(
     watch = Observation()
     ordered.observe(watch, F.count(F.lit(1)).alias("rows")).write.insertInto(table)
     row_count = watch.get["rows"]
-    record_batch(spark, table, batch_id, files, len(new_files), row_count)
+    record_batch(spark, table, batch_id, len(new_files), row_count)
     return batch_id, row_count
 
 
-def record_batch(
-    spark: SparkSession, table: str, batch_id: str, files: DataFrame, file_count: int, row_count: int
-) -> None:
-    """List the files of a batch, then complete it: one row, so it is there or it is not."""
-    ledger_files, ledger_batches = ledger_tables(table)
-    files.withColumn(BATCH, F.lit(batch_id)).write.insertInto(ledger_files)
+def record_batch(spark: SparkSession, table: str, batch_id: str, file_count: int, row_count: int) -> None:
+    """Complete a batch: one row, so it is there or it is not."""
+    ledger_batches = ledger_tables(table)[1]
     done = spark.range(1, numPartitions=1).select(
         F.lit(batch_id), F.current_timestamp(), F.lit(file_count).cast("bigint"), F.lit(row_count).cast("bigint")
     )

@@ -9,21 +9,30 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tideline.frames import small_frame
 from tideline.functions import instant
+from tideline.operators.aggregate import observe_keys, sum_observations
 from tideline.operators.contract import build_table, enforce_contract
 from tideline.operators.governance import apply_contract_governance
 from tideline.operators.ingest import BATCH, LoadSummary, committed, copy_into, ledger_tables
+from tideline.operators.maintain import RETAIN_DAYS, TARGET_BYTES, compact, describe_detail, expire_versions
 from tideline.operators.merge import MergeResult, high_mark, high_marks, merge_into, since
-from tideline.operators.quality import verify_load
+from tideline.operators.quality import ERROR_DAYS, WARN_DAYS, freshness, verify_load
 from tideline.operators.replace import replace_table
 from tideline.operators.scd2 import open_versions, present_dimension, scd2_apply
 from tideline.operators.versions import replace_contents
 from tideline.plans import trips as plan
-from tideline.sources.drift import schema_drift, schema_fingerprints
+from tideline.sources.drift import schema_drift
 from tideline.sources.files import check_sizes, list_files, scan_csv
 from tideline.sources.reference import archive_copy, content_changed, content_hashes, validate_reference
 
 
+_OBSERVED = (
+    "vendor_id bigint, first_seen_at timestamp, last_seen_at timestamp, trip_count bigint, "
+    "tlc_type string, batches array<string>"
+)
+
+
 @dataclass(frozen=True)
 class LoadReport:
     summary: LoadSummary
@@ -42,8 +51,8 @@ def load_feed(
 ) -> LoadReport:
     """Landed files into a raw table: sizes, load, drift, verification.
 
-    Drift compares the shapes of the loaded files with those of earlier loads, kept in
-    `<raw>__shapes`, and informs; sizes and an empty table fail the run.
+    Drift compares the shapes of the loaded files, as the ledger has them, with those of earlier loads,
+    kept in `<raw>__shapes`, and informs; sizes and an empty table fail the run.
     """
     if expected_sizes is not None:
         check_sizes(list_files(spark, source_dir, "*.parquet"), expected_sizes)
@@ -55,8 +64,7 @@ def load_feed(
     unseen = spark.table(ledger_tables(raw)[1]).join(noted, BATCH, "left_anti").select(BATCH)
     if not unseen.isEmpty():
         files = spark.table(ledger_tables(raw)[0]).join(unseen, BATCH, "left_semi")
-        prints = schema_fingerprints(files).join(files.select("path", BATCH), "path")
-        prints = prints.withColumn("dataset", F.lit(dataset)).select("dataset", "schema_hash", BATCH, "columns").distinct()
+        prints = files.select(F.lit(dataset).alias("dataset"), "schema_hash", BATCH, "columns").distinct()
         found = schema_drift(prints, spark.table(shapes)).select(F.concat_ws(",", "columns").alias("c")).distinct()
         drift = sorted(row.c for row in found.collect())
         prints.select("dataset", "schema_hash", BATCH).write.insertInto(shapes)
@@ -111,8 +119,47 @@ def refresh_vendor_dimension(
     """Observed vendors into their history, and the history into the dimension.
 
     Only the name makes a version; when a vendor was last seen changes with every run.
+    Reads all `trips`; `refresh_vendors_of_loads` reads those of new loads only.
+    """
+    _publish_vendors(spark, history, dimension, plan.observed_vendors(trips, vendors), as_of)
+
+
+def note_vendors(spark: SparkSession, observed: str, raw_yellow: str, raw_green: str) -> int:
+    """Vendors met in completed loads that were not noted before, appended to `observed`; the number of loads.
+
+    The batch is a partition column of a raw table, so only partitions of new loads are read.  The
+    vendors of a load and the note of it, a row without vendor, are one write.  A vendor met only in
+    a file version that was replaced later stays noted, as a vendor that vanishes stays in the dimension.
     """
-    current = plan.observed_vendors(trips, vendors).select("vendor_id", "vendor_name", "is_unmapped")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {observed} ({_OBSERVED}) USING parquet")
+    loads = 0
+    for raw, trips_of, feed in ((raw_yellow, plan.yellow_trips, plan.YELLOW), (raw_green, plan.green_trips, plan.GREEN)):
+        noted = spark.table(observed).where(F.col("tlc_type") == feed).select(F.explode("batches").alias(BATCH))
+        done = spark.table(ledger_tables(raw)[1]).select(BATCH)
+        batches = sorted(r[0] for r in done.join(noted, BATCH, "left_anti").collect())
+        if batches:
+            trips = trips_of(spark.table(raw).where(F.col(BATCH).isin(batches)))
+            met = observe_keys(trips.select("vendor_id", "pickup_at"), "vendor_id", "pickup_at")
+            note = spark.range(1).select(F.array(*map(F.lit, batches)).alias("batches"))
+            rows = met.unionByName(note, allowMissingColumns=True).withColumn("tlc_type", F.lit(feed))
+            rows.select(*spark.table(observed).columns).coalesce(1).write.insertInto(observed)
+        loads += len(batches)
+    return loads
+
+
+def refresh_vendors_of_loads(
+    spark: SparkSession, history: str, dimension: str, observed: str, raw_yellow: str, raw_green: str,
+    vendors: DataFrame, as_of: datetime,
+) -> int:
+    """As `refresh_vendor_dimension`, from stored observations and the loads since; the number of loads read."""
+    loads = note_vendors(spark, observed, raw_yellow, raw_green)
+    met = spark.table(observed).where(F.col("vendor_id").isNotNull()).drop("tlc_type", "batches")
+    _publish_vendors(spark, history, dimension, plan.named_vendors(sum_observations(met, "vendor_id"), vendors), as_of)
+    return loads
+
+
+def _publish_vendors(spark: SparkSession, history: str, dimension: str, observed: DataFrame, as_of: datetime) -> None:
+    current = observed.select("vendor_id", "vendor_name", "is_unmapped")
     if spark.catalog.tableExists(history):
         versions = scd2_apply(spark.table(history), current, "vendor_id", ["vendor_name"], as_of)
     else:
@@ -166,3 +213,38 @@ def refresh_trip_fact(
     if result.mode == "full":
         apply_contract_governance(spark, fact, plan.TRIP_CONTRACT)
     return result
+
+
+def check_raw_freshness(
+    spark: SparkSession, raw_tables: Sequence[str], as_of: datetime, warn_days: int = WARN_DAYS, error_days: int = ERROR_DAYS
+) -> dict[str, str]:
+    """`pass` or `warn` of each raw table by its newest `_loaded_at`; an error fails the run.
+
+    Only the load completed last is read: its partitions hold the newest rows.
+    """
+    found = {}
+    for raw in raw_tables:
+        last = spark.table(ledger_tables(raw)[1]).agg(F.max(F.struct("committed_at", BATCH)).alias("b")).first().b
+        rows = spark.table(raw).where(F.col(BATCH) == (last[BATCH] if last else ""))
+        found[raw] = freshness(rows, "_loaded_at", as_of, warn_days, error_days).first().status
+    stale = sorted(t for t, status in found.items() if status == "error")
+    if stale:
+        raise ValueError(f"not loaded for more than {error_days} days: {stale}")
+    return found
+
+
+def upkeep(
+    spark: SparkSession, tables: dict[str, str], target_bytes: int = TARGET_BYTES,
+    retain_days: int = RETAIN_DAYS, now: datetime | None = None,
+) -> DataFrame:
+    """Compact each table by its column, delete expired versions, and report files and bytes; one row per table."""
+    report = []
+    for table, cluster_by in tables.items():
+        rewritten = compact(spark, table, cluster_by, target_bytes)
+        deleted = len(expire_versions(spark, table, retain_days, now))
+        detail = describe_detail(spark.table(table)).first()
+        report.append((table, rewritten, deleted, detail.num_files, detail.size_in_bytes))
+    return small_frame(
+        spark, report,
+        "table_name string, partitions_rewritten int, versions_deleted int, num_files bigint, size_in_bytes bigint",
+    )

@@ -211,6 +211,11 @@ def observed_vendors(trips: DataFrame, vendors: DataFrame, earlier: DataFrame |
     observed = observe_keys(trips.select("vendor_id", "pickup_at"), "vendor_id", "pickup_at")
     if earlier is not None:
         observed = combine_observations(earlier.select(*observed.columns), observed, "vendor_id")
+    return named_vendors(observed, vendors)
+
+
+def named_vendors(observed: DataFrame, vendors: DataFrame) -> DataFrame:
+    """Observations with the vendor's name, or a placeholder."""
     named = lookup_with_fallback(
         observed, vendors, "vendor_id", "vendor_id", "vendor_name", "vendor_name", "vendor", flag="is_unmapped"
     )

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tideline.functions import period_of
 from tideline.plans.trips import ZONE, code_list
@@ -18,15 +17,9 @@ PAYMENT_NAMES = {1: "Urgent", 2: "High", 3: "Medium", 4: "Unspecified"}
 TYPE_NAMES = {1: "Accepted", 2: "None"}
 
 
-_schemas: dict[str, T.StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table; its schema is read from the footer once, not by a job per scan."""
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    """A given table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def hours(amount: str) -> Column:

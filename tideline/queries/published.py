@@ -6,11 +6,12 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tideline.operators.ingest import committed
 from tideline.operators.quality import run_tests
 from tideline.operators.versions import create_database
 from tideline.plans import checks
 from tideline.plans import trips as plan
-from tideline.plans.runs import load_feed, refresh_trip_fact, refresh_vendor_dimension
+from tideline.plans.runs import check_raw_freshness, load_feed, refresh_trip_fact, refresh_vendors_of_loads
 from tideline.queries.conform import raw_zones
 from tideline.queries.enrich import ENRICHED_SQL, enriched, vendor_dimension
 from tideline.queries.feeds import code_lists, raw_feeds, vendor_lookup
@@ -35,10 +36,12 @@ def landed_to_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
             source = f"{folder}/landing/dataset={name}"
             land(raw.drop("_loaded_from", "_loaded_at").where(months), source, "period")
             load_feed(spark, names[name], source, name, loaded_at=at, actor="loader")
-        raw_tables = [spark.table(t) for t in names.values()]
+        raw_tables = [committed(spark, t) for t in names.values()]
+        check_raw_freshness(spark, list(names.values()), at)
         history, dimension = f"{database}.vendor_history", f"{database}.vendor"
-        trips = plan.all_trips(*raw_tables)
-        refresh_vendor_dimension(spark, history, dimension, trips, vendor_lookup(spark, sf_dir), at)
+        refresh_vendors_of_loads(
+            spark, history, dimension, f"{database}.vendors_observed", *names.values(), vendor_lookup(spark, sf_dir), at
+        )
         refresh_trip_fact(spark, f"{database}.trips", *raw_tables, dimension, code_lists(spark), at, "loader")
     return spark.table(f"{database}.trips").select(*_STABLE)
 
@@ -78,11 +81,13 @@ def published_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tests of feeds, lookup, zones, dimension and fact in one run."""
     zones = plan.zone_reference(raw_zones(spark, sf_dir))
     yellow, green = raw_feeds(spark, sf_dir)
+    fact = workspace(spark, "checked_fact")
+    enriched(spark, sf_dir).write.parquet(fact)  # several tests read it, so it is computed once
     tests = [
         *checks.lookup_tests({"vendor": (vendor_lookup(spark, sf_dir), "vendor_id")}),
         *checks.feed_tests(plan.yellow_trips(yellow), plan.green_trips(green)),
         *checks.key_tests("zone", zones, "location_id"),
         *checks.dimension_tests(vendor_dimension(spark, sf_dir)),
-        *checks.fact_tests(enriched(spark, sf_dir), zones),
+        *checks.fact_tests(spark.read.parquet(fact), zones),
     ]
     return run_tests(spark, tests)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tideline.operators.governance import apply_governance, describe_governance
 from tideline.operators.maintain import TARGET_BYTES, compact, describe_detail, expire_versions
 from tideline.operators.versions import new_version, replace_contents, stage, switch_partitions, create_table, staged_partitions
+from tideline.plans.runs import upkeep
 from tideline.queries.feeds import table
 from tideline.queries.incremental import lines, new_table
 from tideline.queries.landing import LINES
@@ -44,6 +45,30 @@ def compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.join(few, "source_period").withColumn("rewritten_again", F.lit(again))
 
 
+@query(
+    """
+    SELECT 'cluster' AS kind, count(*) AS row_count, 1 AS rewritten, 1 AS files, 0 AS rewritten_again FROM orders
+    UNION ALL SELECT 'period', count(*), 5, 5, 0 FROM orders
+    """
+)
+def upkeep_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables in small files, whole and by priority, brought into shape by one run; the next one does nothing."""
+    orders = table(spark, sf_dir, "orders")
+    tables = {name: new_table(spark, name) for name in ("cluster", "period")}
+    replace_contents(spark, tables["cluster"], orders.repartition(6))
+    replace_contents(spark, tables["period"], orders.repartition(3), ["o_orderpriority"], spread=False)
+    columns = {t: "o_orderdate" for t in tables.values()}
+    first, second = upkeep(spark, columns).collect(), upkeep(spark, columns).collect()
+    results = [
+        spark.table(t).agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("kind"), "row_count", F.lit(a.partitions_rewritten).alias("rewritten"),
+            F.lit(b.num_files).cast("int").alias("files"), F.lit(b.partitions_rewritten).alias("rewritten_again"),
+        )
+        for (name, t), a, b in zip(tables.items(), first, second, strict=True)
+    ]
+    return results[0].unionByName(results[1])
+
+
 @query(f"SELECT {', '.join(LINES)}, strftime(l_shipdate, '%Y-%m') AS period FROM lineitem")
 def compaction_unpartitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table in many files, rewritten in the order of its period."""

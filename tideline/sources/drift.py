@@ -15,27 +15,32 @@ _INTEGERS = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()]
 _FILES_PER_TASK = 64
 
 
-def _read_footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    import pyarrow.parquet as pq
-    from pyarrow.fs import FileSystem
-    from pyspark.sql.pandas.types import from_arrow_schema
-
-    for batch in batches:
-        paths, names, schemas = batch.column("path").to_pylist(), [], []
-        for path in paths:
-            uri = path.replace("file:/", "file:///", 1) if path.startswith("file:/") and path[6] != "/" else path
-            system, name = FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
-            schema = pq.read_schema(name, filesystem=system)
-            names.append(list(schema.names))
-            schemas.append(from_arrow_schema(schema, prefer_timestamp_ntz=True).json())
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(paths, pa.string()),
-                pa.array(names, pa.list_(pa.string())),
-                pa.array(schemas, pa.string()),
-            ],
-            ["path", "columns", "spark_schema"],
-        )
+def _footer_reader():
+    """The task's function, defined here so that it travels by value: workers need not have this package."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.parquet as pq
+        from pyarrow.fs import FileSystem
+        from pyspark.sql.pandas.types import from_arrow_schema
+
+        for batch in batches:
+            paths, names, schemas = batch.column("path").to_pylist(), [], []
+            for path in paths:
+                uri = path.replace("file:/", "file:///", 1) if path.startswith("file:/") and path[6] != "/" else path
+                system, name = FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+                schema = pq.read_schema(name, filesystem=system)
+                names.append(list(schema.names))
+                schemas.append(from_arrow_schema(schema, prefer_timestamp_ntz=True).json())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(paths, pa.string()),
+                    pa.array(names, pa.list_(pa.string())),
+                    pa.array(schemas, pa.string()),
+                ],
+                ["path", "columns", "spark_schema"],
+            )
+
+    return read
 
 
 def schema_hash(columns: str) -> Column:
@@ -51,7 +56,7 @@ def schema_fingerprints(files: DataFrame, file_count: int | None = None) -> Data
     """
     count = files.count() if file_count is None else file_count
     spread = files.select("path").repartition(max(1, -(-count // _FILES_PER_TASK)))
-    footers = spread.mapInArrow(_read_footers, _FOOTER)
+    footers = spread.mapInArrow(_footer_reader(), _FOOTER)
     fields = F.from_json("spark_schema", "fields array<struct<name string, type string>>").getField("fields")
     typed = F.array_sort(F.transform(fields, lambda f: F.concat(f["name"], F.lit(":"), f["type"])))
     return footers.select(
