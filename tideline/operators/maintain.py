@@ -19,7 +19,6 @@ from tideline.operators.versions import (
     get_property,
     new_version,
     partition_columns,
-    partition_name,
     point_table_to,
     split_name,
     stage,
