@@ -97,6 +97,32 @@ def test_exact_and_fuzzy_passages_are_found(spark):
         assert operator(docs_of(spark, [])).count() == 0
 
 
+def test_every_run_of_50_words_is_in_a_row_like_brute_force(spark):
+    texts, r = {}, random.Random(50)
+    for n in range(50, 63):  # in two documents, of which either can come first
+        for k in range(4):
+            passage = prose(1000 * n + k, n)
+            for side in range(2):
+                texts[len(texts)] = prose(r.random(), r.randrange(40)) + passage + prose(r.random(), r.randrange(40))
+    for k in range(30):  # parts of one passage in many documents
+        whole = prose(77, 140)
+        start = r.randrange(80)
+        texts[len(texts)] = prose(r.random(), 20) + whole[start : start + r.randrange(50, 63)] + prose(r.random(), 20)
+    ids = list(texts)
+    r.shuffle(ids)
+    texts = dict(zip(ids, texts.values()))
+    places = {}
+    for i in sorted(texts):
+        for p in range(len(texts[i]) - 49):
+            places.setdefault(tuple(texts[i][p : p + 50]), []).append((i, p))
+    later = {place for found in places.values() for place in found[1:]}
+    got = sparse_suffixes.repeated_passages(docs_of(spark, [(i, " ".join(t)) for i, t in texts.items()])).collect()
+    for g in got:
+        assert texts[g.doc_id][g.start_word : g.start_word + g.n_words] == texts[g.match_doc_id][g.match_start : g.match_start + g.n_words]
+        assert (g.match_doc_id, g.match_start) < (g.doc_id, g.start_word)
+    assert {(g.doc_id, p) for g in got for p in range(g.start_word, g.start_word + g.n_words - 49)} == later
+
+
 def test_a_chain_is_the_best_ordered_set_of_links():
     a, b = [0, 10, 500, 20, 30], [100, 110, 115, 120, 130]
     assert chains.chain(a, b)[0] == [0, 1, 3, 4]

@@ -82,10 +82,9 @@ def slice_of(codes: Column, first: Column, last: Column) -> Column:
     return F.substring(codes, 2 * first + 1, 2 * (last - first + 1))
 
 
-def with_slices(matches: DataFrame, docs: DataFrame) -> DataFrame:
-    """Matches (a_doc, a_first, a_last, b_doc, b_first, b_last, ...) with the coded words of both sides from MARGIN words
-    before to MARGIN words after: `a_words` from `a_from` on, `b_words` from `b_from` on."""
-    words = coded(docs)
+def with_slices(matches: DataFrame, words: DataFrame) -> DataFrame:
+    """Matches (a_doc, a_first, a_last, b_doc, b_first, b_last, ...) with the words of both sides, as `coded` gives them, from
+    MARGIN words before to MARGIN words after: `a_words` from `a_from` on, `b_words` from `b_from` on."""
     for side in "ba":
         start = F.greatest(F.col(f"{side}_first") - MARGIN, F.lit(0))
         one = words.select(F.col("doc_id").alias(f"{side}_doc"), F.col("codes").alias("__codes"))
