@@ -123,6 +123,17 @@ def test_every_run_of_50_words_is_in_a_row_like_brute_force(spark):
     assert {(g.doc_id, p) for g in got for p in range(g.start_word, g.start_word + g.n_words - 49)} == later
 
 
+def test_passages_are_found_whose_parts_occurred_before(spark):
+    texts, r = {}, random.Random(60)
+    for n in (60, 60, 60, 80, 80, 80, 90, 90, 90) * 4:  # the first half, the last half, then the whole twice
+        passage = prose(r.random(), n)
+        for part in (passage[: n // 2], passage[n // 2 :], passage, passage):
+            texts[len(texts)] = prose(r.random(), r.randrange(5, 40)) + part + prose(r.random(), r.randrange(5, 40))
+    got = {(g.match_doc_id, g.doc_id): g.n_words for g in chains.fuzzy_passages(docs_of(spark, [(i, " ".join(t)) for i, t in texts.items()])).collect()}
+    for i in range(0, len(texts), 4):
+        assert got.get((i + 2, i + 3), 0) >= 50, i
+
+
 def test_a_chain_is_the_best_ordered_set_of_links():
     a, b = [0, 10, 500, 20, 30], [100, 110, 115, 120, 130]
     assert chains.chain(a, b)[0] == [0, 1, 3, 4]
