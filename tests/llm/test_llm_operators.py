@@ -70,6 +70,21 @@ def test_noisy_words_are_restored_and_scored(spark):
     assert toxicity.score_documents(docs_of(spark, []), model).count() == 0
 
 
+@pytest.fixture(scope="module")
+def insult_characters(spark):
+    r = random.Random(8)
+    words = "you are a house river light stone green paper cloud table such people hello class he has hell idiot moron shit stupid dumbass ass".split()
+    return toxicity.character_model(docs_of(spark, [(i, " ".join(r.choice(words) for _ in range(60))) for i in range(200)]))
+
+
+def test_long_parted_stretches_are_read_as_one(insult_characters):
+    for n in (2, 8, 40):
+        spaced = " ".join("youarestupid" * n)
+        meant = " ".join(["you are stupid"] * n)
+        assert toxicity.restore(spaced, insult_characters) == meant
+        assert toxicity.restore(f"green {spaced} house", insult_characters) == f"green {meant} house"
+
+
 # ------------------------------------------------------------------ 2 and 5 repeated passages
 
 

@@ -38,13 +38,13 @@ LOOKALIKES = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "bg", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¥": "y",
 }
-SUBSTITUTE, DROP, SHORTEN, KEEP_SIGN = -1.0, -0.3, -0.5, -9.0  # log scores of the channel
+SUBSTITUTE, DROP, SHORTEN, KEEP_SIGN, KEEP_EDGE = -1.0, -0.3, -0.5, -9.0, -1.0  # log scores of the channel
 SEPARATORS = " .-_*~"
+CLOSING = "!|+"  # signs that are punctuation at the end of a word
 _SIGNS = re.escape("".join(LOOKALIKES))
 _LETTER = r"[^\W\d_]"
 PARTED = re.compile(rf"(?<!\w)(?:{_LETTER}[{re.escape(SEPARATORS)}]){{2,}}{_LETTER}(?!\w)")
 NOISY_WORD = re.compile(rf"{_LETTER}[{_SIGNS}]+{_LETTER}|^[{_SIGNS}]+{_LETTER}{{2}}|{_LETTER}{{2}}[0-9]$|({_LETTER})\1\1")
-LONGEST = 64  # characters decoded as one lattice; longer stretches are decoded in turns
 _STRIP = string.punctuation + "«»„“”‚’‘¡¿…"
 _OPENING = "".join(c for c in _STRIP if c not in LOOKALIKES) + "("
 
@@ -149,43 +149,60 @@ def character_model(docs: DataFrame) -> CharacterModel:
 
 def decode(noisy: str, model: CharacterModel) -> str:
     """The best reading of a lower-case noisy stretch."""
-    if len(noisy) > LONGEST:
-        return "".join(decode(noisy[i : i + LONGEST], model) for i in range(0, len(noisy), LONGEST))
-    parted = len(re.findall(_LETTER, noisy)) * 2 - 1 == len(noisy) > 4  # single letters with separators
-    # State: the last two characters; value: (score, reading).
-    best: dict[int, dict[tuple[int, int], tuple[float, str]]] = {0: {(32, 32): (0.0, "")}}
+    parted = bool(PARTED.fullmatch(noisy))
+    end = len(noisy)
+    while end and noisy[end - 1] in CLOSING:
+        end -= 1
+    # State: the last two characters; value: (score, state before, written).  All edges from a place are equally long.
+    layers: list[dict[tuple[int, int], tuple[float, tuple[int, int], str]]] = [{(32, 32): (0.0, (32, 32), "")}]
+    settled: list[str] = []
+
+    def settle(state: tuple[int, int]) -> None:
+        """What was written on the best way to a state of the last layer is the reading so far."""
+        written = []
+        for layer in layers[:0:-1]:
+            _, state, out = layer[state]
+            written.append(out)
+        settled.extend(reversed(written))
+
     i = 0
     while i < len(noisy):
-        states = best.pop(i, {})
-        c = noisy[i]
-        run = 1
-        while i + run < len(noisy) and noisy[i + run] == c:
-            run += 1
-        edges: list[tuple[int, str, float]] = []  # characters read, written, score
+        c, used = noisy[i], 1
+        edges: list[tuple[str, float]] = [(x, SUBSTITUTE) for x in LOOKALIKES.get(c, "")]  # written, score
         if c.isalpha():
-            if run > 2:  # a run of three or more is meant as one or two, or stands
-                edges += [(run, c, SHORTEN), (run, c * 2, SHORTEN), (run, c * run, 2 * SHORTEN)]
+            while i + used < len(noisy) and noisy[i + used] == c:
+                used += 1
+            if used > 2:  # a run of three or more is meant as one or two, or stands
+                edges += [(c, SHORTEN), (c * 2, SHORTEN), (c * used, 2 * SHORTEN)]
             else:
-                edges.append((1, c, 0.0))
+                used = 1
+                edges.append((c, 0.0))
+        elif c in SEPARATORS and parted:  # as many separators as there are go or stand together
+            while noisy[i + used] in SEPARATORS:
+                used += 1
+            edges += [("", DROP), (noisy[i : i + used], KEEP_SIGN)]
         else:
-            if c in SEPARATORS and parted:
-                edges.append((1, "", DROP))
-            edges.append((1, c, 0.0 if c in SEPARATORS and not parted else KEEP_SIGN))
-            edges += [(1, x, SUBSTITUTE) for x in LOOKALIKES.get(c, "")]
-        for (a, b), (score, reading) in states.items():
-            for used, out, cost in edges:
+            plain = c in SEPARATORS or i >= end or (c == "(" and i == 0)
+            edges.append((c, KEEP_EDGE if plain and c in LOOKALIKES else 0.0 if plain else KEEP_SIGN))
+        follow: dict[tuple[int, int], tuple[float, tuple[int, int], str]] = {}
+        for (a, b), (score, *_) in layers[-1].items():
+            for out, cost in edges:
                 total, x, y = score + cost, a, b
                 for o in out:
                     z = ord(o) if o.isalpha() else 32
+                    if z == y == 32:  # a run of others counts as one blank, as in the model
+                        continue
                     total, x, y = total + model.score(x, y, z), y, z
-                follow = best.setdefault(i + used, {})
                 if (x, y) not in follow or follow[x, y][0] < total:
-                    follow[x, y] = (total, reading + out)
-        i += 1
-        while i < len(noisy) and i not in best:
-            i += 1
-    ends = best.get(len(noisy), {})
-    return max(((s + model.score(a, b, 32), r) for (a, b), (s, r) in ends.items()), default=(0, noisy))[1]
+                    follow[x, y] = (total, (a, b), out)
+        layers.append(follow)
+        i += used
+        if len(follow) == 1:  # every way leads through here, so what lies before need not be held
+            settle(*follow)
+            layers = [follow]
+    last = layers[-1]
+    settle(max(last, key=lambda ab: last[ab][0] + (0.0 if ab[1] == 32 else model.score(*ab, 32))))
+    return "".join(settled)
 
 
 def _read(raw: str, model: CharacterModel, known: dict[str, str]) -> str:
