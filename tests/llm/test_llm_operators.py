@@ -85,6 +85,16 @@ def test_long_parted_stretches_are_read_as_one(insult_characters):
         assert toxicity.restore(f"green {spaced} house", insult_characters) == f"green {meant} house"
 
 
+def test_every_form_of_the_channel_is_decoded(insult_characters):
+    forms = {
+        "i d 1 0 t": "idiot", "m.0.r.0.n": "moron", "i  d  i  o  t": "idiot", "a55": "ass", "5h17": "shit", "he11": "hell",
+        "1d107": "idiot", "a$$": "ass", "dumba$$": "dumbass", "h€ll": "hell", "h€££": "hell", "(\"dumba$$\").": "(\"dumbass\").",
+    }
+    assert {f: toxicity.restore(f"green {f} house", insult_characters)[6:-6] for f in forms} == forms
+    for plain in ("hello! you are (hello) a house!!", "1 2 3 4 5", "2024 (10)"):
+        assert toxicity.restore(plain, insult_characters) == plain
+
+
 # ------------------------------------------------------------------ 2 and 5 repeated passages
 
 

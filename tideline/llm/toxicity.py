@@ -1,7 +1,7 @@
 """Toxicity of noisy texts: restore the characters first, then score the restored words.
 
-A noisy stretch (digits or signs inside a word, a letter three or more times in a row, single
-letters parted by spaces or signs) is a lattice of what its writer may have meant: a sign stands for
+A noisy stretch (a word with letters and look-alike digits or signs, a letter three or more times in a row, single
+letters or look-alikes parted by spaces or signs) is a lattice of what its writer may have meant: a sign stands for
 itself or a letter it looks like, a separator may be dropped, a run of a letter may be shorter.  Viterbi
 decoding takes the reading with the best sum of channel and language-model scores.  The language model
 counts character trigrams over all documents, in tables of fixed size.  Plain stretches have one
@@ -43,10 +43,13 @@ SEPARATORS = " .-_*~"
 CLOSING = "!|+"  # signs that are punctuation at the end of a word
 _SIGNS = re.escape("".join(LOOKALIKES))
 _LETTER = r"[^\W\d_]"
-PARTED = re.compile(rf"(?<!\w)(?:{_LETTER}[{re.escape(SEPARATORS)}]){{2,}}{_LETTER}(?!\w)")
-NOISY_WORD = re.compile(rf"{_LETTER}[{_SIGNS}]+{_LETTER}|^[{_SIGNS}]+{_LETTER}{{2}}|{_LETTER}{{2}}[0-9]$|({_LETTER})\1\1")
+_UNIT, _BETWEEN = rf"(?:{_LETTER}|[{_SIGNS}])", rf"[{re.escape(SEPARATORS)}]+"
+PARTED = re.compile(rf"(?<!\w)(?:{_UNIT}{_BETWEEN}){{2,}}{_UNIT}(?!\w)")
+TRIPLED = re.compile(rf"({_LETTER})\1\1")
+_ANY_LETTER, _ANY_SIGN = re.compile(_LETTER), re.compile(f"[{_SIGNS}]")
 _STRIP = string.punctuation + "«»„“”‚’‘¡¿…"
-_OPENING = "".join(c for c in _STRIP if c not in LOOKALIKES) + "("
+_EDGES = "".join(c for c in _STRIP if c not in LOOKALIKES)
+_SIGN_POINTS = np.array(sorted(ord(c) for c in LOOKALIKES if ord(c) > 127))
 
 # Classes of code points below 128: 1 letter, 2 sign, 3 separator.  Higher ones count as letters.
 _CLASS = np.zeros(128, dtype=np.int8)
@@ -64,12 +67,19 @@ def noise(points: np.ndarray) -> tuple[bool, bool]:
     Cheap, and never wrong when it says no.
     """
     kind = np.where(points < 128, _CLASS[np.minimum(points, 127)], 1)
+    kind[np.isin(points, _SIGN_POINTS)] = 2
     letter, sign = kind == 1, kind == 2
-    apart = letter[:-2] & (kind[1:-1] == 3) & letter[2:]
+    between = kind == 3
+    apart = between[:-2] & (letter | sign)[1:-1] & between[2:]
     tripled = (points[2:] == points[1:-1]) & (points[1:-1] == points[:-2]) & letter[2:]
-    before = sign[:-1] & letter[1:]  # every noisy word with a sign but one at its end has this
-    last = letter[:-1] & (points[1:] >= 48) & (points[1:] <= 57)
-    return bool((apart[:-2] & apart[2:]).any()), bool(before.any() or tripled.any() or last.any())
+    if sign.any() and not tripled.any():
+        word = np.cumsum((points == 32) | ((points > 8) & (points < 14)))
+        with_letter = np.zeros(word[-1] + 1, dtype=bool)
+        with_letter[word[letter]] = True
+        mixed = bool(with_letter[word[sign]].any())
+    else:
+        mixed = bool(tripled.any())
+    return bool(apart.any()), mixed
 
 
 @dataclass
@@ -214,8 +224,8 @@ def _read(raw: str, model: CharacterModel, known: dict[str, str]) -> str:
 
 
 def _word(word: str, model: CharacterModel, known: dict[str, str]) -> str:
-    core = word.rstrip(_STRIP).lstrip(_OPENING)
-    if not NOISY_WORD.search(core):
+    core = word.strip(_EDGES)
+    if not (_ANY_SIGN.search(core) and _ANY_LETTER.search(core) or TRIPLED.search(core)):
         return word
     at = word.index(core)
     return word[:at] + _read(core, model, known) + word[at + len(core) :]
@@ -225,7 +235,7 @@ def _rejoined(text: str, model: CharacterModel, known: dict[str, str]) -> tuple[
     """The lower-case text with parted letters read, and whether it may hold noisy words."""
     text = text.lower()
     parted, noisy = noise(code_points(text))
-    return (PARTED.sub(lambda m: _read(m[0], model, known), text) if parted else text), noisy
+    return (PARTED.sub(lambda m: _read(m[0], model, known) if _ANY_LETTER.search(m[0]) else m[0], text) if parted else text), noisy
 
 
 def restore(text: str, model: CharacterModel, known: dict[str, str] | None = None) -> str:
