@@ -269,6 +269,13 @@ def test_simhash_of_odd_texts_and_one_kept_of_each_group(spark):
     assert simhash.near_duplicates(docs_of(spark, [])).count() == 0
 
 
+def test_rows_of_one_id_in_different_groups_all_stay(spark):
+    one, two, three = (" ".join(prose(n, 80)) for n in (21, 22, 23))
+    docs = docs_of(spark, [(1, one), (1, two), (1, two), (None, three), (None, "no id, other words"), (4, two)])
+    kept = simhash.keep_one(docs)
+    assert sorted(r.text for r in kept.collect()) == sorted([one, two, three, "no id, other words"])
+
+
 # ------------------------------------------------------------------ 7 line dedup
 
 

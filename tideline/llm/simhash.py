@@ -51,13 +51,13 @@ def simhash(text: str, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) of every row; a NULL text is an empty one and has fingerprint 0."""
+    """(doc_id, row, fp) of every row, `row` a hash of its text; a NULL text is an empty one and has fingerprint 0."""
 
     def kernel(batches: Iterator[Columns]) -> Iterator[dict]:
         for b in batches:
-            yield {"doc_id": b["doc_id"], "fp": [simhash(t, shingle) for t in b["text"]]}
+            yield {"doc_id": b["doc_id"], "row": b["row"], "fp": [simhash(t, shingle) for t in b["text"]]}
 
-    return map_columns(identified(docs), kernel, "doc_id long, fp long")
+    return map_columns(identified(docs).withColumn("row", F.xxhash64("text")), kernel, "doc_id long, row long, fp long")
 
 
 def _byte(fp: Column, i: int) -> Column:
@@ -91,23 +91,32 @@ def links(fps: DataFrame, dense: int = DENSE) -> DataFrame:
     return pairs.union(stars).distinct()
 
 
+def grouped(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """(doc_id, row, fp, root, component_id) of every row: `root` names its group, `row` is a hash of its text."""
+    prints = stored(fingerprints(docs, shingle), "simhash")
+    distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
+    roots = stored(components(links(distinct.select("fp"))), "simhash-roots")
+    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "root", "component_id")
+    return prints.join(named, "fp")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, fingerprint as 16 hex digits, component_id = least doc_id reachable over links of at most 2 bits).
 
     Rows in, rows out: repeated rows are repeated; a NULL doc_id keeps its row and is no component's id
     unless all of them are NULL.  An empty table gives an empty one.
     """
-    prints = stored(fingerprints(docs, shingle), "simhash")
-    distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
-    roots = stored(components(links(distinct.select("fp"))), "simhash-roots")
-    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
-    return prints.join(named, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    return grouped(docs, shingle).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents with the least doc_id of their groups, all columns; of repeated rows one stays."""
-    kept = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__kept")), "left_semi").dropDuplicates(["doc_id"])
+    """One document with the least doc_id of each group, all columns; of repeated rows one stays.
+
+    Rows of one doc_id, or without any, that are in different groups are no copies and all stay.
+    """
+    least = grouped(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = least.groupBy("root", F.col("doc_id").alias("__kept")).agg(F.min("row").alias("__text")).drop("root").distinct()
+    held = docs.withColumn("__row", F.xxhash64(F.coalesce("text", F.lit(""))))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__kept")) & (F.col("__row") == F.col("__text"))
+    return held.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__row"]).drop("__row")
