@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, each over its whole table, with SQL where SQL can say it."""
+"""The registered queries of the operators, each over its whole table, with SQL where SQL can say it."""
 
 from __future__ import annotations
 
@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import chains, chat, decontaminate, fingerprints, line_runs, main_text, packing, simhash, sparse_suffixes, toxicity
+from tideline.llm import (
+    centroids, chains, chat, decontaminate, fingerprints, line_runs, main_text, merkle, packing, simhash, sparse_suffixes, token_files, toxicity,
+)
 from tideline.llm.rows import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -143,3 +145,101 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_best_fit_packing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file())
+
+
+def _round_sql(i: int) -> str:
+    """Assignment to centroids c{i} and the centroids c{i + 1} of their vectors, all in integers."""
+    return f"""
+d{i} AS (SELECT rid, j, list_sum(list_transform(list_zip(x, c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS s FROM kept, c{i}),
+a{i} AS (SELECT rid, arg_min(j, s * 1000 + j) AS j, min(s) AS s FROM d{i} GROUP BY rid),
+m{i} AS (
+  SELECT j, list(v ORDER BY p) AS c FROM (
+    SELECT j, p, (sum(v) - (((sum(v) % count(*)) + count(*)) % count(*))) // count(*) AS v
+    FROM (SELECT j, unnest(x) AS v, unnest(range(64)) AS p FROM a{i} JOIN kept USING (rid)) GROUP BY j, p) GROUP BY j
+),
+c{i + 1} AS (SELECT j, CAST(coalesce(m{i}.c, c{i}.c) AS BIGINT[]) AS c FROM c{i} LEFT JOIN m{i} USING (j))"""
+
+
+_CENTROIDS_SQL = f"""
+WITH kept AS (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda v: CAST(floor(64 * CAST(v AS DOUBLE)) AS BIGINT)) AS x
+  FROM (SELECT * FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0)
+),
+c0 AS (
+  SELECT j, x AS c FROM (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), x) - 1 AS j, x FROM kept) WHERE j < 16
+),
+{_round_sql(0)}, {_round_sql(1)}, {_round_sql(2)}, {_round_sql(3)}
+SELECT vec_id, CAST(j AS INTEGER) AS cluster, CAST(s AS BIGINT) AS distance, CAST(sum(s) OVER (PARTITION BY j) AS BIGINT) AS cluster_inertia,
+  CAST(sum(s) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a3 JOIN kept USING (rid) JOIN c3 USING (j)
+"""
+
+
+@query("op11_centroid_clustering", _CENTROIDS_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def _encoded_sql(column: str) -> str:
+    return f"coalesce(strlen(CAST({column} AS VARCHAR)) || ':' || CAST({column} AS VARCHAR), '-')"
+
+
+def _level_sql(i: int) -> str:
+    """Nodes of level i + 1, and for those of level i the other nodes of their run; a lone node stays as it is."""
+    return f"""
+r{i} AS (
+  SELECT grp, rank // 8 AS run, list(digest ORDER BY rank) AS ds, max(many) AS many FROM (
+    SELECT *, count(*) OVER (PARTITION BY grp) > 1 AS many FROM n{i}) GROUP BY grp, run
+),
+n{i + 1} AS (SELECT grp, run AS rank, CASE WHEN many THEN sha256(array_to_string(ds, '')) ELSE ds[1] END AS digest FROM r{i})"""
+
+
+def _path_sql(prefix: str, i: int) -> str:
+    """One step of the way up: siblings to the proof, the node folded with them."""
+    return f"""
+{prefix}{i + 1} AS (
+  SELECT {prefix}{i}.* EXCLUDE (proof, folded, rank), rank // 8 AS rank,
+    CASE WHEN many THEN proof || array_to_string(list_concat(ds[: rank % 8], ds[rank % 8 + 2 :]), '') ELSE proof END AS proof,
+    CASE WHEN many THEN sha256(array_to_string(ds[: rank % 8], '') || folded || array_to_string(ds[rank % 8 + 2 :], '')) ELSE folded END AS folded
+  FROM {prefix}{i} JOIN r{i} ON {prefix}{i}.grp = r{i}.grp AND {prefix}{i}.rank // 8 = r{i}.run
+)"""
+
+
+_LEVELS = 8  # 8 ** 8 leaves of a group
+_LEAF = "||".join(_encoded_sql(c) for c in merkle.COLUMNS)
+_CHANGED = "||".join(_encoded_sql(c if c != "text" else "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')") for c in merkle.COLUMNS)
+# crc32 bit by bit: the list is the start value, then the bits of the text, lowest of each byte first.
+_CRC = """xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+  lambda ch: list_transform(range(8), lambda b: CAST((ord(ch) >> b) & 1 AS BIGINT))))),
+  lambda c, b: xor(c >> 1, 3988292384::BIGINT * (xor(c, b) & 1))), 4294967295::BIGINT)"""
+
+_MERKLE_SQL = f"""
+WITH l AS (
+  SELECT doc_id, coalesce('v' || lang, '-') AS grp, sha256({_LEAF}) AS digest,
+    CASE WHEN doc_id IS NOT NULL AND {_CRC} % 3 = 0 THEN sha256({_CHANGED}) END AS tampered FROM documents
+),
+o AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, digest) - 1 AS rank FROM l),
+n0 AS (SELECT grp, rank, digest FROM o),
+{", ".join(_level_sql(i) for i in range(_LEVELS))},
+p0 AS (SELECT doc_id, digest AS leaf, grp, rank, '' AS proof, coalesce(tampered, digest) AS folded FROM o),
+{", ".join(_path_sql("p", i) for i in range(_LEVELS))},
+n100 AS (SELECT '' AS grp, row_number() OVER (ORDER BY grp) - 1 AS rank, digest, grp AS name FROM n{_LEVELS}),
+{", ".join(_level_sql(i) for i in range(100, 103))},
+p100 AS (
+  SELECT doc_id, leaf, n100.digest AS subroot, n100.grp AS grp, n100.rank AS rank, proof, folded FROM p{_LEVELS} JOIN n100 ON p{_LEVELS}.grp = n100.name
+),
+{", ".join(_path_sql("p", i) for i in range(100, 103))}
+SELECT doc_id, leaf, subroot, n103.digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = n103.digest AS verified
+FROM p103, n103
+"""
+
+
+@query("op12_merkle_manifest", _MERKLE_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+@query("op13_token_files")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = token_files.written_and_read(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+    return read.select("doc_id", "start", "n_tokens", "ids_crc32")
