@@ -2,7 +2,8 @@
 
 A folder holds
 
-- `shards/`: ids as little-endian unsigned 32-bit integers, documents one after the other, nothing else;
+- `shards/`: ids as little-endian unsigned integers, of 16 bits where the vocabulary allows and else of 32,
+  documents one after the other, nothing else;
 - `index/`: one file per bucket of keys, a minimal perfect hash with a slot per key that holds
   the key's fingerprint, shard, place and length;
 - `keys/`: the list of keys (Parquet), for scans of everything;
@@ -38,17 +39,17 @@ from pyspark.sql import functions as F
 from tideline.frames import small_frame
 from tideline.llm.kernels import mix
 from tideline.llm.rows import Columns, identified, map_columns, stored
-from tideline.llm.tokens import in_portions
+from tideline.llm.tokens import encoder, in_portions
 from tideline.session import workspace
 
-SHARD_IDS = 1 << 24  # a shard is closed when it holds so many ids
+SHARD_IDS = 1 << 25  # a shard is closed when it holds so many ids
 KEYS_PER_BUCKET = 1 << 16
 ROOM = 1.5  # bits per key of a cascade's array
 READ_BYTES = 8 << 20  # of a shard at once
 
 KEY = "doc_id long, nth long"
 PLACE = "doc_id long, nth long, shard long, place long, n_tokens long"
-SHARD = "shard long, file string, n_ids long, start long"
+SHARD = "shard long, file string, n_ids long, start long, width int"
 _HEAD = struct.Struct("<4sIQI")  # magic, version, keys, cascades
 _SLOT = np.dtype([("print", "<u4"), ("n_tokens", "<u8"), ("shard", "<u8"), ("place", "<u8")])
 _MAGIC = b"TLMP"
@@ -188,13 +189,14 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, folder: str) -> N
     order = ["doc_id", "h", "salt"]
     dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     shards_folder = f"{folder}/shards"
+    width = 2 if max(encoder(tokenizer).tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
 
     def kernel(batches: Iterator[Columns]) -> Iterator[dict]:
         part, turn = TaskContext.get().partitionId(), 0
         system, path = _system(shards_folder)
         system.create_dir(path, recursive=True)
         file, out, place, held, nth = "", None, 0, (), 0
-        end = struct.pack("<I", end_id)
+        end = end_id.to_bytes(width, "little")
         for b in batches:
             done: dict[str, list] = {k: [] for k in ("doc_id", "nth", "shard", "place", "n_tokens", "file", "part")}
             for doc_id, ids in zip(b["doc_id"], in_portions(b["text"], tokenizer)):
@@ -203,7 +205,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, folder: str) -> N
                     out = system.open_output_stream(f"{path}/{file}")
                 nth = nth + 1 if (doc_id,) == held else 0
                 held = (doc_id,)
-                out.write(ids)
+                out.write(ids if width == 4 else np.frombuffer(ids, "<u4").astype("<u2").tobytes())
                 out.write(end)
                 n = len(ids) // 4 + 1
                 for k, v in zip(done, (doc_id, nth, (part << 20) + turn, place, n, file, part)):
@@ -217,18 +219,18 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, folder: str) -> N
             out.close()
 
     written = stored(map_columns(dealt, kernel, f"{PLACE}, file string, part int"), "token-places")
-    _list_shards(written, folder)
+    _list_shards(written, folder, width)
     keys = _numbered(written)
     keys.select(*[n for n in ("doc_id", "nth", "shard", "place", "n_tokens")]).write.parquet(f"{folder}/keys")
     _build_index(docs.sparkSession, folder)
 
 
-def _list_shards(written: DataFrame, folder: str) -> None:
+def _list_shards(written: DataFrame, folder: str, width: int) -> None:
     """One row per shard, with the number of ids in all shards before it."""
     sizes = written.groupBy("shard").agg(F.max("file").alias("file"), F.sum("n_tokens").alias("n_ids"))
     rows, start = [], 0
     for r in sorted(sizes.collect(), key=lambda r: r.shard):  # a row per 64 MB of ids
-        rows.append((r.shard, r.file, r.n_ids, start))
+        rows.append((r.shard, r.file, r.n_ids, start, width))
         start += r.n_ids
     small_frame(written.sparkSession, rows, SHARD).coalesce(1).write.parquet(f"{folder}/shard_list")
 
@@ -344,8 +346,8 @@ def find(keys: DataFrame, folder: str) -> DataFrame:
 
 
 def read_ids(keys: DataFrame, folder: str) -> DataFrame:
-    """(doc_id, nth, start, n_tokens, ids) of the keys that are there: `ids` are the raw bytes, from ranged reads
-    of the shards; `start` counts the ids of all documents before it.  Keys of one shard are read in its order."""
+    """(doc_id, nth, start, n_tokens, ids) of the keys that are there: `ids` are little-endian unsigned
+    32-bit integers, from ranged reads of the shards; `start` counts the ids of all documents before it.  Keys of one shard are read in its order."""
     return _read(keys, folder, "ids binary", lambda ids: {"ids": ids})
 
 
@@ -356,12 +358,12 @@ def read_checks(keys: DataFrame, folder: str) -> DataFrame:
 
 def _read(keys: DataFrame, folder: str, field: str, of: Callable[[bytes], dict]) -> DataFrame:
     spark = keys.sparkSession
-    shards = spark.read.schema(SHARD).parquet(f"{folder}/shard_list").select("shard", "file", "start")
+    shards = spark.read.schema(SHARD).parquet(f"{folder}/shard_list").select("shard", "file", "start", "width")
     places = find(keys, folder).join(shards, "shard")
     dealt = places.repartitionByRange("shard", "place").sortWithinPartitions("shard", "place").select(
         F.when(F.col("nth") >= 0, F.col("doc_id")).alias("doc_id"),
         F.when(F.col("nth") >= 0, F.col("nth")).otherwise(-1 - F.col("nth")).alias("nth"),
-        (F.col("start") + F.col("place")).alias("start"), "n_tokens", "file", "place",
+        (F.col("start") + F.col("place")).alias("start"), "n_tokens", "file", "place", "width",
     )
     shards_folder, name = f"{folder}/shards", field.split()[0]
 
@@ -370,17 +372,18 @@ def _read(keys: DataFrame, folder: str, field: str, of: Callable[[bytes], dict])
         opened, file, window, low = None, None, b"", 0
         for b in batches:
             out: dict[str, list] = {k: [] for k in ("doc_id", "nth", "start", "n_tokens", name)}
-            for doc_id, nth, start, n, wanted, place in zip(*[b[k] for k in ("doc_id", "nth", "start", "n_tokens", "file", "place")]):
+            for doc_id, nth, start, n, wanted, place, width in zip(*[b[k] for k in ("doc_id", "nth", "start", "n_tokens", "file", "place", "width")]):
                 if wanted != file:
                     if opened is not None:
                         opened.close()
                     opened, file, window, low = system.open_input_file(f"{path}/{wanted}"), wanted, b"", 0
-                first, size = 4 * place, 4 * n
+                first, size = width * place, width * n
                 if not low <= first <= first + size <= low + len(window):
                     window, low = opened.read_at(max(size, READ_BYTES), first), first
                 ids = window[first - low : first - low + size]
                 if len(ids) != size:
                     raise OSError(f"{wanted} ends before document {doc_id}")
+                ids = ids if width == 4 else np.frombuffer(ids, "<u2").astype("<u4").tobytes()
                 for k, v in zip(("doc_id", "nth", "start", "n_tokens"), (doc_id, nth, start, n)):
                     out[k].append(v)
                 out[name].append(of(ids)[name])

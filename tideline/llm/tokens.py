@@ -15,7 +15,7 @@ from collections.abc import Iterable
 
 import numpy as np
 
-REMEMBERED = 400_000  # chunks in each of two generations, so a worker's memory is bounded
+REMEMBERED = 500_000  # chunks in each of two generations, so a worker's memory is bounded
 AT_ONCE = 1_000_000  # characters of texts whose unknown chunks are encoded in one call
 
 _POINTS = frozenset(".,;:!?)")
@@ -32,6 +32,19 @@ class _Spaced:
     doubled = ("<|", "  ", " \n", "\n ", "\n\n")
     chunk = re.compile(r"\n| ?[^ \n]+")
     separator = "\n"
+    letters = re.compile(r" [A-Za-z]+")
+
+    @staticmethod
+    def marks(token: str) -> bool:
+        return token.startswith("\u0120")
+
+    @staticmethod
+    def joined(words: list[str]) -> str:
+        return "".join(words).replace(" ", " \u0120")
+
+    @staticmethod
+    def cuts(marked: np.ndarray, n: int) -> np.ndarray:
+        return np.append(marked, n)
 
     @classmethod
     def odd(cls, text: str) -> bool:
@@ -49,6 +62,19 @@ class _Worded:
 
     chunk = re.compile(r"\S+")
     separator = " \x01 "
+    letters = re.compile(r"[a-z]+")
+
+    @staticmethod
+    def marks(token: str) -> bool:
+        return token.endswith("</w>")
+
+    @staticmethod
+    def joined(words: list[str]) -> str:
+        return " ".join(words)
+
+    @staticmethod
+    def cuts(marked: np.ndarray, n: int) -> np.ndarray:
+        return np.append(0, marked + 1)
 
     @staticmethod
     def odd(text: str) -> bool:
@@ -77,9 +103,21 @@ class TextEncoder:
             self.rule = _Worded
         if self.rule:
             (self.separator_id,) = self._ids(self.rule.separator)
+            self._prepare_letters(Tokenizer)
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
+    def _prepare_letters(self, kind: type) -> None:
+        """The bare model for chunks of ASCII letters, which normalizer and pre-tokenizer leave as they are (a
+        space before them is one sign of the byte alphabet).  Each has one token that shows where it begins or ends."""
+        from tokenizers.pre_tokenizers import WhitespaceSplit
+
+        self.letters = kind(self.tokenizer.model)
+        self.letters.pre_tokenizer = WhitespaceSplit()
+        vocabulary = self.tokenizer.get_vocab()
+        self.marked = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.marked[[i for token, i in vocabulary.items() if self.rule.marks(token)]] = True
+
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
@@ -130,21 +168,28 @@ class TextEncoder:
         for w in [w for w in words if w in old]:
             known[w] = old[w]
         words = [w for w in words if w not in known]
-        if words:
-            joined = self.rule.separator.join(words)
+        plain = list(filter(self.rule.letters.fullmatch, words))
+        if plain:
+            ids = np.array(self.letters.encode_batch_fast([self.rule.joined(plain)], add_special_tokens=False)[0].ids, dtype="<u4")
+            self._keep(plain, ids, self.rule.cuts(np.flatnonzero(self.marked[ids]), len(ids)), 0)
+        others = [w for w in words if w not in known]
+        if others:
+            joined = self.rule.separator.join(others)
             ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype="<u4")
-            ends = np.append(np.flatnonzero(ids == self.separator_id), len(ids))
-            if len(ends) != len(words):
-                raise RuntimeError("the tokenizer does not keep the separator apart")
-            data, start = ids.tobytes(), 0
-            for w, end in zip(words, ends.tolist()):
-                known[w] = data[4 * start : 4 * end]
-                start = end + 1
+            self._keep(others, ids, np.concatenate([[-1], np.flatnonzero(ids == self.separator_id), [len(ids)]]), 1)
         if self.rule.separator in alone:
             known[self.rule.separator] = np.array([self.separator_id], dtype="<u4").tobytes()
         for c, w in bare.items():
             known[c] = known[w] + known[c[-1]]
 
+    def _keep(self, words: list[str], ids: np.ndarray, cuts: np.ndarray, gap: int) -> None:
+        """The ids between neighbouring cuts, `gap` of them left out at the start, are those of a word each."""
+        if len(cuts) != len(words) + 1:
+            raise RuntimeError("the tokenizer does not keep chunks apart")
+        data, bounds = ids.tobytes(), (4 * cuts).tolist()
+        for w, start, end in zip(words, bounds, bounds[1:]):
+            self.new[w] = data[start + 4 * gap : end]
+
 
 _encoders: dict[str, TextEncoder] = {}
 
