@@ -5,7 +5,7 @@ amounts of configurations (multisets of lengths that fit a sequence) which cover
 smallest sum.  Multiplicative weights on the lengths are its dual prices; the configuration
 of the highest price is found by an unbounded knapsack over capacity; the average of those found is an
 almost optimal fractional cover.  It is rounded down; what is left is at most one sequence for each
-configuration, and goes by best fit, decreasing, beside a bounded number of sequences opened again.
+configuration, and goes by best fit, decreasing, beside shares of the sequences opened again.
 
 Only the histogram and the plan (run lengths of configurations) pass the driver: both are bounded by
 `capacity` and the number of rounds, whatever the number of pieces.
@@ -14,8 +14,6 @@ Only the histogram and the plan (run lengths of configurations) pass the driver:
 from __future__ import annotations
 
 import bisect
-import os
-import re
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -26,62 +24,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.llm.rows import Columns, identified, map_columns, stored
+from tideline.llm.tokens import in_portions
 
 CAPACITY, ROUNDS = 2048, 150
-OPENED = (64, 256, 1024, 4096, 16384)  # sequences opened again while the rest is placed
-CACHED_WORDS = 800_000  # of a Python worker, so its memory stays bounded
+OPENED = (1 / 4096, 1 / 256, 1 / 16, 1 / 4, 1.0)  # shares of the sequences opened again while the rest is placed
 
-Configuration = tuple[tuple[int, int], ...]  # (length, how often), longest first
-
-_POINTS = (".", ",")
-_SPACED = re.compile(r"[^\S \n]| [ \n]|\n ")  # a space beside white space, or any rarer kind
-
-_tokenizers: dict[str, tuple] = {}
-
-
-def _tokenizer(path: str) -> tuple:
-    if path not in _tokenizers:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        _tokenizers[path] = (Tokenizer.from_file(path), {})
-    return _tokenizers[path]
-
-
-def encode(text: str, path: str) -> bytes:
-    """The text's token ids as little-endian 32-bit words, then id 0.
-
-    A byte-level pre-tokenizer never lets a token pass a single space between two other characters,
-    so such a text is encoded in pieces that begin at its spaces, most of them met before.
-    Any other text (neighbouring white space, a special token's string) is encoded whole.
-    """
-    tokenizer, known = _tokenizer(path)
-    if "<|" in text or _SPACED.search(text):
-        ids = tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array([*ids, 0], dtype="<u4").tobytes()
-    first, *rest = text.split(" ")
-    words = [first, *[" " + w for w in rest]]
-    missing = {w for w in words if w not in known}
-    if missing:
-        # A word and the point or comma after it are tokens of their own.
-        bare = {w[:-1] if w[-1:] in _POINTS and w[-2:-1].isalpha() else w for w in missing}
-        bare = [w for w in bare if w not in known]
-        own = {w: np.array(e.ids, dtype="<u4").tobytes() for w, e in zip(bare, tokenizer.encode_batch(bare, add_special_tokens=False))}
-        points = {c: np.array(tokenizer.encode(c).ids, dtype="<u4").tobytes() for c in _POINTS if c not in known}
-        own |= points
-        for w in missing.difference(own):
-            own[w] = (own.get(w[:-1]) or known[w[:-1]]) + (own.get(w[-1]) or known[w[-1]])
-        if len(known) < CACHED_WORDS:
-            known.update(own)
-        else:
-            return b"".join([known.get(w) or own.get(w, b"") for w in words]) + b"\0\0\0\0"
-    return b"".join([known[w] for w in words]) + b"\0\0\0\0"
+END = b"\0\0\0\0"
 
+Configuration = tuple[tuple[int, int], ...]  # (length, how often), longest first
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
     """Rows (doc_id, piece, start, length, ids_crc32, part, rank) for all token pieces of all documents.
 
-    Only a document longer than `capacity` is cut, into pieces of `capacity` with the rest first.
+    Ids are those of the tokenizer, then id 0.  Only a document longer than `capacity` is cut, into pieces of `capacity` with the rest first.
     `rank` counts the pieces of one length within task `part`.
     """
 
@@ -90,8 +45,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
         seen: Counter[int] = Counter()
         for b in batches:
             out: dict[str, list] = defaultdict(list)
-            for doc_id, text in zip(b["doc_id"], b["text"]):
-                ids = encode(text, tokenizer)
+            for doc_id, ids in zip(b["doc_id"], in_portions(b["text"], tokenizer)):
+                ids += END
                 n = len(ids) // 4
                 at, piece = 0, 0
                 while at < n:
@@ -187,10 +142,15 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUN
 
 def _fill(left: dict[int, int], chosen: Counter[Configuration], capacity: int) -> Counter[Configuration]:
     """The rest by best fit.  Rounding may have used up the short pieces that would fill beside the long ones of
-    the rest, so numbers of sequences are opened again, spread over all configurations, and the fewest kept."""
-    best, total = _best_fit_decreasing(left, chosen, capacity), sum(chosen.values())
-    for opened in OPENED:
-        share, kept, rest, due = min(1.0, opened / max(total, 1)), Counter(), Counter(left), 0.0
+    the rest, so shares of the sequences, spread over all configurations, are opened again, and the fewest kept.
+    The last share is all of them, so the result is never more than best fit, decreasing, over the whole histogram."""
+    best = best_fit_decreasing(left, chosen, capacity)
+    total, last = sum(chosen.values()), 0
+    for share in OPENED:
+        opened = round(total * share)
+        if opened == last:
+            continue
+        last, kept, rest, due = opened, Counter(), Counter(left), 0.0
         for config, times in sorted(chosen.items()):
             due += times * share
             out = min(times, int(due + 1e-9))
@@ -199,42 +159,51 @@ def _fill(left: dict[int, int], chosen: Counter[Configuration], capacity: int) -
                 kept[config] = times - out
             for l, n in config:
                 rest[l] += n * out
-        tried = _best_fit_decreasing(rest, kept, capacity)
+        tried = best_fit_decreasing(rest, kept, capacity)
         if sum(tried.values()) < sum(best.values()):
             best = tried
-        if opened >= total:
-            break
     return best
 
 
-def _best_fit_decreasing(left: dict[int, int], chosen: dict[Configuration, int], capacity: int) -> Counter[Configuration]:
+def best_fit_decreasing(left: dict[int, int], chosen: dict[Configuration, int], capacity: int) -> Counter[Configuration]:
     """The rest: each piece, longest first, to the fullest sequence that still holds it, the chosen ones included.
 
-    Equal sequences are kept as one entry with their number, so the size is that of the rest, not of all sequences.
+    Equal sequences are one entry with their number.  A sequence that takes a piece is then the fullest
+    that may take the next of this length, so it takes all that fit: an entry is filled in one step, and
+    at most one sequence of a length is left apart.  The work is that of lengths and configurations, not of pieces.
     """
     rooms: dict[int, Counter[Configuration]] = defaultdict(Counter)  # by free room
     for config, times in chosen.items():
         rooms[capacity - sum(l * n for l, n in config)][config] += times
     free = sorted(rooms)
+
+    def put(room: int, config: Configuration, length: int, n: int, times: int) -> None:
+        held = dict(config)
+        held[length] = held.get(length, 0) + n
+        room -= length * n
+        if not rooms[room]:
+            bisect.insort(free, room)
+        rooms[room][tuple(sorted(held.items(), reverse=True))] += times
+
     for length in sorted(left, reverse=True):
-        for _ in range(left[length]):
+        n = left[length]
+        while n > 0:
             i = bisect.bisect_left(free, length)
             if i < len(free):
                 room = free[i]
-                config = next(iter(rooms[room]))
-                rooms[room][config] -= 1
+                config, times = next(iter(rooms[room].items()))
+            else:
+                room, config, times = capacity, (), n
+            each = min(room // length, n)
+            used = min(times, n // each)
+            if config:
+                rooms[room][config] -= used
                 if not rooms[room][config]:
                     del rooms[room][config]
                 if not rooms[room]:
                     free.pop(i)
-            else:
-                room, config = capacity, ()
-            held = dict(config)
-            held[length] = held.get(length, 0) + 1
-            room -= length
-            if not rooms[room]:
-                bisect.insort(free, room)
-            rooms[room][tuple(sorted(held.items(), reverse=True))] += 1
+            put(room, config, length, each, used)
+            n -= each * used
     packed: Counter[Configuration] = Counter()
     for configs in rooms.values():
         packed.update(configs)
