@@ -13,15 +13,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.frames import small_frame
-from tideline.operators.versions import create_table, delete_folder, drop_partitions, registered_partitions
+from tideline.operators.versions import (
+    NULL_FOLDER, create_table, delete_folder, drop_partitions, partition_columns, registered_partitions,
+)
 from tideline.session import workspace
 from tideline.sources.drift import schema_fingerprints, shapes_of, widen_schemas, widen_type
 from tideline.sources.files import LINEAGE, list_files, with_lineage
 
 BATCH = "_batch_id"
+ORIGIN = "_loaded_batch"  # in rows that were folded: the batch that brought them
 FILES_PER_BATCH = 100_000
 _FILES = "path string, modified_us bigint, length bigint"
 _SHAPE = "columns array<string>, schema_hash string, type_hash string, spark_schema string"
+_PARTS = f"partition string, row_count bigint, newest timestamp, {BATCH} string"
+_FOLDS = f"partition string, replaced array<string>, row_count bigint, committed_at timestamp, {BATCH} string"
 
 
 @dataclass(frozen=True)
@@ -37,6 +42,16 @@ def ledger_tables(table: str) -> tuple[str, str]:
     return f"{table}__files", f"{table}__batches"
 
 
+def statistics_table(table: str) -> str:
+    """Rows and newest load time of each partition of each batch, written by the load."""
+    return f"{table}__parts"
+
+
+def folds_table(table: str) -> str:
+    """Partitions whose batches were written together (`fold.fold_batches`), one row each."""
+    return f"{table}__folds"
+
+
 def _ensure_ledger(spark: SparkSession, table: str) -> None:
     files, batches = ledger_tables(table)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {files} ({_FILES}, {_SHAPE}, {BATCH} string) USING parquet")
@@ -44,6 +59,8 @@ def _ensure_ledger(spark: SparkSession, table: str) -> None:
         f"CREATE TABLE IF NOT EXISTS {batches} ({BATCH} string, committed_at timestamp, "
         "file_count bigint, row_count bigint) USING parquet"
     )
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {statistics_table(table)} ({_PARTS}) USING parquet")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {folds_table(table)} ({_FOLDS}) USING parquet")
 
 
 def loaded_files(spark: SparkSession, table: str) -> DataFrame:
@@ -84,13 +101,35 @@ def evolve_table(spark: SparkSession, table: str, incoming: T.StructType) -> lis
     return [f.name for f in new]
 
 
+def decoded(name: Column) -> Column:
+    """A partition's name or value without the escapes of folder names."""
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+
+
+def stored_partitions(spark: SparkSession, table: str) -> DataFrame:
+    """(name, partition, _batch_id, state) of the table's partitions, from the catalog and the ledger.
+
+    `name` is the whole name, `partition` what stands before the batch in it, without escapes.  `state` is `live`, `folded` (its rows
+    are in a later fold as well) or `unfinished` (written and never completed).  All of them are as of this call: a
+    frame over live partitions sees one state, whatever is loaded or folded while it runs.
+    """
+    names = spark.sql(f"SHOW PARTITIONS {table}").select(
+        F.col("partition").alias("name"),
+        decoded(F.regexp_replace("partition", f"/?{BATCH}=[^/]*$", "")).alias("partition"),
+        F.regexp_extract("partition", f"{BATCH}=([^/]*)", 1).alias(BATCH),
+    )
+    folds = spark.table(folds_table(table))
+    done = spark.table(ledger_tables(table)[1]).select(BATCH).union(folds.select(BATCH)).distinct().withColumn("__done", F.lit(True))
+    gone = folds.select("partition", F.explode("replaced").alias(BATCH)).distinct().withColumn("__gone", F.lit(True))
+    state = F.when(F.col("__done").isNull(), "unfinished").when(F.col("__gone"), "folded").otherwise("live")
+    found = names.join(done, BATCH, "left").join(gone, ["partition", BATCH], "left").select("name", "partition", BATCH, state.alias("state"))
+    return small_frame(spark, found.collect(), f"name string, partition string, {BATCH} string, state string")
+
+
 def drop_unfinished(spark: SparkSession, table: str) -> list[str]:
     """Remove rows of batches that were written but never completed."""
-    names = spark.sql(f"SHOW PARTITIONS {table}")
-    batch = F.regexp_extract("partition", f"{BATCH}=([^/]*)", 1).alias(BATCH)
-    done = spark.table(ledger_tables(table)[1]).select(BATCH)
-    stale = names.select("partition", batch).join(done, BATCH, "left_anti").collect()
-    drop_partitions(spark, table, [r.partition for r in stale])
+    stale = stored_partitions(spark, table).where("state = 'unfinished'").collect()
+    drop_partitions(spark, table, [r.name for r in stale])
     return sorted({r[BATCH] for r in stale})
 
 
@@ -171,10 +210,39 @@ def _load_batch(
     watch = Observation()
     ordered.observe(watch, F.count(F.lit(1)).alias("rows")).write.insertInto(table)
     row_count = watch.get["rows"]
+    _note_statistics(spark, table, batch_id)
     record_batch(spark, table, batch_id, len(new_files), row_count)
     return batch_id, row_count
 
 
+def partition_column(keys: Sequence[str]) -> Column:
+    """The name of a row's partition up to the batch, without escapes."""
+    named = [F.concat(F.lit(f"{k}="), F.coalesce(F.col(k).cast("string"), F.lit(NULL_FOLDER))) for k in keys]
+    return F.concat_ws("/", *named) if named else F.lit("")
+
+
+def _note_statistics(spark: SparkSession, table: str, batch_id: str) -> None:
+    """Rows and newest load time per partition of a batch just written: one column of the new files is read."""
+    keys = [c for c in partition_columns(spark, table) if c != BATCH]
+    rows = spark.table(table).where(F.col(BATCH) == batch_id)
+    parts = rows.groupBy(partition_column(keys).alias("partition")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.max("_loaded_at").alias("newest")
+    )
+    parts.withColumn(BATCH, F.lit(batch_id)).coalesce(1).write.insertInto(statistics_table(table))
+
+
+def partition_statistics(spark: SparkSession, table: str) -> DataFrame:
+    """(partition, _batch_id, row_count, newest) of completed batches, as loaded; folding changes none of them."""
+    return spark.table(statistics_table(table)).join(spark.table(ledger_tables(table)[1]).select(BATCH), BATCH, "left_semi")
+
+
+def rows_per_loaded_period(spark: SparkSession, table: str, period: str = "period") -> DataFrame:
+    """(period, row_count) of the completed batches, from the statistics: no row is read."""
+    value = F.regexp_extract("partition", f"(?:^|/){period}=([^/]*)", 1)
+    named = partition_statistics(spark, table).select(F.when(value != NULL_FOLDER, value).alias(period), "row_count")
+    return named.groupBy(period).agg(F.sum("row_count").alias("row_count"))
+
+
 def record_batch(spark: SparkSession, table: str, batch_id: str, file_count: int, row_count: int) -> None:
     """Complete a batch: one row, so it is there or it is not."""
     ledger_batches = ledger_tables(table)[1]
@@ -185,11 +253,49 @@ def record_batch(spark: SparkSession, table: str, batch_id: str, file_count: int
 
 
 def committed(spark: SparkSession, table: str) -> DataFrame:
-    """Rows of completed batches only, for readers that may meet a load in progress.
+    """Rows of completed batches only, each once, for readers that may meet a load or a fold in progress.
 
     The batch is a partition column, so the semi join prunes whole partitions.
     """
-    return spark.table(table).join(spark.table(ledger_tables(table)[1]).select(BATCH), BATCH, "left_semi")
+    return _live(spark, table, stored_partitions(spark, table).where("state = 'live'"))
+
+
+def _live(spark: SparkSession, table: str, wanted: DataFrame) -> DataFrame:
+    """Rows of the partitions `wanted` (partition, _batch_id)."""
+    raw = spark.table(table)
+    keys = [c for c in partition_columns(spark, table) if c != BATCH]
+    named = wanted.select(F.col(BATCH).alias("__batch"), F.col("partition").alias("__partition"))
+    return raw.join(named, (raw[BATCH] == F.col("__batch")) & (partition_column(keys) == F.col("__partition")), "left_semi")
+
+
+def origin(rows: DataFrame) -> Column:
+    """The batch that brought a row, whether or not it was folded since."""
+    return F.coalesce(F.col(ORIGIN), F.col(BATCH)) if ORIGIN in rows.columns else F.col(BATCH)
+
+
+def rows_of_batches(spark: SparkSession, table: str, batches: Sequence[str]) -> DataFrame:
+    """Rows that the named completed batches brought; reads their partitions, and folds that hold one of them."""
+    live = stored_partitions(spark, table).where("state = 'live'")
+    mine = F.col(BATCH).isin(list(batches))
+    holding = _held(spark, table).where(F.col("held").isin(list(batches))).select("partition", BATCH)
+    wanted = live.where(mine).select("partition", BATCH).union(live.join(holding, ["partition", BATCH], "left_semi").select("partition", BATCH))
+    rows = _live(spark, table, wanted)
+    return rows.where(origin(rows).isin(list(batches)))
+
+
+def _held(spark: SparkSession, table: str) -> DataFrame:
+    """(partition, _batch_id, held): the loaded batches whose rows a fold holds, earlier folds resolved.
+
+    A fold takes batches and earlier folds; each row of the ledger names what it took directly."""
+    folds = spark.table(folds_table(table)).select("partition", BATCH, F.explode("replaced").alias("held"))
+    found = folds
+    ids = {r[0] for r in folds.select(BATCH).distinct().collect()}  # one per fold run
+    while True:
+        inner = folds.select("partition", F.col(BATCH).alias("held"), F.col("held").alias("deeper"))
+        deeper = found.where(F.col("held").isin(list(ids))).join(inner, ["partition", "held"]).select("partition", BATCH, F.col("deeper").alias("held"))
+        if deeper.isEmpty():
+            return found
+        found = found.where(~F.col("held").isin(list(ids))).union(deeper)
 
 
 def _one_spelling(path: str) -> Column:
@@ -215,9 +321,11 @@ def latest_files(spark: SparkSession, table: str, present: DataFrame | None = No
     )
     if present is not None:
         newest = newest.join(present.select(_one_spelling("path").alias("__path")), "__path", "left_semi")
-    raw = spark.table(table)
-    rows = raw.withColumn("__path", _one_spelling("_loaded_from"))
-    return rows.join(newest, ["__path", BATCH], "left_semi").select(*raw.columns)
+    live = stored_partitions(spark, table).where("state = 'live'")
+    current = newest.select(BATCH).union(spark.table(folds_table(table)).select(BATCH)).distinct()
+    raw = _live(spark, table, live.join(current, BATCH, "left_semi"))
+    rows = raw.withColumns({"__path": _one_spelling("_loaded_from"), "__origin": origin(raw)})
+    return rows.join(newest.withColumnRenamed(BATCH, "__origin"), ["__path", "__origin"], "left_semi").select(*raw.columns)
 
 
 def reset(spark: SparkSession, table: str, keep_ledger: bool = False) -> None:
@@ -229,5 +337,6 @@ def reset(spark: SparkSession, table: str, keep_ledger: bool = False) -> None:
     if not keep_ledger:
         files, batches = ledger_tables(table)
         spark.sql(f"TRUNCATE TABLE {batches}")
-        spark.sql(f"TRUNCATE TABLE {files}")
+        for ledger in (folds_table(table), files, statistics_table(table)):
+            spark.sql(f"TRUNCATE TABLE {ledger}")
     drop_partitions(spark, table, sorted(registered_partitions(spark, table)))

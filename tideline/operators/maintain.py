@@ -153,10 +153,17 @@ def expire_versions(
     note is old enough: what counts is how long nobody could start reading it, not its
     age.  Queries that run while a version is replaced keep their files.
     """
+    return expire_unused(spark, table, versions_in_use(spark, table), retain_days, now)
+
+
+def expire_unused(
+    spark: SparkSession, table: str, used: set[str], retain_days: int = RETAIN_DAYS, now: datetime | None = None
+) -> list[str]:
+    """As `expire_versions`, given the versions in use."""
     now = now or datetime.now(timezone.utc)
     root = versions_folder(spark, table)
     notes = f"{root.rsplit('/', 1)[0]}/_unused/{split_name(table)[1]}"
-    unused = sorted(set(_children(spark, root)) - versions_in_use(spark, table))
+    unused = sorted(set(_children(spark, root)) - used)
     schema = "version string, noted_at_s bigint"
     noted = {}
     if _children(spark, notes):

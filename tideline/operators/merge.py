@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.operators.contract import SchemaMismatch, schema_differences
+from tideline.operators.snapshot import Statistics, is_snapshot, publish, publish_partitions, resolve
 from tideline.operators.versions import (
     delete_folder,
     finish_pending,
@@ -67,6 +68,7 @@ def high_mark(spark: SparkSession, table: str, column: str, default: str = "1900
     """Largest value of a column in a table; for a partition column from the catalog alone."""
     if not spark.catalog.tableExists(table):
         return default
+    table = resolve(spark, table)
     finish_pending(spark, table)
     if column in partition_columns(spark, table):
         names = spark.sql(f"SHOW PARTITIONS {table}")
@@ -106,6 +108,8 @@ def merge_into(
     by_partition: bool = False,
     replaces: Sequence[str] = (),
     key_date: str | None = None,
+    snapshot: bool = False,
+    statistics: Statistics | None = None,
 ) -> MergeResult:
     """Replace matched keys, insert the others; running it twice equals running it once.
 
@@ -126,16 +130,25 @@ def merge_into(
     against the statistics of files and row groups.  Without it the key of the whole target is read.
     Compact the target by this column to keep its ranges narrow.
 
+    `snapshot` publishes through a name that points to a snapshot (see `snapshot`): all partitions change at once,
+    a full refresh may bring other columns, and `statistics` are kept in the manifest.  A name that is one already
+    stays one.
+
     `by_partition` tells that the source arrives laid out by `partition_by`, as a scan of
     such a table does: a whole build then writes it as it comes, without a shuffle.
     """
     if not spark.catalog.tableExists(table) or full_refresh:
         rows = dedupe_source(source, key, latest_by) if latest_by else source
         unique = None if latest_by else lambda written: _require_unique(written, key)
-        staged = replace_contents(spark, table, rows, [partition_by], not_null, unique, not by_partition)
-        return MergeResult("full", len(registered_partitions(spark, table)), staged.rows)
-
-    finish_pending(spark, table)
+        if snapshot or is_snapshot(spark, table):
+            staged = publish(spark, table, rows, [partition_by], not_null, unique, not by_partition, statistics)
+        else:
+            staged = replace_contents(spark, table, rows, [partition_by], not_null, unique, not by_partition)
+        return MergeResult("full", len(registered_partitions(spark, resolve(spark, table))), staged.rows)
+
+    pointed = is_snapshot(spark, table)
+    if not pointed:
+        finish_pending(spark, table)
     target = spark.table(table)
     check_schema_unchanged(target, source)
     version = new_version(spark, table)
@@ -148,7 +161,7 @@ def merge_into(
 
     matched = matched_partitions(target, fresh, key, partition_by, key_date)
     affected = {r[0] for r in matched.union(fresh.select(partition_by)).distinct().collect()}
-    held = {p.split("=", 1)[1] for p in registered_partitions(spark, table)} if replaces else set()
+    held = {p.split("=", 1)[1] for p in registered_partitions(spark, resolve(spark, table))} if replaces else set()
     affected = sorted(affected | (held & set(replaces)))
     if not affected:
         delete_folder(spark, staged.path)
@@ -157,7 +170,10 @@ def merge_into(
     merged = stage(merge_frames(untouched, fresh, key), f"{version}/rows", [partition_by])
     present = staged_partitions(spark, merged.path, target.schema, [partition_by])
     emptied = sorted({partition_name({partition_by: p}) for p in affected} - set(present))
-    switch_partitions(spark, table, version, present, emptied)
+    if pointed:
+        publish_partitions(spark, table, version, [partition_by], present, emptied)
+    else:
+        switch_partitions(spark, table, version, present, emptied)
     delete_folder(spark, staged.path)
     return MergeResult("incremental", len(present), merged.rows)
 

@@ -93,11 +93,15 @@ def freshness(
 
 def verify_load(df: DataFrame, period: str = "period") -> DataFrame:
     """Row counts of the newest periods.  No rows is an error: a wrong path loads nothing too."""
-    counts = rows_per_period(df, period)
+    return verify_counts(rows_per_period(df, period))
+
+
+def verify_counts(counts: DataFrame) -> DataFrame:
+    """As `verify_load`, for counts that are known already."""
     newest = counts.collect()
     if not newest:
         raise ValueError("table is empty after load; check the source path")
-    return small_frame(df.sparkSession, newest, counts.schema)
+    return small_frame(counts.sparkSession, newest, counts.schema)
 
 
 def verify_min_rows(df: DataFrame, minimum: int = 200) -> int:

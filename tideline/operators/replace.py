@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tideline.functions import instant
 from tideline.operators.quality import verify_min_rows
-from tideline.operators.versions import Staged, replace_contents
+from tideline.operators.snapshot import publish
+from tideline.operators.versions import Staged
 
 
 def stamped(df: DataFrame, sha256: str | None, loaded_at: datetime | None = None) -> DataFrame:
@@ -26,10 +27,10 @@ def replace_table(
     loaded_at: datetime | None = None,
     min_rows: int = 0,
 ) -> Staged:
-    """Give `table` the rows of `df`, stamped.
+    """Give `table` the rows and columns of `df`, stamped.
 
-    Rows are written beside the old ones and the table is switched in one statement; with fewer
-    than `min_rows` written it is not switched.  The
+    Rows are written beside the old ones and the name is switched in one statement, to other columns as well; with
+    fewer than `min_rows` written it is not switched.  The
     hash is provenance: without one the rows read `unknown` and the load goes on.
     """
-    return replace_contents(spark, table, stamped(df, sha256, loaded_at), verify=lambda rows: verify_min_rows(rows, min_rows))
+    return publish(spark, table, stamped(df, sha256, loaded_at), verify=lambda rows: verify_min_rows(rows, min_rows))

@@ -128,8 +128,13 @@ def _clause(partition: str) -> str:
     return "PARTITION (" + ", ".join(f"{column}='{value}'" for column, value in pairs) + ")"
 
 
-def create_table(spark: SparkSession, table: str, schema: T.StructType, partition_by: Sequence[str] = ()) -> None:
-    """Empty managed Parquet table; partition columns go last.  Comments of fields are kept."""
+def create_table(
+    spark: SparkSession, table: str, schema: T.StructType, partition_by: Sequence[str] = (), location: str | None = None
+) -> None:
+    """Parquet table without partitions; partition columns go last.  Comments of fields are kept.
+
+    Managed and empty, or external over the files at `location`.
+    """
 
     def declared(f: T.StructField) -> str:
         comment = f.metadata.get("comment")
@@ -139,7 +144,8 @@ def create_table(spark: SparkSession, table: str, schema: T.StructType, partitio
     ordered += [schema[name] for name in partition_by]
     columns = ", ".join(map(declared, ordered))
     partitioned = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
-    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {partitioned}")
+    placed = f"LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {partitioned} {placed}")
 
 
 def point_table_to(spark: SparkSession, table: str, path: str) -> None:

@@ -14,12 +14,16 @@ from tideline.functions import instant
 from tideline.operators.aggregate import observe_keys, sum_observations
 from tideline.operators.contract import build_table, enforce_contract
 from tideline.operators.governance import apply_contract_governance
-from tideline.operators.ingest import BATCH, LoadSummary, committed, copy_into, ledger_tables
+from tideline.operators.fold import expire_folded, fold_batches
+from tideline.operators.ingest import (
+    BATCH, LoadSummary, copy_into, ledger_tables, partition_statistics, rows_of_batches, rows_per_loaded_period,
+)
 from tideline.operators.maintain import RETAIN_DAYS, TARGET_BYTES, compact, describe_detail, expire_versions
 from tideline.operators.merge import MergeResult, high_mark, high_marks, merge_into, since
-from tideline.operators.quality import ERROR_DAYS, WARN_DAYS, freshness, verify_load
+from tideline.operators.quality import ERROR_DAYS, WARN_DAYS, freshness, verify_counts
 from tideline.operators.replace import replace_table
 from tideline.operators.scd2 import open_versions, present_dimension, scd2_apply
+from tideline.operators.snapshot import Statistics, is_snapshot, stored_marks
 from tideline.operators.versions import replace_contents
 from tideline.plans import trips as plan
 from tideline.sources.drift import schema_drift
@@ -52,7 +56,8 @@ def load_feed(
     """Landed files into a raw table: sizes, load, drift, verification.
 
     Drift compares the shapes of the loaded files, as the ledger has them, with those of earlier loads,
-    kept in `<raw>__shapes`, and informs; sizes and an empty table fail the run.
+    kept in `<raw>__shapes`, and informs; sizes and an empty table fail the run.  Row counts of the newest
+    periods come from the statistics of the loads.
     """
     if expected_sizes is not None:
         check_sizes(list_files(spark, source_dir, "*.parquet"), expected_sizes)
@@ -68,7 +73,8 @@ def load_feed(
         found = schema_drift(prints, spark.table(shapes)).select(F.concat_ws(",", "columns").alias("c")).distinct()
         drift = sorted(row.c for row in found.collect())
         prints.select("dataset", "schema_hash", BATCH).write.insertInto(shapes)
-    newest = [(r.period, r.row_count) for r in verify_load(committed(spark, raw)).collect()]
+    counts = rows_per_loaded_period(spark, raw).orderBy(F.desc("period")).limit(12)
+    newest = [(r.period, r.row_count) for r in verify_counts(counts).collect()]
     return LoadReport(summary, drift, newest)
 
 
@@ -127,7 +133,7 @@ def refresh_vendor_dimension(
 def note_vendors(spark: SparkSession, observed: str, raw_yellow: str, raw_green: str) -> int:
     """Vendors met in completed loads that were not noted before, appended to `observed`; the number of loads.
 
-    The batch is a partition column of a raw table, so only partitions of new loads are read.  The
+    The batch is a partition column of a raw table, so only partitions of new loads are read, or the folds they are in.  The
     vendors of a load and the note of it, a row without vendor, are one write.  A vendor met only in
     a file version that was replaced later stays noted, as a vendor that vanishes stays in the dimension.
     """
@@ -138,7 +144,7 @@ def note_vendors(spark: SparkSession, observed: str, raw_yellow: str, raw_green:
         done = spark.table(ledger_tables(raw)[1]).select(BATCH)
         batches = sorted(r[0] for r in done.join(noted, BATCH, "left_anti").collect())
         if batches:
-            trips = trips_of(spark.table(raw).where(F.col(BATCH).isin(batches)))
+            trips = trips_of(rows_of_batches(spark, raw, batches))
             met = observe_keys(trips.select("vendor_id", "pickup_at"), "vendor_id", "pickup_at")
             note = spark.range(1).select(F.array(*map(F.lit, batches)).alias("batches"))
             rows = met.unionByName(note, allowMissingColumns=True).withColumn("tlc_type", F.lit(feed))
@@ -183,6 +189,7 @@ def refresh_trip_fact(
     mark_per_feed: bool = True,
     periods: Sequence[str] | None = None,
     latest_by: Sequence[str] = (),
+    snapshot: bool = False,
 ) -> MergeResult:
     """Trips of the newest stored period and later into the fact, merged on the trip key.
 
@@ -192,11 +199,17 @@ def refresh_trip_fact(
     in them leave the fact.  Give `ingest.latest_files` of the raw tables for them.  `latest_by` keeps
     the last of several rows with one key; without it they fail the run.  A full refresh
     reads everything and is for the first build and for changed logic.
+
+    With `snapshot` the fact is a name over snapshots: its partitions change in one statement, a refresh may change
+    its columns, and the marks come from its manifest instead of a scan.
     """
     feeds = {plan.YELLOW: raw_yellow, plan.GREEN: raw_green}
     if spark.catalog.tableExists(fact) and not full_refresh:
         mark = high_mark(spark, fact, "source_period", plan.FIRST_PERIOD)
-        marks = high_marks(spark.table(fact), "tlc_type", "source_period") if mark_per_feed else {}
+        marks = {}
+        if mark_per_feed:
+            pointed = is_snapshot(spark, fact)
+            marks = stored_marks(spark, fact, "source_period") if pointed else high_marks(spark.table(fact), "tlc_type", "source_period")
         for label, raw in feeds.items():
             if periods is not None:
                 wanted = F.col("period").isin(list(periods))
@@ -208,7 +221,8 @@ def refresh_trip_fact(
     result = merge_into(
         spark, fact, enforce_contract(rows, plan.TRIP_CONTRACT), "trip_key", "source_period",
         latest_by=latest_by, not_null=plan.TRIP_CONTRACT.required, full_refresh=full_refresh, by_partition=not latest_by,
-        replaces=list(periods or ()), key_date="pickup_date",
+        replaces=list(periods or ()), key_date="pickup_date", snapshot=snapshot,
+        statistics=Statistics("tlc_type", ("updated_at",), tuple(plan.TRIP_CONTRACT.required)) if snapshot else None,
     )
     if result.mode == "full":
         apply_contract_governance(spark, fact, plan.TRIP_CONTRACT)
@@ -220,13 +234,11 @@ def check_raw_freshness(
 ) -> dict[str, str]:
     """`pass` or `warn` of each raw table by its newest `_loaded_at`; an error fails the run.
 
-    Only the load completed last is read: its partitions hold the newest rows.
+    The newest load time is in the statistics of the loads: no row is read.
     """
     found = {}
     for raw in raw_tables:
-        last = spark.table(ledger_tables(raw)[1]).agg(F.max(F.struct("committed_at", BATCH)).alias("b")).first().b
-        rows = spark.table(raw).where(F.col(BATCH) == (last[BATCH] if last else ""))
-        found[raw] = freshness(rows, "_loaded_at", as_of, warn_days, error_days).first().status
+        found[raw] = freshness(partition_statistics(spark, raw), "newest", as_of, warn_days, error_days).first().status
     stale = sorted(t for t, status in found.items() if status == "error")
     if stale:
         raise ValueError(f"not loaded for more than {error_days} days: {stale}")
@@ -248,3 +260,14 @@ def upkeep(
         spark, report,
         "table_name string, partitions_rewritten int, versions_deleted int, num_files bigint, size_in_bytes bigint",
     )
+
+
+def upkeep_raw(
+    spark: SparkSession, tables: dict[str, str | None], target_bytes: int = TARGET_BYTES, retain_days: int = RETAIN_DAYS, now: datetime | None = None
+) -> DataFrame:
+    """Fold the loads of each raw table (by a column, or None) and drop what was folded long ago; one row per table."""
+    report = []
+    for raw, cluster_by in tables.items():
+        folded = fold_batches(spark, raw, cluster_by, target_bytes)
+        report.append((raw, folded, expire_folded(spark, raw, retain_days, now)))
+    return small_frame(spark, report, "table_name string, partitions_folded int, partitions_dropped int")

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tideline.frames import small_frame
 from tideline.functions import period_of, surrogate_key
 from tideline.operators.aggregate import max_or_default
 from tideline.operators.merge import dedupe_source, high_mark, high_marks, merge_into, since, since_per_feed
+from tideline.operators.snapshot import Statistics, manifest, stored_marks
 from tideline.operators.versions import create_database
 from tideline.plans import trips as plan
 from tideline.queries.feeds import TRIPS_SQL, key_sql, raw_feeds, table
@@ -104,6 +106,53 @@ def merge_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(target)
 
 
+@query(
+    f"""
+    WITH {_LINES_SQL}
+    SELECT line_key, feed, vendor_id, CAST(round(total_amount * 100) AS BIGINT) AS total_cents,
+           CASE WHEN source_period >= '2001-06' THEN 3 ELSE 2 END AS run, source_period
+    FROM lines
+    """
+)
+def full_refresh_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Built, then rebuilt whole by other logic, with one column more and two less, then followed by increments."""
+    target = new_table(spark, "full_refresh")
+    _merge(spark, target, lines(spark, sf_dir, 1), snapshot=True)
+
+    def changed(run: int) -> DataFrame:
+        cents = F.round(F.col("total_amount") * 100).cast("bigint").alias("total_cents")
+        return lines(spark, sf_dir, run).select("line_key", "feed", "vendor_id", cents, "run", "source_period")
+
+    _merge(spark, target, changed(2), full_refresh=True)
+    _merge(spark, target, changed(3).where("source_period >= '2001-06'"))
+    return spark.table(target)
+
+
+@query(
+    f"""
+    WITH {_LINES_SQL}, held AS (
+      SELECT feed, source_period, count(*) AS row_count, max(total_amount) AS largest, count(*) FILTER (flag IS NULL) AS without_flag
+      FROM lines GROUP BY feed, source_period
+    )
+    SELECT feed, source_period, row_count, largest, without_flag, max(source_period) OVER (PARTITION BY feed) AS mark FROM held
+    """
+)
+def statistics_of_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, maxima, NULLs and marks per partition and feed, as the publishing steps stored them: two builds, no scan."""
+    target = new_table(spark, "stated")
+    early = "(feed = 'yellow' AND source_period <= '2001-06') OR source_period <= '2001-03'"
+    kept = Statistics("feed", ("total_amount",), ("flag",))
+    _merge(spark, target, lines(spark, sf_dir, 1).where(early), snapshot=True, statistics=kept)
+    marks = stored_marks(spark, target, "source_period")
+    _merge(spark, target, lines(spark, sf_dir, 2).where(since_per_feed("feed", "source_period", marks)))
+    marks = small_frame(spark, list(stored_marks(spark, target, "source_period").items()), "feed string, mark string")
+    stated = manifest(spark, target).select(
+        F.col("grp").alias("feed"), F.regexp_extract("partition", "source_period=(.*)", 1).alias("source_period"), "row_count",
+        F.col("maxima")["total_amount"].cast("double").alias("largest"), F.col("nulls")["flag"].alias("without_flag"),
+    )
+    return stated.join(marks, "feed")
+
+
 @query(
     f"WITH {TRIPS_SQL} SELECT trip_key, tlc_type, source_period, pickup_at, total_amount FROM trips "
     "WHERE source_period >= (SELECT coalesce(max(strftime(l_shipdate, '%Y-%m')), '1900-01') FROM lineitem "

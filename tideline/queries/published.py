@@ -5,8 +5,9 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tideline.operators.ingest import committed
+from tideline.operators.ingest import committed, latest_files
 from tideline.operators.quality import run_tests
 from tideline.operators.versions import create_database
 from tideline.plans import checks
@@ -18,6 +19,7 @@ from tideline.queries.feeds import code_lists, raw_feeds, vendor_lookup
 from tideline.queries.landing import land
 from tideline.queries.registry import query
 from tideline.session import workspace
+from tideline.sources.files import list_files
 
 # Not in the comparison: where, when and by whom a row was loaded differs from run to run.
 _STABLE = [c for c in plan.TRIP_CONTRACT.types if c not in ("source_file", "loaded_at", "updated_at", "updated_by")]
@@ -46,6 +48,49 @@ def landed_to_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{database}.trips").select(*_STABLE)
 
 
+_RESTATED = "2001-05"
+_RESTATED_LINES = f"""
+restated AS (
+  SELECT * REPLACE (CASE WHEN l_linestatus = 'F' AND strftime(l_shipdate, '%Y-%m') = '{_RESTATED}' AND l_linenumber = 2
+                         THEN l_quantity + 1 ELSE l_quantity END AS l_quantity)
+  FROM lineitem WHERE NOT (l_linestatus = 'F' AND strftime(l_shipdate, '%Y-%m') = '{_RESTATED}' AND l_linenumber = 1)
+)"""
+
+
+@query(
+    f"WITH {_RESTATED_LINES}, {ENRICHED_SQL.replace('lineitem', 'restated')} "
+    f"SELECT {', '.join(_STABLE)} FROM fact WHERE source_period >= '2001'"
+)
+def restated_to_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A month is published again: some trips are gone from it, others have other keys.  The green feed lags, and
+    what it delivers late arrives with the restated month."""
+    folder = workspace(spark, "restated")
+    database = create_database(spark, f"restated_{folder[-12:]}", f"{folder}/db")
+    names = {"yellow": f"{database}.yellow_trips", "green": f"{database}.green_trips"}
+    feeds = {n: raw.drop("_loaded_from", "_loaded_at").where("period >= '2001'") for n, raw in zip(names, raw_feeds(spark, sf_dir), strict=True)}
+    fact, history, dimension = f"{database}.trips", f"{database}.vendor_history", f"{database}.vendor"
+
+    def run(day: int, **options) -> None:
+        at = datetime(2002, 1, day)
+        for name, raw in names.items():
+            load_feed(spark, raw, f"{folder}/landing/dataset={name}", name, loaded_at=at, actor="loader")
+        refresh_vendors_of_loads(spark, history, dimension, f"{database}.vendors_observed", *names.values(), vendor_lookup(spark, sf_dir), at)
+        current = [latest_files(spark, raw, list_files(spark, f"{folder}/landing/dataset={n}", "*.parquet")) for n, raw in names.items()]
+        refresh_trip_fact(spark, fact, *current, dimension, code_lists(spark), at, "loader", snapshot=True, **options)
+
+    land(feeds["yellow"], f"{folder}/landing/dataset=yellow", "period")
+    land(feeds["green"].where("period <= '2001-03'"), f"{folder}/landing/dataset=green", "period")
+    run(1)
+    month = feeds["yellow"].where(F.col("period") == _RESTATED).where("ratecodeid <> 1")
+    more = F.when(F.col("ratecodeid") == 2, 1).otherwise(0)
+    month = month.withColumns({"passenger_count": F.col("passenger_count") + more, "trip_distance": F.col("trip_distance") + more})
+    land(month, f"{folder}/landing/dataset=yellow", "period", mode="overwrite")
+    land(feeds["green"].where("period > '2001-03'"), f"{folder}/landing/dataset=green", "period")
+    run(2)  # what is new, each feed from its own mark
+    run(3, periods=[_RESTATED])
+    return spark.table(fact).select(*_STABLE)
+
+
 _COUNTS = {
     "vendor_vendor_id_unique": "SELECT 0",
     "vendor_vendor_id_not_null": "SELECT 0",

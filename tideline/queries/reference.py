@@ -43,6 +43,30 @@ def reference_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zone_reference(spark.table(f"{database}.zones"), STAND_IN_SENTINELS)
 
 
+@query(
+    """
+    SELECT CAST(n_nationkey AS BIGINT) AS location_id, n_name AS zone_name, r_name AS borough, '0000000000000000' AS _source_sha256,
+           25 AS seen_by_earlier_reader, 'location_id,zone_name' AS earlier_columns
+    FROM nation LEFT JOIN region ON n_regionkey = r_regionkey
+    """
+)
+def replace_with_new_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reference table is replaced by one with another column, in one statement; who began before reads on."""
+    folder = workspace(spark, "zones")
+    name = create_database(spark, f"zones_{folder[-12:]}", f"{folder}/db") + ".zones"
+    nations, regions = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    zones = nations.select(F.col("n_nationkey").cast("bigint").alias("location_id"), F.col("n_name").alias("zone_name"), "n_regionkey")
+    replace_table(spark, name, zones.drop("n_regionkey"), "0" * 64, LOADED_AT, 20)
+    earlier = spark.table(name).drop("_loaded_at", "_source_sha256")
+    wider = zones.join(regions, F.col("n_regionkey") == F.col("r_regionkey"), "left").select(
+        "location_id", "zone_name", F.col("r_name").alias("borough")
+    )
+    replace_table(spark, name, wider, "0" * 64, LOADED_AT, 20)
+    return spark.table(name).drop("_loaded_at").withColumns(
+        {"seen_by_earlier_reader": F.lit(earlier.count()).cast("int"), "earlier_columns": F.lit(",".join(earlier.columns))}
+    )
+
+
 @query(
     """
     SELECT c_custkey AS customer_id, c_name AS customer_name, c_nationkey AS nation_id, c_acctbal AS balance,

@@ -7,15 +7,19 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tideline.frames import small_frame
+from tideline.operators.fold import expire_folded, fold_batches, partition_sizes
 from tideline.operators.governance import apply_governance, describe_governance
+from tideline.operators.ingest import committed, copy_into, rows_per_loaded_period
 from tideline.operators.maintain import TARGET_BYTES, compact, describe_detail, expire_versions
 from tideline.operators.versions import new_version, replace_contents, stage, switch_partitions, create_table, staged_partitions
 from tideline.plans.runs import upkeep
 from tideline.queries.feeds import table
 from tideline.queries.incremental import lines, new_table
-from tideline.queries.landing import LINES
+from tideline.queries.landing import LINES, LOADED_AT, land
 from tideline.queries.landing import lines as periods
 from tideline.queries.registry import query
+from tideline.session import workspace
 
 
 @query(
@@ -109,3 +113,31 @@ def governance_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     tags = {"dataOwner": "ORDERS", "rowsAtCreation": str(staged.rows)}
     apply_governance(spark, target, tags, "Vendors of orders", {"s_suppkey": "key of the vendor's record"})
     return describe_governance(spark, target)
+
+
+@query(
+    """
+    SELECT strftime(l_shipdate, '%Y') AS period, count(*) AS row_count, CAST(sum(l_linenumber) AS BIGINT) AS line_sum,
+           10 AS files_before, 1 AS files_after, count(*) AS counted, 0 AS folded_again
+    FROM lineitem GROUP BY 1
+    """
+)
+def folded_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every year arrives in ten loads; folded, each is one file with the same rows, and a second fold does nothing."""
+    folder, raw = workspace(spark, "landing"), new_table(spark, "folded")
+    rows = periods(spark, sf_dir).withColumn("period", F.substring("period", 1, 4)).withColumn("tenth", F.pmod("l_orderkey", F.lit(10)))
+    rows.repartition("tenth", "period").write.partitionBy("tenth", "period").parquet(folder)
+    for tenth in range(10):
+        copy_into(spark, raw, f"{folder}/tenth={tenth}", loaded_at=LOADED_AT, actor="loader")
+    before = partition_sizes(spark, raw).groupBy("partition").agg(F.sum("files").cast("int").alias("files_before"))
+    before = small_frame(spark, before.collect(), before.schema)  # a row per year, before the fold
+    fold_batches(spark, raw, "l_shipdate")
+    again = fold_batches(spark, raw, "l_shipdate")
+    expire_folded(spark, raw, retain_days=0)
+    after = partition_sizes(spark, raw).groupBy("partition").agg(F.sum("files").cast("int").alias("files_after"))
+    files = before.join(after, "partition").withColumn("period", F.regexp_extract("partition", "period=(.*)", 1)).drop("partition")
+    counts = committed(spark, raw).groupBy("period").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("l_linenumber").cast("bigint").alias("line_sum")
+    )
+    stated = rows_per_loaded_period(spark, raw).withColumnRenamed("row_count", "counted")
+    return counts.join(files, "period").join(stated, "period").withColumn("folded_again", F.lit(again))
