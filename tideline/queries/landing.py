@@ -14,6 +14,7 @@ from tideline.operators.aggregate import schema_shapes
 from tideline.operators.ingest import committed, copy_into, create_like, latest_files, reset
 from tideline.operators.manifest import from_json_lines, to_json_lines, update_manifest
 from tideline.operators.quality import verify_load
+from tideline.plans.landing import landing_run, stored_manifest
 from tideline.queries.feeds import table
 from tideline.queries.incremental import new_table
 from tideline.queries.registry import query
@@ -115,11 +116,14 @@ def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _state(spark, sf_dir, (F.col("period") <= "2001-07") & earlier)
 
 
-def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     newest = table(spark, sf_dir, "lineitem").agg(F.max("l_shipdate").cast("date").alias("newest"))
     runs = newest.select(F.add_months("newest", 5).alias("run_date"))
-    candidates = candidate_window(runs, ["yellow", "green"], lookback_months=12)
-    return classify_candidates(candidates, _listing(spark, sf_dir), _manifest(spark, sf_dir))
+    return candidate_window(runs, ["yellow", "green"], lookback_months=12)
+
+
+def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_candidates(_candidates(spark, sf_dir), _listing(spark, sf_dir), _manifest(spark, sf_dir))
 
 
 @query(f"WITH {_STATE_SQL} SELECT * FROM classified")
@@ -165,6 +169,51 @@ def size_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return size_mismatches(files, expected, "key")
 
 
+@query(
+    f"""
+    WITH {_STATE_SQL}, stated AS (
+      SELECT c.key, c.status, c.status IN ('new', 'restated') AS landed, coalesce(c.etag, c.prior_etag) AS noted_etag,
+             coalesce(c.content_length, m.content_length) AS rows_in_files
+      FROM classified c LEFT JOIN manifest m USING (key)
+    )
+    SELECT key, status, landed, noted_etag, rows_in_files, 'unchanged' AS status_next_day FROM stated WHERE status <> 'unpublished'
+    UNION ALL SELECT key, status, landed, NULL, NULL, 'unpublished' FROM stated WHERE status = 'unpublished'
+    """
+)
+def landing_two_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files are polled, claimed, transferred, checked and noted on two days; on the third nothing is left to do.
+
+    On the second day some months are new, some restated, some unchanged and some not published."""
+    folder = workspace(spark, "landing-run")
+    manifest, candidates = stored_manifest(spark, f"{folder}/manifest"), _candidates(spark, sf_dir)
+    feed = F.when(F.col("l_linestatus") == "F", "yellow").otherwise("green").alias("dataset")
+    landed = f"{folder}/files"
+    keyed = T.StructType([*lines(spark, sf_dir).drop("period").schema, T.StructField("dataset", T.StringType()), T.StructField("period", T.StringType())])
+
+    def transfer(offered: Column):
+        """Files of the wanted months as they were that day; a restated month replaces its files."""
+
+        def fetch(wanted: DataFrame) -> DataFrame:
+            rows = lines(spark, sf_dir).where(offered).select("*", feed)
+            land(rows.join(wanted.select("dataset", "period"), ["dataset", "period"], "left_semi"), landed, "dataset", "period", mode="overwrite")
+            return arrived().join(wanted.select("key"), "key", "left_semi")
+
+        return fetch
+
+    def arrived() -> DataFrame:
+        stored = spark.read.schema(keyed).parquet(landed).groupBy("dataset", "period").agg(F.count(F.lit(1)).alias("length"))
+        return stored.select(F.concat_ws("/", "dataset", "period").alias("key"), "length")
+
+    earlier = (F.col("period") <= "2001-07") & ((F.col("period") < "2001-05") | (F.col("l_returnflag") != "R"))
+    landing_run(spark, candidates, _manifest(spark, sf_dir), manifest, transfer(earlier), "day-1", datetime(2002, 3, 1))
+    second = landing_run(spark, candidates, _listing(spark, sf_dir), manifest, transfer(F.lit(True)), "day-2", datetime(2002, 3, 2))
+    third = landing_run(spark, candidates, _listing(spark, sf_dir), manifest, transfer(F.lit(True)), "day-3", datetime(2002, 3, 3))
+    noted = manifest.entries().select("key", F.col("etag").alias("noted_etag"))
+    after = third.frame(spark).select("key", F.col("status").alias("status_next_day"))
+    files = arrived().withColumnRenamed("length", "rows_in_files")
+    return second.frame(spark).join(noted, "key", "left").join(files, "key", "left").join(after, "key")
+
+
 # ----------------------------------------------------------------------- schemas of files
 
 _TABLES = (
