@@ -2,6 +2,7 @@ from datetime import datetime, timedelta
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from tideline.operators import quality
 from tideline.operators.contract import Contract, ContractColumn, SchemaMismatch, build_table, enforce_contract, null_violations
@@ -76,3 +77,41 @@ def test_null_in_required_column_keeps_the_old_table(spark, db):
     with pytest.raises(ValueError, match="not null"):
         build_table(spark, table, broken, CONTRACT)
     assert rows(spark.table(table)) == [("a", None)]
+
+
+def test_stored_failures_are_counted_as_written(spark, db):
+    table = f"{db}.failing"
+    frame = spark.sql("SELECT * FROM VALUES (1, 'a', 'p1'), (2, NULL, 'p1'), (2, 'z', 'p2'), (NULL, NULL, 'p2') AS t(id, name, part)")
+
+    def tests(rows_):
+        return [
+            quality.not_null_test("id_there", rows_, "id"), quality.not_null_test("name_there", rows_, "name"),
+            quality.accepted_values_test("name_known", rows_, "name", ["a"]),
+        ]
+
+    groups = [quality.unique_test("id_once", frame, "id"), quality.relationships_test("id_known", frame, "id", spark.range(2), "id")]
+    report = rows(quality.run_and_store(spark, table, [*tests(frame), *groups]))
+    assert report == [("id_known", 2, "warn"), ("id_once", 1, "error"), ("id_there", 1, "error"), ("name_known", 1, "error"), ("name_there", 2, "error")]
+    stored = spark.table(table)
+    assert rows(stored.groupBy("test").sum("weight")) == [(n, k) for n, k, _ in report]
+    assert {r.failing for r in stored.where("test = 'name_known'").collect()} == {'{"id":2,"name":"z","part":"p2"}'}
+    again = rows(quality.run_and_store(spark, table, tests(frame.where("part = 'p1'"))))
+    assert again == [("id_there", 0, "pass"), ("name_known", 0, "pass"), ("name_there", 1, "error")] and spark.table(table).count() == 1
+    with pytest.raises(ValueError, match="unique"):
+        quality.run_and_store(spark, table, tests(frame) * 2)
+    with pytest.raises(Exception, match="broken|DIVIDE"):
+        quality.run_and_store(spark, table, [quality.DataTest("broken", frame, F.expr("1 / (id - id) > 0"))])
+    assert spark.table(table).count() == 1  # a run that fails leaves the last one's rows
+
+
+def test_changed_partitions_alone_are_tested(spark, db):
+    table = f"{db}.parts"
+    before = spark.sql("SELECT * FROM VALUES (1, 'p1'), (NULL, 'p1'), (NULL, 'p2') AS t(id, part)")
+    after = spark.sql("SELECT * FROM VALUES (1, 'p1'), (2, 'p1'), (3, 'p3'), (NULL, 'p3') AS t(id, part)")
+
+    def tests_of(frame):
+        return lambda parts: [quality.not_null_test("id_there", frame.where(F.col("part").isin(parts)), "id")]
+
+    assert rows(quality.run_on_partitions(spark, table, tests_of(before), "part", ["p1", "p2"])) == [("id_there", 2, "error")]
+    assert rows(quality.run_on_partitions(spark, table, tests_of(after), "part", ["p1", "p3"])) == [("id_there", 2, "error")]
+    assert sorted(r.part for r in spark.table(table).collect()) == ["p2", "p3"]

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from tideline.frames import small_frame
 from tideline.functions import instant
 from tideline.operators.aggregate import more_than_one, rows_per_period
+from tideline.operators.snapshot import publish
 from tideline.operators.versions import replace_contents
 
 WARN_DAYS, ERROR_DAYS = 75, 120  # fixed values: freshness limits
@@ -182,3 +184,63 @@ def run_tests(spark: SparkSession, tests: Sequence[DataTest], failures_in: str |
                 store_failures(spark, table, test.failing_rows())
     results = [(t.name, failures[t.name], threshold_status(failures[t.name], t.warn_if, t.error_if)) for t in tests]
     return small_frame(spark, results, "test string, failures bigint, status string")
+
+
+FAILURES = "failing string, weight bigint, test string"
+
+
+def failures_of(tests: Sequence[DataTest]) -> DataFrame | None:
+    """(failing, weight, test): the failing rows of all tests, as JSON since their columns differ.
+
+    The tests of single rows of one frame share a scan of it; a row that fails several is there for each.
+    """
+    parts = []
+    for frame_id, frame in {id(t.rows): t.rows for t in tests if t.failing is None}.items():
+        of_frame = [t for t in tests if t.failing is None and id(t.rows) == frame_id]
+        failed = F.array_compact(F.array(*[F.when(t.fails, F.lit(t.name)) for t in of_frame]))
+        whole = F.to_json(F.struct(*[F.col(f"`{c}`") for c in frame.columns]), {"ignoreNullFields": "false"})
+        hit = frame.select(failed.alias("tests"), whole.alias("failing")).where(F.size("tests") > 0)
+        parts.append(hit.select("failing", F.lit(1).cast("bigint").alias("weight"), F.explode("tests").alias("test")))
+    for t in tests:
+        if t.failing is not None:
+            whole = F.to_json(F.struct(*[F.col(f"`{c}`") for c in t.failing.columns]), {"ignoreNullFields": "false"})
+            weight = F.col(t.weight).cast("bigint") if t.weight else F.lit(1).cast("bigint")
+            parts.append(t.failing.select(whole.alias("failing"), weight.alias("weight"), F.lit(t.name).alias("test")))
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
+def run_and_store(spark: SparkSession, table: str, tests: Sequence[DataTest]) -> DataFrame:
+    """Run every test in one job that writes all failing rows to `table`, and count what was written; one row per test.
+
+    The table is partitioned by test.  It changes in one statement, to the rows of this run, and a run that fails leaves
+    those of the last one.  Counts are sums over the stored rows, so the report and the table cannot differ.
+    """
+    if len({t.name for t in tests}) < len(tests):
+        raise ValueError("test names are not unique")
+    failing = failures_of(tests)
+    if failing is None:
+        failing = spark.createDataFrame([], FAILURES)
+    publish(spark, table, failing, ["test"])
+    stored = {r.test: r.n for r in spark.table(table).groupBy("test").agg(F.sum("weight").alias("n")).collect()}
+    results = [(t.name, n := stored.get(t.name, 0), threshold_status(n, t.warn_if, t.error_if)) for t in tests]
+    return small_frame(spark, results, "test string, failures bigint, status string")
+
+
+def run_on_partitions(
+    spark: SparkSession, table: str, tests_of: Callable[[Sequence[str]], Sequence[DataTest]], column: str, changed: Sequence[str]
+) -> DataFrame:
+    """As `run_and_store`, for tests of single rows, on the partitions that changed alone.
+
+    `tests_of` gives the tests over the rows of the named partitions of `column`, which the frames must hold.  Failing rows
+    of other partitions stay as they were found; the counts are those of the whole table.
+    """
+    tests = list(tests_of(changed))
+    if any(t.failing is not None for t in tests):
+        raise ValueError("tests over groups need all partitions")
+    failing = failures_of(tests).withColumn("part", F.get_json_object("failing", f"$.{column}"))
+    if spark.catalog.tableExists(table):
+        failing = spark.table(table).where(~F.coalesce(F.col("part").isin(list(changed)), F.lit(False))).unionByName(failing)
+    publish(spark, table, failing.select("failing", "weight", "part", "test"), ["test"])
+    stored = {r.test: r.n for r in spark.table(table).groupBy("test").agg(F.sum("weight").alias("n")).collect()}
+    results = [(t.name, n := stored.get(t.name, 0), threshold_status(n, t.warn_if, t.error_if)) for t in tests]
+    return small_frame(spark, results, "test string, failures bigint, status string")

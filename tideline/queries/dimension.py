@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tideline.operators.lookup import current_versions, lookup_with_fallback, point_in_time_join
+from tideline.operators.lookup import as_of_join, current_versions, lookup_with_fallback, point_in_time_join
 from tideline.operators.quality import unmapped_report
 from tideline.operators.scd2 import open_versions, present_dimension, scd2_apply
 from tideline.operators.versions import create_database, replace_contents
@@ -162,3 +162,33 @@ def point_in_time_version_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = {"vendor_key": "vendor_key", "vendor_name": "vendor_name"}
     joined = point_in_time_join(lines, stored_dimension(spark, sf_dir), "l_suppkey", "vendor_id", "moment", values)
     return joined.drop("moment")
+
+
+_PRICE_LISTS_SQL = """
+lists AS (
+  SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS orders FROM orders GROUP BY 1
+), versions AS (
+  SELECT orders, CAST(day AS TIMESTAMP) AS valid_from,
+         coalesce(CAST(lead(day) OVER (ORDER BY day) AS TIMESTAMP), TIMESTAMP '9999-12-31 00:00:00') AS valid_to
+  FROM lists
+)"""
+
+
+@query(
+    f"""
+    WITH {_PRICE_LISTS_SQL}
+    SELECT l_orderkey, l_linenumber, l_shipdate, valid_from AS list_from, orders AS list_orders
+    FROM lineitem LEFT JOIN versions ON l_shipdate >= valid_from AND l_shipdate < valid_to
+    """
+)
+def as_of_many_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line meets one of over a thousand daily versions of the one list that all lines share."""
+    days = table(spark, sf_dir, "orders").groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count(F.lit(1)).alias("orders"))
+    opened = days.select(F.lit(1).alias("list"), F.col("day").cast("timestamp").alias("valid_from"), "orders")
+    ends = F.lead("valid_from").over(Window.partitionBy("list").orderBy("valid_from"))  # a row per day
+    versions = opened.withColumn("valid_to", F.coalesce(ends, F.lit("9999-12-31").cast("timestamp"))).withColumn("list_from", F.col("valid_from"))
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_shipdate", F.col("l_shipdate").cast("timestamp").alias("moment"), F.lit(1).alias("list")
+    )
+    values = {"list_from": "list_from", "orders": "list_orders"}
+    return as_of_join(lines, versions, "list", "list", "moment", values, rows_per_group=20_000).drop("moment", "list")

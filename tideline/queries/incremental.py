@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from tideline.frames import small_frame
 from tideline.functions import period_of, surrogate_key
 from tideline.operators.aggregate import max_or_default
-from tideline.operators.merge import dedupe_source, high_mark, high_marks, merge_into, since, since_per_feed
-from tideline.operators.snapshot import Statistics, manifest, stored_marks
+from tideline.operators.contract import SchemaMismatch
+from tideline.operators.merge import DuplicateKeys, dedupe_source, high_mark, high_marks, merge_into, since, since_per_feed
+from tideline.operators.quality import verify_min_rows
+from tideline.operators.snapshot import Statistics, manifest, publish, stored_marks
 from tideline.operators.versions import create_database
 from tideline.plans import trips as plan
 from tideline.queries.feeds import TRIPS_SQL, key_sql, raw_feeds, table
@@ -153,6 +155,33 @@ def statistics_of_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stated.join(marks, "feed")
 
 
+@query(
+    f"""
+    WITH {_LINES_SQL}
+    SELECT *, 1 AS run, 'SchemaMismatch,SchemaMismatch,SchemaMismatch,DuplicateKeys,ValueError,ValueError' AS refused FROM lines
+    """
+)
+def refusals_change_nothing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column more, one less, one retyped, a key twice, a NULL and too few rows: each run is refused, the rows stay."""
+    target, refused = new_table(spark, "refused"), []
+    _merge(spark, target, lines(spark, sf_dir, 1), snapshot=True)
+    again = lines(spark, sf_dir, 2)
+    attempts = [
+        lambda: _merge(spark, target, again.withColumn("more", F.lit(1))),
+        lambda: _merge(spark, target, again.drop("flag")),
+        lambda: _merge(spark, target, again.withColumn("vendor_id", F.col("vendor_id").cast("string"))),
+        lambda: _merge(spark, target, again.unionByName(again)),
+        lambda: _merge(spark, target, again.withColumn("flag", F.nullif("flag", F.lit("R"))), not_null=["flag"]),
+        lambda: publish(spark, target, again.limit(3), ["source_period"], verify=lambda rows: verify_min_rows(rows, 200)),
+    ]
+    for attempt in attempts:
+        try:
+            attempt()
+        except (SchemaMismatch, DuplicateKeys, ValueError) as error:
+            refused.append(type(error).__name__)
+    return spark.table(target).withColumn("refused", F.lit(",".join(refused)))
+
+
 @query(
     f"WITH {TRIPS_SQL} SELECT trip_key, tlc_type, source_period, pickup_at, total_amount FROM trips "
     "WHERE source_period >= (SELECT coalesce(max(strftime(l_shipdate, '%Y-%m')), '1900-01') FROM lineitem "

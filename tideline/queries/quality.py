@@ -164,3 +164,38 @@ def data_test_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         quality.relationships_test("known_vendors", lines, "l_suppkey", vendor_lookup(spark, sf_dir), "vendor_id"),
     ]
     return quality.run_tests(spark, tests, failures_in=database)
+
+
+@query(
+    f"""
+    WITH {VENDORS_SQL}, failing AS (
+      SELECT 'known_flags' AS test, l_orderkey AS key, 1 AS weight FROM lineitem WHERE l_returnflag NOT IN ('A', 'N')
+      UNION ALL SELECT 'known_vendors', l_suppkey, count(*) FROM lineitem
+      WHERE l_suppkey NOT IN (SELECT vendor_id FROM vendors) GROUP BY l_suppkey
+      UNION ALL SELECT 'quantity_small', l_orderkey, 1 FROM lineitem WHERE l_quantity > 45
+      UNION ALL SELECT 'order_once', l_orderkey, 1 FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1
+    ), sums AS (
+      SELECT test, CAST(sum(weight) AS BIGINT) AS failures, count(*) AS stored_rows, CAST(sum(key) AS BIGINT) AS key_sum FROM failing GROUP BY test
+    )
+    SELECT test, coalesce(failures, 0) AS failures, coalesce(stored_rows, 0) AS stored_rows, coalesce(key_sum, 0) AS key_sum,
+           CASE WHEN coalesce(failures, 0) > error_if THEN 'error' WHEN coalesce(failures, 0) > warn_if THEN 'warn' ELSE 'pass' END AS status
+    FROM (VALUES ('known_flags', 0, 1000000000000), ('known_vendors', 0, 100), ('quantity_small', 0, 0), ('order_once', NULL, 0),
+      ('order_key_present', NULL, 0)) v(test, warn_if, error_if) LEFT JOIN sums USING (test)
+    """
+)
+def stored_test_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five tests in one writing job; what is counted is what is stored, and it is read back from there."""
+    lines = table(spark, sf_dir, "lineitem")
+    folder = workspace(spark, "failures")
+    stored = create_database(spark, f"failures_{folder[-12:]}", folder) + ".failing"
+    tests = [
+        quality.accepted_values_test("known_flags", lines, "l_returnflag", ["A", "N"], error_if=1_000_000_000_000),
+        quality.relationships_test("known_vendors", lines, "l_suppkey", vendor_lookup(spark, sf_dir), "vendor_id"),
+        quality.DataTest("quantity_small", lines, F.col("l_quantity") > 45, warn_if=0),
+        quality.unique_test("order_once", lines, "l_orderkey"),
+        quality.not_null_test("order_key_present", lines, "l_orderkey"),
+    ]
+    report = quality.run_and_store(spark, stored, tests)
+    key = F.coalesce(F.get_json_object("failing", "$.l_orderkey"), F.get_json_object("failing", "$.l_suppkey")).cast("bigint")
+    held = spark.table(stored).groupBy("test").agg(F.count(F.lit(1)).alias("stored_rows"), F.sum(key).alias("key_sum"))
+    return report.join(held, "test", "left").fillna(0, ["stored_rows", "key_sum"])

@@ -14,6 +14,7 @@ from tideline.queries.conform import STAND_IN_SENTINELS, raw_zones
 from tideline.queries.feeds import table
 from tideline.queries.registry import query
 from tideline.session import workspace
+from tideline.sources.archive import archive_files, contents
 from tideline.sources.files import scan_csv
 from tideline.sources.reference import archive_copy, content_changed, content_hashes, load_seed, validate_reference
 
@@ -110,3 +111,22 @@ def content_change(spark: SparkSession, sf_dir: str) -> DataFrame:
         for name, seen, ledger in looks
     ]
     return results[0].unionByName(results[1]).unionByName(results[2])
+
+
+@query(
+    """
+    SELECT c_custkey AS customer_id, c_name AS customer_name, c_nationkey AS nation_id, c_acctbal AS balance,
+           c_mktsegment AS segment, true AS same_bytes FROM customer
+    """
+)
+def archived_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV files are archived byte for byte; the rows come from the archive, the hashes from both sides."""
+    folder = workspace(spark, "archive")
+    source = f"{folder}/source"
+    table(spark, sf_dir, "customer").repartition(3).write.option("header", True).csv(source)
+    archive_files(spark, source, f"{folder}/kept", LOADED_AT)
+    kept = contents(spark, f"{folder}/kept", LOADED_AT.strftime("%Y%m%d%H%M%S"))
+    hashes = content_hashes(spark, f"{source}/*.csv").withColumnRenamed("sha256", "source_sha256")
+    both = kept.join(hashes, "path").withColumn("same_bytes", F.sha2("content", 256) == F.col("source_sha256"))
+    lines = both.select("same_bytes", F.posexplode(F.split(F.decode("content", "utf-8"), "\n")).alias("n", "line")).where("n > 0 AND line <> ''")
+    return lines.select(F.from_csv("line", _CUSTOMERS).alias("c"), "same_bytes").select("c.*", "same_bytes")
