@@ -15,13 +15,15 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.llm.kernels import NOT_WORD, mix, window_hashes, word_hashes
-from tideline.llm.rows import Columns, identified, map_columns
+from tideline.llm.rows import Columns, identified, map_columns, unpacked, with_value
 
 SHINGLE, SIMILARITY = 5, 0.8
 BLOCKS, RADIUS = 8, 15  # at most RADIUS bits in 8 blocks: some block has at most one
@@ -126,10 +128,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARIT
     are matched each for itself, so repeated rows give repeated results; no items give no rows.
     """
     spark = docs.sparkSession
-    items = [(r["item_id"], r["text"]) for r in benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").orderBy("item_id").collect()]
     result = spark.createDataFrame([], OUT)
-    for first in range(0, len(items), BLOCK_OF_ITEMS):
-        shared = spark.sparkContext.broadcast(index_items(items[first : first + BLOCK_OF_ITEMS]))
+    for shared in _indexes(spark, benchmark):
 
         def kernel(batches: Iterator[Columns], shared=shared) -> Iterator[dict]:
             names = ("item_id", "similarity", "distance", "start_word", "n_words")
@@ -140,3 +140,26 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARIT
 
         result = result.union(map_columns(identified(docs), kernel, OUT))
     return result
+
+
+def without_items(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """The rows of `docs` that hold no item, with all their columns.
+
+    Each row is judged by its own text, so rows without id, or of one id, do not decide about each other.
+    """
+    for shared in _indexes(docs.sparkSession, benchmark):
+
+        def hit(texts: list[str], shared=shared) -> list[bool]:
+            return [bool(find_items(t, shared.value, least)) for t in texts]
+
+        judged = with_value(docs, hit, "boolean").where(~F.col("value"))
+        docs = judged.select(*unpacked(judged, docs.columns))
+    return docs
+
+
+def _indexes(spark: SparkSession, benchmark: DataFrame) -> Iterator[Broadcast]:
+    """The items in blocks of BLOCK_OF_ITEMS, each as a broadcast index."""
+    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").orderBy("item_id").toLocalIterator()
+    items = ((r["item_id"], r["text"]) for r in rows)
+    while block := list(islice(items, BLOCK_OF_ITEMS)):
+        yield spark.sparkContext.broadcast(index_items(block))

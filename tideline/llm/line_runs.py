@@ -13,10 +13,13 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from tideline.llm.rows import Columns, identified, map_columns, stored
+from tideline.llm.rows import Columns, free_name, identified, map_columns, packed, stored, unpacked
 
 LEAST_WORDS = 4  # of a repeated run of 1, 2, 4, ... lines; shorter ones stay
 
@@ -70,35 +73,52 @@ def repeated_runs(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
             return found
 
 
+_COUNTS = ("kept", "n_lines", "n_deleted", "longest_run")
+
+
+def _judged(docs: DataFrame, least_words: int) -> DataFrame:
+    """(whole, kept, n_lines, n_deleted, longest_run), one row per row of `docs`."""
+    runs = repeated_runs(docs, least_words).groupBy("doc_id", "row").agg(F.collect_set(F.struct("line", "lines")).alias("runs"))
+    runs = runs.select(F.col("doc_id").alias("of_id"), F.col("row").alias("of_row"), "runs")
+    own = packed(docs, F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("row"))
+    joined = own.join(runs, F.col("id").eqNullSafe(F.col("of_id")) & (F.col("row") == F.col("of_row")), "left").select("whole", "runs")
+    ends = [StructField("kept", StringType()), *[StructField(n, IntegerType()) for n in _COUNTS[1:]]]
+    struct = StructType([joined.schema["whole"], *ends])
+
+    def kernel(batches):
+        schema = to_arrow_schema(struct)
+        for b in batches:
+            whole = b.column("whole")
+            texts, runs_of = whole.field("text").to_pylist(), b.column("runs").to_pylist()
+            made = [without_runs(t or "", [(r["line"], r["lines"]) for r in held or ()]) for t, held in zip(texts, runs_of)]
+            columns = [pa.array([m[i] for m in made], type=schema.field(n).type) for i, n in enumerate(_COUNTS)]
+            yield pa.RecordBatch.from_arrays([whole.cast(schema.field("whole").type), *columns], schema=schema)
+
+    return joined.mapInArrow(kernel, struct)
+
+
 def dedupe_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """All columns of `docs`, and `kept` (the text without its later copies), `n_lines`, `n_deleted`,
-    `longest_run` (lines of the longest united run deleted).
+    `longest_run` (lines of the longest united run deleted), each with `_1`, ... after it where `docs` has that name.
 
     Lines end at newlines and are compared whole.  A NULL text is an empty one, which is one empty line, and stays.
     A text whose lines are all copies has `kept` empty and `n_deleted` = `n_lines`.  Rows equal in
     doc_id and text are treated alike.
     """
-    runs = repeated_runs(docs, least_words).groupBy("doc_id", "row").agg(F.collect_set(F.struct("line", "lines")).alias("runs"))
-    runs = runs.select(F.col("doc_id").alias("__id"), F.col("row").alias("__row"), "runs")
-    text = F.coalesce("text", F.lit(""))
-    joined = docs.join(runs, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__row")), "left")
-    own = [F.col(c) for c in docs.columns]
-    schema = docs.select("*").withColumns({"kept": F.lit(""), "n_lines": F.lit(0), "n_deleted": F.lit(0), "longest_run": F.lit(0)}).schema
-    joined = joined.select(F.struct(*own).alias("whole"), text.alias("__text"), "runs")
-
-    def kernel(batches: Iterator[Columns]) -> Iterator[dict]:
-        for b in batches:
-            out: dict[str, list] = defaultdict(list)
-            for whole, content, held in zip(b["whole"], b["__text"], b["runs"]):
-                kept, n, deleted, longest = without_runs(content, [(r["line"], r["lines"]) for r in held or ()])
-                for name, value in whole.items():
-                    out[name].append(value)
-                for name, value in (("kept", kept), ("n_lines", n), ("n_deleted", deleted), ("longest_run", longest)):
-                    out[name].append(value)
-            yield out
-
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    return map_columns(joined, kernel, ddl)
+    judged = _judged(docs, least_words)
+    return judged.select(*unpacked(judged, docs.columns), *[F.col(n).alias(free_name(docs, n)) for n in _COUNTS])
+
+
+def without_copies(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+    """The columns of `docs` with later copies of line runs gone from `text`, and `n_chars` made anew where that
+    changed it.  Rows of which nothing stays go; rows that had no text stay."""
+    judged = _judged(docs, least_words).where("n_deleted < n_lines")
+    deleted = F.col("n_deleted") > 0
+    changed = {"text": F.when(deleted, F.col("kept")).otherwise(F.col("whole").getField("text"))}
+    if "n_chars" in docs.columns:
+        counted = F.length("kept").cast(docs.schema["n_chars"].dataType)
+        changed["n_chars"] = F.when(deleted, counted).otherwise(F.col("whole").getField("n_chars"))
+    return judged.select(*unpacked(judged, docs.columns, changed))
 
 
 def without_runs(text: str, runs: list[tuple[int, int]]) -> tuple[str, int, int, int]:

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm.components import components
-from tideline.llm.rows import Columns, identified, map_columns, stored
+from tideline.llm.rows import Columns, identified, map_columns, stored, packed, unpacked
 
 SHINGLE, RADIUS, SEED, DENSE = 3, 2, 42, 32
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -117,6 +117,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """
     least = grouped(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     kept = least.groupBy("root", F.col("doc_id").alias("__kept")).agg(F.min("row").alias("__text")).drop("root").distinct()
-    held = docs.withColumn("__row", F.xxhash64(F.coalesce("text", F.lit(""))))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__kept")) & (F.col("__row") == F.col("__text"))
-    return held.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__row"]).drop("__row")
+    own = packed(docs, F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("row"))
+    same = F.col("id").eqNullSafe(F.col("__kept")) & (F.col("row") == F.col("__text"))
+    one = own.join(kept, same, "left_semi").dropDuplicates(["id", "row"])
+    return one.select(*unpacked(one, docs.columns))

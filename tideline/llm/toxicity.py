@@ -17,14 +17,14 @@ import math
 import re
 import string
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.rows import Columns, identified, map_columns, stored
+from tideline.llm.rows import Columns, free_name, identified, map_columns, stored, unpacked, with_value
 
 BINS = 1 << 18  # of the trigram table; the tables of shorter contexts are smaller
 SAMPLE = 20_000  # expected number of labelled rows at most that the classifier is fitted on
@@ -365,18 +365,21 @@ def score_documents(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     return map_columns(identified(docs), kernel, "doc_id long, score double")
 
 
+def _scores(model: ToxicityModel) -> Callable[[list[str]], list[float]]:
+    known: dict[str, str] = {}
+    return lambda texts: [model.score(t, known) for t in texts]
+
+
 def with_scores(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    """All columns of `docs`, and `score`; rows in, rows out."""
-    held = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("whole"), F.coalesce("text", F.lit("")).alias("__text"))
-    schema = docs.withColumn("score", F.lit(0.0)).schema
+    """All columns of `docs` and the score, as `score`, or `score_1`, ... where `docs` has such a column; rows in, rows out."""
+    scored = with_value(docs, _scores(model), "double")
+    return scored.select(*unpacked(scored, docs.columns), F.col("value").alias(free_name(docs, "score")))
 
-    def kernel(batches: Iterator[Columns]) -> Iterator[dict]:
-        known: dict[str, str] = {}
-        for b in batches:
-            yield {c: [w[c] for w in b["whole"]] for c in docs_columns} | {"score": [model.score(t, known) for t in b["__text"]]}
 
-    docs_columns = docs.columns
-    return map_columns(held, kernel, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema))
+def keep_clean(docs: DataFrame, model: ToxicityModel, below: float) -> DataFrame:
+    """The rows whose score is less than `below`, each judged by its own text; ids and other columns play no part."""
+    scored = with_value(docs, _scores(model), "double").where(F.col("value") < below)
+    return scored.select(*unpacked(scored, docs.columns))
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
