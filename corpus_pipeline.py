@@ -23,38 +23,32 @@ from tideline.llm.rows import stored, table
 TOXIC_FROM = 0.3
 
 
-def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents whose doc_id is not among `ids`; a NULL doc_id matches a NULL one."""
-    ids = ids.select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(ids, F.col("doc_id").cast("long").eqNullSafe(F.col("__gone")), "left_anti")
-
-
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows scored toxic go, each by its own text.  A NULL or empty text has the score of no evidence; repeated rows
+    have one fate, ids and ties of them none; an empty table stays empty."""
     labels = table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id")))
-    model = toxicity.learn(docs, labels)
-    return toxicity.with_scores(docs, model).where(F.col("score") < TOXIC_FROM).select(docs.columns)
+    return toxicity.keep_clean(docs, toxicity.learn(docs, labels), TOXIC_FROM)
 
 
 def dedupe_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """`text` and `n_chars` are those of what is kept; a document that had no text keeps its row."""
-    deduped = line_runs.dedupe_lines(docs).where("n_deleted < n_lines")
-    changed = F.col("n_deleted") > 0
-    kept = {"text": F.when(changed, F.col("kept")).otherwise(F.col("text"))}
-    if "n_chars" in docs.columns:
-        kept["n_chars"] = F.when(changed, F.length("kept").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return deduped.withColumns(kept).select(docs.columns)
+    """`text` and `n_chars` are those of what is kept; a document that had no text keeps its row.  The first place of
+    a run is that of the least (doc_id, text hash), NULL ids first; rows equal in both change alike."""
+    return line_runs.without_copies(docs)
 
 
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the row with the least doc_id stays, of its repeated rows one.  Rows of one doc_id,
+    or without any, in different groups all stay; NULL and empty texts are one group."""
     return simhash.keep_one(docs)
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = stored(decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")), "contaminated")
-    return without_ids(docs, found)
+    """Rows that hold an item go, each judged by its own text whatever its id; NULL and empty texts hold none."""
+    return decontaminate.without_items(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row is packed, repeated ones and those without id or text included; no rows give no sequences."""
     return packing.pack(docs, tokenizer_file())
 
 
