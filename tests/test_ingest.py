@@ -6,6 +6,7 @@ import pyarrow.parquet as pq
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideline.operators import ingest
 from tideline.operators.ingest import committed, copy_into, latest_files, loaded_files, reset
@@ -228,3 +229,25 @@ def test_stream_loads_each_file_once(spark, landing, tmp_path):
     write(landing, "2025-02", id=ints(3), fare=pa.array([3.0]))
     stream_copy_into(spark, str(landing), target, checkpoint, schema, actor="me")
     assert rows(spark.read.parquet(target).select("id", "period")) == [(1, "2025-01"), (2, "2025-01"), (3, "2025-02")]
+
+
+def test_stream_of_versions_reads_replaced_files_and_survives_a_stop(spark, landing, tmp_path, monkeypatch):
+    from tideline.streaming import restated
+
+    schema = T.StructType.fromDDL("id int, fare double, period string")
+    target, state = f"{tmp_path}/streamed", f"{tmp_path}/state"
+    run = lambda: restated.stream_versions(spark, str(landing), target, state, schema, actor="me")
+    assert run() == 1 and run() == 0
+    path = write(landing, "2025-01", id=ints(1, 2, 3), fare=pa.array([1.0, 2.0, 9.0]))
+    os.utime(path, (2_000_000_000, 2_000_000_000))
+    write(landing, "2025-02", id=ints(7), fare=pa.array([7.0]))
+    lineage = restated.with_lineage
+    monkeypatch.setattr(restated, "with_lineage", lambda *a: (_ for _ in ()).throw(RuntimeError("stopped")))
+    with pytest.raises(Exception, match="stopped"):
+        run()  # noted, not loaded
+    assert restated.newest_versions(spark, target, schema).count() == 2
+    monkeypatch.setattr(restated, "with_lineage", lineage)
+    assert run() == 0  # nothing new is noted; the restart loads what was
+    assert rows(restated.newest_versions(spark, target, schema).select("id", "period")) == [(1, "2025-01"), (2, "2025-01"), (3, "2025-01"), (7, "2025-02")]
+    assert restated.all_versions(spark, target, schema).count() == 6
+    assert run() == 0 and restated.all_versions(spark, target, schema).count() == 6

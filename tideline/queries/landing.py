@@ -22,7 +22,7 @@ from tideline.session import workspace
 from tideline.sources.candidates import candidate_window, classify_candidates, to_fetch
 from tideline.sources.drift import read_evolving, schema_drift, schema_fingerprints
 from tideline.sources.files import list_files, scan_parquet, size_mismatches, with_lineage
-from tideline.streaming import stream_copy_into
+from tideline.streaming import newest_versions, stream_copy_into, stream_versions
 
 LOADED_AT = datetime(2002, 1, 1)
 LINES = (
@@ -436,3 +436,40 @@ def stream_ingest_once(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream_copy_into(spark, folder, target, checkpoint, keyed, loaded_at=LOADED_AT, actor="loader")
     stream_copy_into(spark, folder, target, checkpoint, keyed, loaded_at=LOADED_AT, actor="loader")
     return spark.read.parquet(target).select(*LINES, "period")
+
+
+@query(
+    f"""
+    SELECT {", ".join(c if c != "l_extendedprice" else "l_extendedprice + CASE WHEN l_shipdate >= TIMESTAMP '2001-10-01' "
+    "AND l_shipdate < TIMESTAMP '2001-11-01' THEN 1 ELSE 0 END AS l_extendedprice" for c in LINES)},
+    strftime(l_shipdate, '%Y-%m') AS period FROM lineitem WHERE l_shipdate >= TIMESTAMP '2001-01-01'
+    """
+)
+def stream_restated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream of file versions: old months, then new ones beside a month published again at its path, then nothing."""
+    folder, target, state = (workspace(spark, n) for n in ("landing", "streamed", "state"))
+    keyed = T.StructType([*table(spark, sf_dir, "lineitem").schema, T.StructField("period", T.StringType())])
+    rows = lines(spark, sf_dir).where("period >= '2001-01'")
+    month = F.col("period") == "2001-10"
+    for day, part in enumerate((F.col("period") <= "2001-10", F.col("period") > "2001-10")):
+        land(rows.where(part & ~month).repartition("period"), folder, "period")
+        again = rows.where(month).withColumn("l_extendedprice", F.col("l_extendedprice") + day)
+        once = again.coalesce(1).sortWithinPartitions("l_orderkey", "l_linenumber")
+        _write_at(spark, once.drop("period"), f"{folder}/period=2001-10", "month.parquet")
+        stream_versions(spark, folder, target, state, keyed, loaded_at=LOADED_AT, actor="loader")
+    if stream_versions(spark, folder, target, state, keyed, loaded_at=LOADED_AT, actor="loader"):
+        raise AssertionError("a version was noted twice")
+    return newest_versions(spark, target, keyed).select(*LINES, "period")
+
+
+def _write_at(spark: SparkSession, df: DataFrame, folder: str, name: str) -> None:
+    """One landed file under a name of its own, replacing what was there."""
+    staged = workspace(spark, "one-file")
+    df.write.parquet(staged)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    source, target = hadoop.Path(staged), hadoop.Path(f"{folder}/{name}")
+    system = source.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    (part,) = [f.getPath() for f in system.globStatus(hadoop.Path(f"{staged}/part-*.parquet"))]
+    system.mkdirs(target.getParent())
+    system.delete(target, False)
+    system.rename(part, target)
