@@ -5,6 +5,8 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -12,10 +14,12 @@ import pytest
 import xxhash
 from conftest import rows
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from tideline.llm import chains, chat, components, decontaminate, fingerprints, line_runs, main_text, packing, simhash, sparse_suffixes, toxicity
 from tideline.llm.kernels import minimiser_positions, word_hashes
 from tideline.llm.queries import QUERIES, tokenizer_file
+from tideline.llm.tokens import in_portions
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, whole string"
 
@@ -183,6 +187,56 @@ def test_main_text_of_a_page(spark):
     assert got[2] == ("", 0) and got[3] == ("", 0) and got[4] == ("deep", 4) and got[1][1] == len(got[1][0])
 
 
+ARTICLE = "<h1>Head</h1><p>First, with commas, and some length to it.</p><p>Second, with more, much more text in it.</p>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f'<div class="content has-sidebar">{ARTICLE}</div><div class="sidebar"><p>Buy, now</p></div>',
+        f'<div id="content" class="no-comments">{ARTICLE}</div><div class="comments"><p>A reader, long comment, with commas, and more.</p></div>',
+        f'<form action="/x"><div>{ARTICLE}</div><input name=q></form><nav><a href=x>menu</a></nav>',
+        f'<div class="page-banner-wrapper"><div class="social">{ARTICLE}</div></div><footer>foot</footer>',
+        f'<article><section class="social-history">{ARTICLE}</section></article><div class="notice"><p>Notice, of something</p></div>',
+        f'<article><div class="notice-board-story">{ARTICLE}</div></article><form><p>Subscribe, please</p></form>',
+    ],
+)
+def test_an_article_is_not_lost_to_a_class_or_a_form(page):
+    assert main_text.main_text(f"<html><body>{page}</body></html>") == "Head\nFirst, with commas, and some length to it.\nSecond, with more, much more text in it."
+
+
+def test_names_of_other_parts_leave_them_out():
+    for name in ("site-footer", "cookie-banner", "comment-list", "share-buttons", "ad-slot", "sidebar-inner", "related-posts", "reader-comments", "main-menu", "ad"):
+        page = f'<article>{ARTICLE}<div class="{name}"><p>Other text, of another part, with commas.</p></div></article>'
+        assert "Other" not in main_text.main_text(page), name
+
+
+HOSTILE = {
+    "quotes": "<a '" * 20_000, "attributes": '<p a="' * 20_000, "closed late": '<p a="' * 20_001 + ">", "open": "<a" * 40_000, "raw": "<script" * 20_000,
+    "raws": "<script>" * 20_000, "number": "&#" + "9" * 100_000 + ";", "less": "<" * 200_000, "inline": "<b>" * 20_000 + "x<hr>" * 20_000,
+    "mixed": "<a \"'>" * 20_000, "long": "<div class=\"x\" a='y\">'><p>text, text</p>" * 25_000,
+}
+
+
+@pytest.mark.parametrize("kind", HOSTILE)
+def test_hostile_pages_take_time_in_proportion(kind):
+    start = time.process_time()
+    main_text.main_text(HOSTILE[kind])
+    assert time.process_time() - start < 10
+
+
+def test_plain_and_odd_tags_are_cut_alike():
+    r, signs = random.Random(2), ["<", ">", "/", "p", " ", "a", "=", '"', "'", "!", "-", "\n", "script"]
+    for _ in range(3000):
+        page = "".join(r.choice(signs) for _ in range(r.randrange(1, 40)))
+        tokens = list(main_text._Tokens(page))
+        assert all(a < b for a, b, *_ in tokens) and all(x[1] <= y[0] for x, y in zip(tokens, tokens[1:]))
+        for start, end, tag, closing, rest in tokens:
+            if tag:  # the first `>` outside quotes ends it
+                assert page[start:end] == f"<{'/' * closing}{page[start + 1 + closing : start + 1 + closing + len(tag)]}{rest}>"
+                assert not re.sub(r"\"[^\"]*\"|'[^']*'", "", rest).strip("abcdefghijklmnopqrstuvwxyz =/!<-\n")
+
+
 # ------------------------------------------------------------------ 4 decontamination
 
 
@@ -354,13 +408,11 @@ def test_fingerprints_are_homomorphic_and_edits_follow_the_next_document(spark):
 
 
 def test_ids_are_those_of_the_tokenizer():
-    from tokenizers import Tokenizer
-
     path = tokenizer_file()
     whole = Tokenizer.from_file(path)
     for text in ["", " ", "a ", " a", "a  b", "a\n b", "a \nb", "don't 's x", "x <|endoftext|> y", "\n\n a", "a. b.. c, d., .", "é　ß, 1. 2,", " ".join(prose(1, 500))]:
         want = np.array([*whole.encode(text, add_special_tokens=False).ids, 0], dtype="<u4").tobytes()
-        assert packing.encode(text, path) == want, text
+        assert b"".join(in_portions([text], path)) + packing.END == want, text
 
 
 def test_every_piece_has_one_place(spark):
@@ -374,6 +426,40 @@ def test_every_piece_has_one_place(spark):
     pieces = [r for r in got if r.doc_id == 5]
     assert len(pieces) > 2 and all(r.length == 512 for r in pieces if r.piece) and {r.piece for r in pieces} == set(range(len(pieces)))
     assert packing.pack(docs_of(spark, []), tokenizer_file()).count() == 0
+    # Every row of every document, cut and checked anew.
+    whole, want = Tokenizer.from_file(tokenizer_file()), []
+    for doc_id, text in texts:
+        ids = [*whole.encode(text or "", add_special_tokens=False).ids, 0]
+        first = len(ids) % 512 or min(512, len(ids))
+        cuts = [0, *range(first, len(ids), 512), len(ids)] if len(ids) > first else [0, len(ids)]
+        for piece, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            want.append((str(doc_id), piece, a, b - a, zlib.crc32(np.array(ids[a:b], dtype="<u4").tobytes())))
+    assert sorted((str(r.doc_id), r.piece, r.start, r.length, r.ids_crc32) for r in got) == sorted(want)
+
+
+@pytest.mark.parametrize("times", [1, 100, 1000, 5000])
+def test_packing_is_no_worse_than_best_fit_and_planned_by_counts(times):
+    histogram = {n: times for n in range(1, 2048)}
+    chosen = packing.plan(histogram)
+    assert sum(n for _, n in chosen) <= 1.001 * sum(packing.best_fit_decreasing(histogram, {}, 2048).values())
+    assert sum(n for _, n in chosen) <= 1.001 * -(-sum(n * times for n in range(1, 2048)) // 2048)
+    assert len(chosen) <= 2 * 2048
+    assert Counter({l: sum(n * c for cfg, c in chosen for k, n in cfg if k == l) for l in histogram}) == Counter(histogram)
+
+
+def test_best_fit_by_counts_is_best_fit_piece_by_piece():
+    r = random.Random(12)
+    for _ in range(50):
+        histogram = {r.randrange(1, 40): r.randrange(1, 9) for _ in range(12)}
+        rooms: list[int] = []
+        for length in sorted((l for l, n in histogram.items() for _ in range(n)), reverse=True):
+            fitting = [i for i, room in enumerate(rooms) if room >= length]
+            i = min(fitting, key=lambda i: rooms[i], default=None)
+            if i is None:
+                rooms.append(40)
+                i = len(rooms) - 1
+            rooms[i] -= length
+        assert sum(packing.best_fit_decreasing(histogram, {}, 40).values()) == len(rooms)
 
 
 def test_plan_covers_the_histogram_exactly():
@@ -393,8 +479,8 @@ def test_a_small_histogram_is_packed_to_its_bound():
 # ------------------------------------------------------------------ queries and pipeline
 
 
-def test_all_ten_are_registered():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
+def test_all_operators_are_registered():
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_pipeline_stages_keep_columns_and_act(spark, tmp_path):
@@ -424,3 +510,59 @@ def test_pipeline_stages_keep_columns_and_act(spark, tmp_path):
     assert 303 in kept[2] and 303 not in kept[3] and len(kept[2]) - len(kept[3]) == 1
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path))
     assert {x.doc_id for x in packed.collect()} == set(kept[3])
+
+
+CLASHING = ["kept", "n_lines", "n_deleted", "longest_run", "runs", "__row", "__id", "__text", "__gone", "__kept", "score", "value", "whole", "row", "id", "a.b", "of`tick"]
+
+
+@pytest.fixture
+def clashing(spark):
+    """Rows without id, of one id, equal rows; extra columns named like inner ones."""
+    r = random.Random(4)
+    own = [" ".join(prose(i, 40)) for i in range(12)]
+    rows_ = [(None, own[0]), (None, own[1]), (5, own[2]), (5, own[3]), (6, own[4]), (6, own[4]), (7, None), (8, ""), (9, own[5] + "\n" + own[2]), (None, None)]
+    rows_ += [(100 + i, " ".join(prose(500 + i, 30)) + (" idiot moron" if i % 4 == 0 else "")) for i in range(60)]
+    schema = DOCS.rsplit(",", 1)[0] + "".join(f", `{c.replace('`', '``')}` string" for c in CLASHING)
+    r.shuffle(rows_)
+    return spark.createDataFrame([(i, t, "en", "s", len(t or ""), *[f"{c}-{i}" for c in CLASHING]) for i, t in rows_], schema)
+
+
+def whole_rows(df):
+    return Counter(tuple(x) for x in df.collect())
+
+
+def test_stages_keep_clean_rows_and_columns_whatever_the_ids_and_names(spark, clashing, tmp_path):
+    import corpus_pipeline
+
+    stages = dict(corpus_pipeline.STAGES)
+    labels = [(100 + i, 1, int(i % 4 == 0)) for i in range(60)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    items = [(1, " ".join(prose(0, 40))), (2, " ".join(prose(2, 40)))]  # in one row without id, in one row of id 5 and in 9
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    before = whole_rows(clashing)
+    held = {" ".join(prose(0, 40)), " ".join(prose(2, 40)), " ".join(prose(5, 40)) + "\n" + " ".join(prose(2, 40))}
+    got = stages["benchmark_decontamination"](spark, clashing, str(tmp_path))
+    assert got.columns == clashing.columns and whole_rows(got) == Counter({k: n for k, n in before.items() if k[1] not in held})
+    got = stages["toxicity"](spark, clashing, str(tmp_path))
+    assert got.columns == clashing.columns and got.schema == clashing.schema
+    assert whole_rows(got) == Counter({k: n for k, n in before.items() if "idiot" not in (k[1] or "")})
+    got = stages["simhash_near_dedup"](spark, clashing, str(tmp_path))
+    assert got.columns == clashing.columns
+    kept = whole_rows(got)
+    assert set(kept) - set(before) == set() and max(kept.values()) == 1
+    assert {k[:2] for k in before} - {k[:2] for k in kept} <= {(7, None), (8, ""), (None, None)} and len({k[1] or "" for k in kept}) == len({k[1] or "" for k in before})
+    got = stages["line_dedup"](spark, clashing, str(tmp_path))
+    changed = {k: n for k, n in whole_rows(got).items() if k not in before}
+    assert got.columns == clashing.columns and [(k[0], k[1], k[4]) for k in changed] == [(9, " ".join(prose(5, 40)), len(" ".join(prose(5, 40))))]
+    assert sum(whole_rows(got).values()) == sum(before.values())
+    for name, stage in stages.items():
+        assert stage(spark, clashing.limit(0), str(tmp_path)).count() == 0, name
+
+
+def test_operators_name_their_columns_beside_clashing_ones(spark, clashing):
+    deduped = line_runs.dedupe_lines(clashing)
+    assert deduped.columns == [*clashing.columns, "kept_1", "n_lines_1", "n_deleted_1", "longest_run_1"]
+    assert whole_rows(deduped.select(*[F.col(f"`{c.replace('`', '``')}`") for c in clashing.columns])) == whole_rows(clashing)
+    model = toxicity.ToxicityModel(toxicity.character_model(clashing.limit(5)), {}, -3.0)
+    scored = toxicity.with_scores(clashing, model)
+    assert scored.columns == [*clashing.columns, "score_1"] and scored.count() == clashing.count()
