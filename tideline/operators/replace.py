@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tideline.functions import instant
 from tideline.operators.quality import verify_min_rows
-from tideline.operators.snapshot import publish
-from tideline.operators.versions import Staged
+from tideline.operators.snapshot import is_snapshot, publish
+from tideline.operators.versions import Staged, changed_columns, replace_contents
 
 
 def stamped(df: DataFrame, sha256: str | None, loaded_at: datetime | None = None) -> DataFrame:
@@ -29,8 +29,11 @@ def replace_table(
 ) -> Staged:
     """Give `table` the rows and columns of `df`, stamped.
 
-    Rows are written beside the old ones and the name is switched in one statement, to other columns as well; with
-    fewer than `min_rows` written it is not switched.  The
+    Rows are written beside the old ones and the table is switched in one statement; with fewer
+    than `min_rows` written it is not switched.  With other columns than before, the name becomes one over snapshots
+    (see `snapshot`), and stays one.  The
     hash is provenance: without one the rows read `unknown` and the load goes on.
     """
-    return publish(spark, table, stamped(df, sha256, loaded_at), verify=lambda rows: verify_min_rows(rows, min_rows))
+    rows = stamped(df, sha256, loaded_at)
+    changes = spark.catalog.tableExists(table) and (is_snapshot(spark, table) or changed_columns(spark, table, rows.schema))
+    return (publish if changes else replace_contents)(spark, table, rows, verify=lambda written: verify_min_rows(written, min_rows))

@@ -208,11 +208,16 @@ def require_no_nulls(staged: Staged, table: str) -> None:
         raise ValueError(f"{table}: NULL in columns declared not null: {broken}")
 
 
-def require_same_columns(spark: SparkSession, table: str, schema: T.StructType) -> None:
-    """The catalog keeps a table's columns, so contents of another shape would be lost or unreadable."""
+def changed_columns(spark: SparkSession, table: str, schema: T.StructType) -> list[str]:
+    """Columns added, removed or retyped against the stored ones."""
     held = {f.name.lower(): f.dataType.simpleString() for f in spark.table(table).schema}
     given = {f.name.lower(): f.dataType.simpleString() for f in schema}
-    changed = sorted(c for c in held.keys() | given.keys() if held.get(c) != given.get(c))
+    return sorted(c for c in held.keys() | given.keys() if held.get(c) != given.get(c))
+
+
+def require_same_columns(spark: SparkSession, table: str, schema: T.StructType) -> None:
+    """The catalog keeps a table's columns, so contents of another shape would be lost or unreadable."""
+    changed = changed_columns(spark, table, schema)
     if changed:
         raise ValueError(f"{table}: columns differ from the stored ones, drop the table to change them: {changed}")
 
