@@ -338,17 +338,32 @@ def brute_lines(texts, least=line_runs.LEAST_WORDS):
     for doc_id, text in texts:
         lines, gone = (text or "").split("\n"), set()
         for start in range(len(lines)):
-            k = 1
-            while start + k <= len(lines):
-                run = tuple(lines[start : start + k])
+            runs = [tuple(lines[start:end]) for end in range(start + 1, len(lines) + 1)]
+            for run in runs:
                 if run in seen and sum(len(x.split()) for x in run) >= least:
-                    gone |= set(range(start, start + k))
-                seen.add(run)
-                k *= 2
+                    gone |= set(range(start, start + len(run)))
+            seen.update(runs)
         out[doc_id] = "\n".join(x for i, x in enumerate(lines) if i not in gone)
     return out
 
 
+def test_runs_of_any_length_and_their_maximal_ones(spark):
+    texts = [(1, "a\nb\nc d\nx"), (2, "y\na\nb\nc d\nz"), (3, "\n".join("pqrstuv")), (4, "w\n" + "\n".join("pqrstuv") + "\no"), (5, "m n o p\n" * 6)]
+    runs = line_runs.repeated_runs(docs_of(spark, texts)).collect()
+    assert {(r.doc_id, r.line, r.lines) for r in runs} == {(2, 1, 3), (4, 1, 7), (5, 1, 5)}
+    kept = {r.doc_id: r.kept for r in line_runs.dedupe_lines(docs_of(spark, texts)).collect()}
+    assert kept == brute_lines(texts) and kept[2] == "y\nz" and kept[4] == "w\no"
+
+
+def test_runs_over_a_small_alphabet_like_brute_force(spark):
+    r = random.Random(70)
+    texts = [(i, "\n".join(r.choice(["a", "b", "c d", "", "e f g h"]) for _ in range(r.randrange(1, 40)))) for i in range(25)]
+    texts += [(100 + i, texts[i][1] + "\n" + texts[i + 1][1]) for i in range(8)]
+    for least in (1, 4, 9):
+        got = {x.doc_id: x.kept for x in line_runs.dedupe_lines(docs_of(spark, texts), least).collect()}
+        assert got == brute_lines(texts, least), least
+
+
 def test_repeated_runs_of_lines_go_like_brute_force(spark):
     r = random.Random(7)
     pool = [" ".join(prose(i, r.randrange(0, 7))) for i in range(12)]

@@ -1,11 +1,15 @@
-"""Line dedup: repeated runs of lines, found by distributed prefix doubling over line-ID sequences.
-
-Suffixes of the documents' line sequences are sorted into classes by their first 1, 2, 4, ... lines.  The
-class at depth 2^(k+1) is the pair of the classes of depth 2^k at a place and 2^k lines on; a suffix alone in
-its class is finished, as in the suffix array its neighbours share less.  A class with several members is
-an interval of the suffix array whose longest common prefix is at least 2^k lines.  In each interval the
-first place stands, and the run of 2^k lines at every later place is a copy.  Overlapping runs are united to
-the maximal ones, and their lines deleted.
+"""Line dedup: maximal repeated runs of lines, from the longest-common-prefix intervals of all line suffixes.
+
+Prefix doubling: suffixes of the documents' line sequences are put into classes by their first 1, 2, 4, ...
+lines.  The class at depth 2^(k+1) is the pair of the classes of depth 2^k at a place and 2^k lines on; a suffix
+alone in its class is finished.  A class with several members is an interval of the suffix array whose longest
+common prefix is at least 2^k lines.  Its inner intervals, of every length between 2^k and 2^(k+1), are found by
+falling powers: members that share the next 2^(k-1), ..., 2, 1 lines stay together and grow, the others part.
+Each inner class takes part by its first place only, so a place is refined at the depth where it first
+differs from all places before it.
+
+The result is, for every place, the longest run that begins there and at an earlier place too.  Which intervals
+there are does not depend on how line IDs are ordered, so 128-bit hashes stand for ranks.
 """
 
 from __future__ import annotations
@@ -21,7 +25,8 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tideline.llm.rows import Columns, free_name, identified, map_columns, packed, stored, unpacked
 
-LEAST_WORDS = 4  # of a repeated run of 1, 2, 4, ... lines; shorter ones stay
+LEAST_WORDS = 4  # of a repeated run of lines; shorter ones stay
+_PLACE = ["doc_id", "row", "line"]
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -48,29 +53,80 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return identified(docs).select("doc_id", F.xxhash64("text").alias("row"), "text")
 
 
-def repeated_runs(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
-    """(doc_id, row, line, lines): runs of `lines` = 2^k lines, beginning at `line`, with at least
-    `least_words` words, that occur at an earlier place (in the order of doc_id, row, line)."""
-    level = stored(_lines(_keyed(docs).dropDuplicates(["doc_id", "row"])), "lines")
-    found, length = None, 1
-    while True:
-        place = F.struct("doc_id", "row", "line")
-        classes = level.groupBy("a", "b").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-        # Stored, so that a very common line is a skewed join of two inputs, which Spark splits.
-        shared = stored(level.join(stored(classes, "line-firsts"), ["a", "b"]).withColumn("later", place != F.col("first")).drop("first"), "line-classes")
-        copies = shared.where(F.col("later") & (F.col("words") >= least_words)).select("doc_id", "row", "line", F.lit(length).alias("lines"))
-        found = copies if found is None else found.union(copies)
+def _firsts(frame: DataFrame) -> DataFrame:
+    """(a, b, first): the classes with several members.
+
+    Stored, so that a very common line is a skewed join of two inputs, which Spark splits."""
+    classes = frame.groupBy("a", "b").agg(F.min(F.struct(*_PLACE)).alias("first"), F.count("*").alias("n"))
+    return stored(classes.where("n > 1").drop("n"), "line-firsts")
+
+
+def _doubled(level: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
+    """For each depth 2^k: the places in classes of several members, and those that stand for a part of their class
+    that goes on differently: the first place of each class of depth 2^(k+1), and places in none."""
+    later = F.struct(*_PLACE) != F.col("first")
+    shared = stored(level.join(_firsts(level), ["a", "b"]).withColumn("later", later).drop("first"), "line-classes")
+    levels, parts, length = [], [], 1
+    while not shared.isEmpty():
+        levels.append(shared)
         ahead = Window.partitionBy("doc_id", "row").orderBy("line").rangeBetween(length, length)
         pairs = shared.select(
-            "doc_id", "row", "line",
+            *_PLACE,
+            F.struct("a", "b", "words", "later").alias("own"),
             F.xxhash64("a", F.first("a").over(ahead)).alias("a"),
             F.xxhash64(F.lit(length), "b", F.first("b").over(ahead)).alias("b"),
             (F.col("words") + F.first("words").over(ahead)).alias("words"),
         )
-        level = stored(pairs.where("words IS NOT NULL"), "lines")
+        pairs = stored(pairs, "lines")
+        whole = pairs.where("words IS NOT NULL")  # a place too near the end of its runs has no pair
+        classed = stored(whole.join(_firsts(whole), ["a", "b"], "left").withColumn("later", later).drop("first"), "line-classes")
+        ends = pairs.where("words IS NULL").select(*_PLACE, "own").union(classed.where("later IS NULL OR NOT later").select(*_PLACE, "own"))
+        parts.append(ends.select(*_PLACE, "own.*", F.lit(length).alias("lines")))
+        shared = classed.where("later IS NOT NULL").drop("own")
         length *= 2
-        if level.isEmpty():
-            return found
+    return levels, parts
+
+
+def _refined(levels: list[DataFrame], parts: list[DataFrame]) -> DataFrame:
+    """(doc_id, row, line, lines, words) of the longest earlier run, by falling powers of two from each depth."""
+    begun = [p.withColumn("best", F.when(F.col("later"), F.struct("lines", "words"))).drop("later") for p in parts]
+    state = begun[-1]
+    for k in reversed(range(len(levels) - 1)):
+        on = levels[k].select(F.col("doc_id").alias("of_id"), F.col("row").alias("of_row"), F.col("line").alias("at"), F.struct("a", "b", "words").alias("next"))
+        here = F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("row") == F.col("of_row")) & (F.col("line") + F.col("lines") == F.col("at"))
+        met = state.join(on, here, "left").select(
+            *_PLACE, F.struct("a", "b", "lines", "words").alias("own"), "best", F.col("next.words").alias("more"),
+            F.when(F.col("next").isNotNull(), F.xxhash64("a", "next.a")).alias("a"),
+            F.when(F.col("next").isNotNull(), F.xxhash64(F.lit(-1 - k), "b", "next.b")).alias("b"),
+        )
+        met = stored(met, "line-parts")
+        whole = met.where("more IS NOT NULL")
+        joined = whole.join(_firsts(whole), ["a", "b"], "left")
+        grown = joined.where("first IS NOT NULL").select(
+            *_PLACE, "a", "b", (F.col("own.words") + F.col("more")).alias("words"), (F.col("own.lines") + (1 << k)).alias("lines"), "best", "first"
+        )
+        best = F.when(F.struct(*_PLACE) != F.col("first"), F.struct("lines", "words")).otherwise(F.col("best"))
+        alone = joined.where("first IS NULL").select(*_PLACE, "own", "best").union(met.where("more IS NULL").select(*_PLACE, "own", "best"))
+        state = grown.withColumn("best", best).drop("first").unionByName(alone.select(*_PLACE, "own.*", "best"))
+        if k:  # depth 1 holds runs of one line, which do not grow
+            state = state.unionByName(begun[k])
+    whole = state if len(levels) == 1 else state.unionByName(begun[0])
+    return whole.where("best IS NOT NULL").select(*_PLACE, "best.*")
+
+
+def repeated_runs(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+    """(doc_id, row, line, lines): the maximal runs with at least `least_words` words, beginning at `line`, that
+    occur at an earlier place (in the order of doc_id, row, line), which they may overlap.
+
+    Of the runs of one document those within another are left out."""
+    lines = stored(_lines(_keyed(docs).dropDuplicates(["doc_id", "row"])), "lines")
+    levels, parts = _doubled(lines)
+    if not levels:
+        return lines.where("false").select(*_PLACE, F.lit(0).alias("lines"))
+    runs = _refined(levels, parts).where(F.col("words") >= least_words)
+    before = Window.partitionBy("doc_id", "row").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
+    end = F.col("line") + F.col("lines")
+    return runs.withColumn("reached", F.max(end).over(before)).where(F.col("reached").isNull() | (F.col("reached") < end)).select(*_PLACE, "lines")
 
 
 _COUNTS = ("kept", "n_lines", "n_deleted", "longest_run")

@@ -72,22 +72,28 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_dedup_sql(documents: str = "documents", least_words: int = line_runs.LEAST_WORDS) -> str:
-    """Every run of 1, 2, 4, ... lines with enough words, after its first place, is deleted."""
+    """Every run of any number of lines with enough words that occurs at an earlier place is deleted: runs grow by a
+    line at a time while they are shared."""
     return f"""
-WITH l AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM {documents}),
-p AS (SELECT doc_id, ls, unnest(range(len(ls))) AS line FROM l),
-w AS (
-  SELECT doc_id, line, k, array_to_string(ls[line + 1 : line + k], chr(10)) AS content
-  FROM p, (SELECT CAST(power(2, i) AS BIGINT) AS k FROM range(20) r(i)) WHERE line + k <= len(ls)
+WITH RECURSIVE l AS (
+  SELECT doc_id, unnest(range(len(ls))) AS line, unnest(ls) AS content FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM {documents})
 ),
-r AS (SELECT *, row_number() OVER (PARTITION BY k, content ORDER BY doc_id, line) AS nth FROM w),
-g AS (
-  SELECT DISTINCT doc_id, line + unnest(range(k)) AS line FROM r
-  WHERE nth > 1 AND len(regexp_extract_all(content, '[^\\s]+')) >= {least_words}
+p AS MATERIALIZED (
+  SELECT doc_id, line, content, row_number() OVER (ORDER BY doc_id, line) AS place, dense_rank() OVER (ORDER BY content) AS id,
+    len(regexp_extract_all(content, '[^\\s]+')) AS words FROM l
 ),
+r AS (
+  SELECT 1 AS k, doc_id, line, place, first, words FROM (SELECT *, min(place) OVER w AS first, count(*) OVER w AS n FROM p WINDOW w AS (PARTITION BY id)) WHERE n > 1
+  UNION ALL
+  SELECT k, doc_id, line, place, first, words FROM (
+    SELECT r.k + 1 AS k, r.doc_id, r.line, r.place, r.words + p.words AS words, min(r.place) OVER w AS first, count(*) OVER w AS n
+    FROM r JOIN p ON p.doc_id = r.doc_id AND p.line = r.line + r.k WINDOW w AS (PARTITION BY r.first, p.id)
+  ) WHERE n > 1
+),
+g AS (SELECT DISTINCT doc_id, line + unnest(range(k)) AS line FROM (SELECT doc_id, line, max(k) AS k FROM r WHERE place > first AND words >= {least_words} GROUP BY doc_id, line)),
 k AS (
   SELECT p.doc_id, count(*) AS n_lines, count(g.line) AS n_deleted,
-    coalesce(string_agg(p.ls[p.line + 1], chr(10) ORDER BY p.line) FILTER (g.line IS NULL), '') AS text
+    coalesce(string_agg(p.content, chr(10) ORDER BY p.line) FILTER (g.line IS NULL), '') AS text
   FROM p LEFT JOIN g ON p.doc_id = g.doc_id AND p.line = g.line GROUP BY p.doc_id
 )
 SELECT doc_id, CAST(n_lines AS INTEGER) AS n_lines, CAST(n_deleted AS INTEGER) AS n_deleted, text FROM k"""
