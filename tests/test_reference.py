@@ -5,6 +5,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tideline.operators.replace import replace_table
+from tideline.operators.versions import create_database
+from tideline.plans.runs import reload_seeds
 from tideline.sources.candidates import candidate_window, classify_candidates, to_fetch
 from tideline.sources.files import scan_csv
 from tideline.sources.reference import (
@@ -95,3 +97,32 @@ def test_window_and_status(spark):
     assert (status["yellow/2026-01"], status["yellow/2025-12"], status["yellow/2025-11"]) == ("new", "unchanged", "restated")
     assert list(status.values()).count("unpublished") == 13
     assert {r.key for r in to_fetch(classified).collect()} == {"yellow/2026-01", "yellow/2025-11"}
+
+
+SEEDS = {"vendors": "vendor_id bigint, vendor_name string", "types": "trip_type bigint, label string"}
+
+
+def test_seeds_are_reloaded_whole_or_not_at_all(spark, tmp_path):
+    database = create_database(spark, "seeds_whole", str(tmp_path / "db"))
+
+    def load(vendors, types="trip_type,label\n1,hail\n"):
+        csv(tmp_path, vendors, "utf-8", "vendors.csv")
+        csv(tmp_path, types, "utf-8", "types.csv")
+        spark.catalog.clearCache()
+        return {name: rows(df) for name, df in reload_seeds(spark, database, str(tmp_path), SEEDS, datetime(2024, 1, 1)).items()}
+
+    first = load("vendor_id,vendor_name\n1,a\n2,b\n6,\n")
+    assert first["vendors"] == [(1, "a"), (2, "b"), (6, None)]
+    second = load("vendor_id,vendor_name\n2,c\n")
+    assert second == {"vendors": [(2, "c")], "types": [(1, "hail")]}
+    refused = [
+        ("vendor_id,vendor_name\n3,x\n", "trip_type,label\n1,a\n1,b\n", "types_trip_type_unique"),
+        ("vendor_id,vendor_name\n,x\n3,y\n", "trip_type,label\n1,a\n", "vendors_vendor_id_not_null"),
+        ("id,vendor_name\n3,x\n", "trip_type,label\n1,a\n", "header"),
+        ("vendor_id,vendor_name\n", "trip_type,label\n1,a\n", "0 rows"),
+        ("vendor_id,vendor_name\nthree,x\n", "trip_type,label\n1,a\n", "."),
+    ]
+    for vendors, types, message in refused:
+        with pytest.raises(Exception, match=message):
+            load(vendors, types)
+        assert rows(spark.table(f"{database}.vendors").select("vendor_id", "vendor_name")) == [(2, "c")], message

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -20,15 +20,16 @@ from tideline.operators.ingest import (
 )
 from tideline.operators.maintain import RETAIN_DAYS, TARGET_BYTES, compact, describe_detail, expire_versions
 from tideline.operators.merge import MergeResult, high_mark, high_marks, merge_into, since
-from tideline.operators.quality import ERROR_DAYS, WARN_DAYS, freshness, verify_counts
+from tideline.operators.quality import ERROR_DAYS, WARN_DAYS, freshness, run_tests, verify_counts
 from tideline.operators.replace import replace_table
 from tideline.operators.scd2 import open_versions, present_dimension, scd2_apply
 from tideline.operators.snapshot import Statistics, is_snapshot, stored_marks
 from tideline.operators.versions import replace_contents
 from tideline.plans import trips as plan
+from tideline.plans.checks import lookup_tests
 from tideline.sources.drift import schema_drift
 from tideline.sources.files import check_sizes, list_files, scan_csv
-from tideline.sources.reference import archive_copy, content_changed, content_hashes, validate_reference
+from tideline.sources.reference import archive_copy, content_changed, content_hashes, load_seed, validate_reference
 
 
 _OBSERVED = (
@@ -119,6 +120,33 @@ def refresh_reference(
     return "landed" if seen.changed else "reloaded"
 
 
+def reload_seeds(
+    spark: SparkSession, database: str, folder: str, seeds: Mapping[str, str] = plan.SEEDS, at: datetime | None = None
+) -> dict[str, DataFrame]:
+    """Code lists from `<folder>/<name>.csv` into tables of `database`, each replaced whole, so removed codes vanish.
+
+    The first declared column is the key.  Every list is read with its declared types, its header checked and its key
+    tested (present, occurs once) before any table is replaced; one that fails refuses the run, and all tables
+    stay.  Returns the stored lists, in the order of `seeds`.
+    """
+    read, keys, hashes = {}, {}, {}
+    for name, schema in seeds.items():
+        path = f"{folder}/{name}.csv"
+        read[name] = load_seed(spark, path, schema)
+        validate_reference(spark, path, read[name].columns, min_rows=1)
+        keys[name] = (read[name], read[name].columns[0])
+        # One hash per file; a list written in several parts is known by the hash of theirs.
+        parts = F.array_sort(F.collect_list("sha256"))
+        one = F.when(F.size(parts) == 1, parts[0]).otherwise(F.sha2(F.array_join(parts, ","), 256))
+        hashes[name] = content_hashes(spark, path).agg(one.alias("sha256")).first().sha256
+    failed = run_tests(spark, lookup_tests(keys)).where("failures > 0").collect()
+    if failed:
+        raise ValueError(f"seeds refused: {', '.join(f'{r.test}: {r.failures}' for r in failed)}")
+    for name, rows in read.items():
+        replace_table(spark, f"{database}.{name}", rows, hashes[name], at, min_rows=1)
+    return {name: spark.table(f"{database}.{name}").drop("_loaded_at", "_source_sha256") for name in seeds}
+
+
 def refresh_vendor_dimension(
     spark: SparkSession, history: str, dimension: str, trips: DataFrame, vendors: DataFrame, as_of: datetime
 ) -> None:

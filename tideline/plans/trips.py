@@ -127,6 +127,14 @@ def create_raw_table(spark: SparkSession, table: str, clock_prefix: str) -> None
     apply_governance(spark, table, RAW_TAGS, "Trips as landed; append-only")
 
 
+SEEDS = {
+    "vendor_lookup": "vendor_id bigint, vendor_name string",
+    "rate_code_lookup": "rate_code_id bigint, rate_code_description string",
+    "payment_type_lookup": "payment_type bigint, payment_type_description string",
+    "trip_type_lookup": "trip_type bigint, trip_type_description string",
+}
+
+
 def code_list(spark: SparkSession, values: dict[int, str], key: str, value: str) -> DataFrame:
     """A code list as rows.  Literal rows, so Spark knows their size and broadcasts them."""
     rows = ", ".join(f"({code}L, {quoted(text)})" for code, text in values.items())

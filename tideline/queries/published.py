@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 from tideline.operators.ingest import committed, latest_files
 from tideline.operators.quality import run_tests
+from tideline.operators.scd2 import open_versions, present_dimension
 from tideline.operators.versions import create_database
 from tideline.plans import checks
 from tideline.plans import trips as plan
-from tideline.plans.runs import check_raw_freshness, load_feed, refresh_trip_fact, refresh_vendors_of_loads
+from tideline.plans.runs import check_raw_freshness, load_feed, refresh_trip_fact, refresh_vendors_of_loads, reload_seeds
 from tideline.queries.conform import raw_zones
-from tideline.queries.enrich import ENRICHED_SQL, enriched, vendor_dimension
-from tideline.queries.feeds import code_lists, raw_feeds, vendor_lookup
+from tideline.queries.enrich import ACTOR, AS_OF, ENRICHED_SQL, enriched, vendor_dimension
+from tideline.queries.feeds import CODES_SQL, TRIPS_SQL, VENDORS_SQL, code_lists, raw_feeds, vendor_lookup
 from tideline.queries.landing import land
 from tideline.queries.registry import query
 from tideline.session import workspace
@@ -136,3 +137,42 @@ def published_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
         *checks.fact_tests(spark.read.parquet(fact), zones),
     ]
     return run_tests(spark, tests)
+
+
+@query(
+    f"""
+    WITH {TRIPS_SQL}, {VENDORS_SQL}, {CODES_SQL}
+    SELECT coalesce(upper(v.vendor_name), 'Unknown vendor (' || t.vendor_id || ')') AS vendor_name,
+           coalesce(p.payment_type_description, 'Unknown payment type (' || t.payment_type || ')') AS payment_type_description,
+           count(*) AS trips
+    FROM trips t
+    LEFT JOIN vendors v ON t.vendor_id = v.vendor_id AND v.vendor_id % 7 <> 0
+    LEFT JOIN payment_types p ON t.payment_type = p.payment_type AND p.payment_type <> 2
+    GROUP BY ALL
+    """
+)
+def seeds_to_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code lists as CSV files: loaded; loaded again with other names and fewer codes; then with a key that occurs
+    twice, which is refused and changes nothing.  The fact is named by what is stored."""
+    folder = workspace(spark, "seeds")
+    database = create_database(spark, f"seeds_{folder[-12:]}", f"{folder}/db")
+    vendors, (rates, payments, types) = vendor_lookup(spark, sf_dir), code_lists(spark)
+    renamed = vendors.where("vendor_id % 7 <> 0").withColumn("vendor_name", F.upper("vendor_name"))
+    fewer = payments.where("payment_type <> 2")
+    stored = {}
+    for day, lists in enumerate([(vendors, rates, payments, types), (renamed, rates, fewer, types), (vendors, rates, payments, types.union(types))], 1):
+        for name, rows in zip(plan.SEEDS, lists, strict=True):
+            rows.coalesce(1).write.option("header", True).csv(f"{folder}/{day}/{name}.csv")
+        try:
+            stored = reload_seeds(spark, database, f"{folder}/{day}", at=datetime(2002, 1, day))
+        except ValueError as refusal:
+            if day < 3 or "trip_type_lookup_trip_type_unique" not in str(refusal):
+                raise
+        else:
+            if day == 3:
+                raise AssertionError("a key that occurs twice was not refused")
+    named, *lists = stored.values()
+    opened = open_versions(named.withColumn("is_unmapped", F.lit(False)), "vendor_id", datetime(1995, 1, 1))
+    dimension = present_dimension(opened, "vendor_id", "vendor_key")
+    fact = plan.trip_fact(plan.all_trips(*raw_feeds(spark, sf_dir, locations=False)), dimension, *lists, AS_OF, ACTOR)
+    return fact.groupBy("vendor_name", "payment_type_description").agg(F.count("*").alias("trips"))
