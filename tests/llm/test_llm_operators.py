@@ -19,6 +19,7 @@ from tokenizers import Tokenizer
 from tideline.llm import chains, chat, components, decontaminate, fingerprints, line_runs, main_text, packing, simhash, sparse_suffixes, toxicity
 from tideline.llm.kernels import minimiser_positions, word_hashes
 from tideline.llm.queries import QUERIES, tokenizer_file
+from tideline.llm.rows import map_columns
 from tideline.llm.tokens import in_portions
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, whole string"
@@ -430,6 +431,30 @@ def test_ids_are_those_of_the_tokenizer():
         assert b"".join(in_portions([text], path)) + packing.END == want, text
 
 
+def test_batches_are_cut_to_the_rows_asked_for(spark):
+    def kernel(batches):
+        for b in batches:
+            yield {"id": b["id"], "together": [len(b["id"])] * len(b["id"])}
+
+    for rows in (0, 1, 7, 1000):
+        got = map_columns(spark.range(0, 100, 1, 2), kernel, "id long, together int", rows).collect()
+        assert sorted(r.id for r in got) == list(range(100))
+        assert max(r.together for r in got) == min(rows or 50, 50)
+
+
+def test_places_of_the_plan_as_arrays():
+    chosen = [(((5, 1), (2, 2)), 3), (((5, 2),), 2), (((2, 4),), 1)]
+    keys, first, times, at = packing._slots(chosen)
+    places = []
+    for length, n in ((5, 7), (2, 10)):
+        key = (length << packing.RANK_BITS) + np.arange(n)
+        i = np.searchsorted(keys, key, side="right") - 1
+        copy, nth = np.divmod(key - keys[i], times[i])
+        places += [(s, o, length) for s, o in zip((first[i] + copy).tolist(), (at[i] + nth * length).tolist())]
+    want = [p for s in range(3) for p in ((s, 0, 5), (s, 5, 2), (s, 7, 2))] + [p for s in (3, 4) for p in ((s, 0, 5), (s, 5, 5))] + [(5, 2 * k, 2) for k in range(4)]
+    assert sorted(places) == sorted(want)
+
+
 def test_every_piece_has_one_place(spark):
     texts = [(100 + i, " ".join(prose(i, random.Random(i).randrange(1, 900)))) for i in range(60)] + ODD
     got = packing.pack(docs_of(spark, texts), tokenizer_file(), capacity=512, rounds=40).collect()

@@ -27,6 +27,8 @@ from tideline.llm.rows import Columns, identified, map_columns, stored
 from tideline.llm.tokens import in_portions
 
 CAPACITY, ROUNDS = 2048, 150
+RANK_BITS = 48  # of a key of length and rank
+AT_ONCE = 500  # documents that a task holds as Python texts at a time
 OPENED = (1 / 4096, 1 / 256, 1 / 16, 1 / 4, 1.0)  # shares of the sequences opened again while the rest is placed
 
 END = b"\0\0\0\0"
@@ -63,7 +65,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
             if out:
                 yield out
 
-    return map_columns(identified(docs), kernel, "doc_id long, piece int, start long, length long, ids_crc32 long, part int, rank long")
+    return map_columns(identified(docs), kernel, "doc_id long, piece int, start long, length long, ids_crc32 long, part int, rank long", AT_ONCE)
 
 
 def best_knapsack(lengths: np.ndarray, prices: np.ndarray, limits: np.ndarray, capacity: int) -> Configuration:
@@ -210,20 +212,20 @@ def best_fit_decreasing(left: dict[int, int], chosen: dict[Configuration, int],
     return packed
 
 
-def _slots(chosen: list[tuple[Configuration, int]]) -> dict[int, tuple]:
-    """By length: first ranks of the runs, and (first sequence, pieces in one sequence, offset of the first)."""
-    runs: dict[int, tuple[list, list]] = defaultdict(lambda: ([], []))
+def _slots(chosen: list[tuple[Configuration, int]]) -> tuple[np.ndarray, ...]:
+    """The runs of the plan by length and first rank: both in one key, first sequence, pieces in one sequence, offset of the first."""
     used: Counter[int] = Counter()
+    runs: list[tuple[int, int, int, int]] = []
     sequence = 0
     for config, times in chosen:
         offset = 0
         for length, n in config:
-            runs[length][0].append(used[length])
-            runs[length][1].append((sequence, n, offset))
+            runs.append((length << RANK_BITS | used[length], sequence, n, offset))
             used[length] += n * times
             offset += n * length
         sequence += times
-    return dict(runs)
+    found = np.array(sorted(runs), dtype=np.int64).reshape(-1, 4)
+    return tuple(found[:, i].astype(kind) for i, kind in enumerate((np.int64, np.int64, np.int32, np.int32)))
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, rounds: int = ROUNDS) -> DataFrame:
@@ -236,21 +238,17 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, rounds: int
     cut = stored(pieces(docs, tokenizer, capacity), "pieces")
     counts = stored(cut.groupBy("part", "length").agg(F.count("*").alias("n")), "piece-counts")
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    slots = _slots(plan(histogram, capacity, rounds))
+    keys, first, times, at = _slots(plan(histogram, capacity, rounds))
     before = F.sum("n").over(Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     ranked = cut.join(counts.select("part", "length", F.coalesce(before, F.lit(0)).alias("before")), ["part", "length"])
 
     def kernel(batches: Iterator[Columns]) -> Iterator[dict]:
         for b in batches:
-            sequences, offsets = [], []
-            for length, rank, earlier in zip(b["length"], b["rank"], b["before"]):
-                starts, runs = slots[length]
-                k = rank + earlier
-                i = bisect.bisect_right(starts, k) - 1
-                sequence, n, offset = runs[i]
-                copy, nth = divmod(k - starts[i], n)
-                sequences.append(sequence + copy)
-                offsets.append(offset + nth * length)
+            length, rank, earlier = (np.array(b[c], dtype=np.int64) for c in ("length", "rank", "before"))
+            key = length << RANK_BITS | rank + earlier
+            i = np.searchsorted(keys, key, side="right") - 1
+            copy, nth = np.divmod(key - keys[i], times[i])
+            sequences, offsets = first[i] + copy, at[i] + nth * length
             yield {k: b[k] for k in ("doc_id", "piece", "start", "length", "ids_crc32")} | {"sequence_id": sequences, "offset": offsets}
 
     return map_columns(ranked, kernel, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")

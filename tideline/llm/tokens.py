@@ -15,7 +15,7 @@ from collections.abc import Iterable
 
 import numpy as np
 
-REMEMBERED = 500_000  # chunks in each of two generations, so a worker's memory is bounded
+REMEMBERED = 300_000  # chunks in each of two generations, so a worker's memory is bounded
 AT_ONCE = 1_000_000  # characters of texts whose unknown chunks are encoded in one call
 
 _POINTS = frozenset(".,;:!?)")
