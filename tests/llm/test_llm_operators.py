@@ -16,7 +16,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tideline.llm import chains, chat, components, decontaminate, fingerprints, line_runs, main_text, packing, simhash, sparse_suffixes, toxicity
+from tideline.llm import chains, chat, components, decontaminate, fingerprints, line_runs, main_text, packing, simhash, sparse_suffixes, tokens, toxicity
 from tideline.llm.kernels import minimiser_positions, word_hashes
 from tideline.llm.queries import QUERIES, tokenizer_file
 from tideline.llm.rows import map_columns
@@ -431,6 +431,26 @@ def test_ids_are_those_of_the_tokenizer():
         assert b"".join(in_portions([text], path)) + packing.END == want, text
 
 
+def test_latin_words_with_signs_go_to_the_bare_model():
+    words = ["\u00dcberall", "\u00f1and\u00fa,", "na\u00efve!!", "Stra\u00dfe$$$", "\u00e9t\u00e9.", "plain", "two%&,"]
+    letters = "".join(chr(c) for c in range(0x41, 0x100) if re.fullmatch(f"[{tokens._LATIN}]", chr(c)))
+    texts = [" ".join(words), "\n".join(words), " " + words[1] + "\n" + letters + " " + letters + "-;"]
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        own, whole = tokens.TextEncoder(tokenizer_file(name)), Tokenizer.from_file(tokenizer_file(name))
+        tokens_of_signs = own.encode([", !! $$$ . %&, -;", "\r".join(["a"])])  # signs alone are the tokenizer's
+        asked: list[str] = []
+        own._ids, kept = (lambda text: asked.append(text) or whole.encode(text, add_special_tokens=False).ids), own.tokenizer
+
+        class Watched:
+            def encode_batch_fast(self, given, **options):
+                asked.extend(given)
+                return kept.encode_batch_fast(given, **options)
+
+        own.tokenizer = Watched()
+        assert own.encode(texts) == [np.array(whole.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+        assert not re.search(f"[{tokens._LATIN}]", "".join(asked)), asked
+
+
 def test_batches_are_cut_to_the_rows_asked_for(spark):
     def kernel(batches):
         for b in batches:

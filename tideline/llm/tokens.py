@@ -8,6 +8,7 @@ tokenizer whole, so ids are always those of the whole text.
 
 from __future__ import annotations
 
+import codecs
 import json
 import os
 import re
@@ -17,22 +18,34 @@ import numpy as np
 
 REMEMBERED = 300_000  # chunks in each of two generations, so a worker's memory is bounded
 AT_ONCE = 1_000_000  # characters of texts whose unknown chunks are encoded in one call
+JOINED = 100  # words that the bare model takes as one text; it slows down with the length of a text
 
-_POINTS = frozenset(".,;:!?)")
-_ASCII_LETTERS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+_CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f]")
+_LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+_SIGNS = r"!-/:-@\[-`{-~"
 
+_SHIFTED = [*range(0x21), *range(0x7F, 0xA1), 0xAD]  # bytes that are not their own number in the byte alphabet
+_BYTES = "".join(" " if b == 0x20 else chr(256 + _SHIFTED.index(b)) if b in _SHIFTED else chr(b) for b in range(256))
 
-_CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f]")
+
+def _in_bytes(text: str) -> str:
+    """The text in the byte alphabet of the tokenizers; the spaces between its words stay."""
+    return text if text.isascii() else codecs.charmap_decode(text.encode(), "strict", _BYTES)[0]
 
 
 class _Spaced:
-    """Byte-level pre-tokenizing: a single space begins a chunk, a line end is one."""
+    """Byte-level pre-tokenizing: a single space begins a chunk, a line end is one.
+
+    A chunk is written without its space.  One that has none begins with \\n after a line end, which is part of it,
+    and with \\r at the start of a text and where a chunk is cut further; texts that hold \\r are odd.
+    """
 
-    rare = re.compile(r"[^\S \n]")
+    rare = re.compile(r"[^\S \n]|[\x00-\x08\x0e-\x1f]")
     doubled = ("<|", "  ", " \n", "\n ", "\n\n")
-    chunk = re.compile(r"\n| ?[^ \n]+")
     separator = "\n"
-    letters = re.compile(r" [A-Za-z]+")
+    letters = re.compile(f"[{_LATIN}]+")
+    unspaced = re.compile(f"\r[{_LATIN}]+")
+    signed = re.compile(f"([\n\r]?[^{_SIGNS}]*[{_LATIN}])([{_SIGNS}]+)")
 
     @staticmethod
     def marks(token: str) -> bool:
@@ -40,7 +53,7 @@ class _Spaced:
 
     @staticmethod
     def joined(words: list[str]) -> str:
-        return "".join(words).replace(" ", " \u0120")
+        return "\u0120" + _in_bytes(" ".join(words)).replace(" ", " \u0120")
 
     @staticmethod
     def cuts(marked: np.ndarray, n: int) -> np.ndarray:
@@ -48,21 +61,30 @@ class _Spaced:
 
     @classmethod
     def odd(cls, text: str) -> bool:
-        if any(d in text for d in cls.doubled) or text[:1] == "\n" or text[-1:] in (" ", "\n"):
+        if not text or any(d in text for d in cls.doubled) or text[0] == "\n" or text[-1] in " \n":
             return True
-        return bool(cls.rare.search(text) or _CONTROL.search(text))
+        return not text.replace("\n", "").isprintable() and bool(cls.rare.search(text))
+
+    @staticmethod
+    def chunks(text: str) -> list[str]:
+        return ("\r" + text).replace("\n", " \n").split(" ")
+
+    @staticmethod
+    def parts(start: str, signs: str) -> tuple[str, ...]:
+        return start, "\r" + signs
 
     @staticmethod
-    def plain(text: str) -> str:
-        return text
+    def written(chunk: str) -> str:
+        return chunk[1:] if chunk[0] == "\r" else " " + chunk
 
 
 class _Worded:
     """White space only parts words, and case is dropped."""
 
-    chunk = re.compile(r"\S+")
     separator = " \x01 "
-    letters = re.compile(r"[a-z]+")
+    letters = re.compile(f"[{_LATIN}]+")
+    unspaced = None
+    signed = re.compile(f"([^{_SIGNS}]*[{_LATIN}])([{_SIGNS}]+)")
 
     @staticmethod
     def marks(token: str) -> bool:
@@ -70,7 +92,7 @@ class _Worded:
 
     @staticmethod
     def joined(words: list[str]) -> str:
-        return " ".join(words)
+        return _in_bytes(" ".join(words).lower())
 
     @staticmethod
     def cuts(marked: np.ndarray, n: int) -> np.ndarray:
@@ -78,11 +100,19 @@ class _Worded:
 
     @staticmethod
     def odd(text: str) -> bool:
-        return "<|" in text or bool(_CONTROL.search(text))
+        return "<|" in text or (not text.replace("\n", "").isprintable() and bool(_CONTROL.search(text)))
 
     @staticmethod
-    def plain(text: str) -> str:
-        return text.lower() if text.isascii() else text
+    def chunks(text: str) -> list[str]:
+        return (text.lower() if text.isascii() else text).split()
+
+    @staticmethod
+    def parts(start: str, signs: str) -> tuple[str, ...]:
+        return start, signs
+
+    @staticmethod
+    def written(chunk: str) -> str:
+        return chunk
 
 
 class TextEncoder:
@@ -104,12 +134,12 @@ class TextEncoder:
         if self.rule:
             (self.separator_id,) = self._ids(self.rule.separator)
             self._prepare_letters(Tokenizer)
-        self.new: dict[str, bytes] = {}
+        self.new: dict[str, bytes] = self._first()
         self.old: dict[str, bytes] = {}
 
     def _prepare_letters(self, kind: type) -> None:
-        """The bare model for chunks of ASCII letters, which normalizer and pre-tokenizer leave as they are (a
-        space before them is one sign of the byte alphabet).  Each has one token that shows where it begins or ends."""
+        """The bare model for words of Latin letters, which normalizer and pre-tokenizer leave as they are but for case
+        and the byte alphabet (a space before them is one sign of it).  Each has one token that shows where it begins or ends."""
         from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.letters = kind(self.tokenizer.model)
@@ -139,48 +169,77 @@ class TextEncoder:
         return found
 
     def _chunked(self, texts: list[str], regular: list[int], found: list[bytes]) -> None:
-        cut = [self.rule.chunk.findall(self.rule.plain(texts[i])) for i in regular] if self.rule else []
-        missing = set().union(*cut).difference(self.new)
+        ids_of = self.new.get
+        missing: set[str] = set()
+        rows: list[tuple[list, list[int], list[str]]] = []
+        for i in regular:
+            chunks = self.rule.chunks(texts[i])
+            ids = list(map(ids_of, chunks))
+            gaps, at = [], -1
+            for _ in range(ids.count(None)):
+                at = ids.index(None, at + 1)
+                gaps.append(at)
+            unknown = [chunks[at] for at in gaps]
+            missing.update(unknown)
+            rows.append((ids, gaps, unknown))
         if missing:
             self._learn(missing)
-        ids_of = self.new.__getitem__
-        for i, chunks in zip(regular, cut):
-            found[i] = b"".join(map(ids_of, chunks))
+        for i, (ids, gaps, unknown) in zip(regular, rows):
+            for at, c in zip(gaps, unknown):
+                ids[at] = self.new[c]
+            found[i] = b"".join(ids)
         if len(self.new) > REMEMBERED:
-            self.old, self.new = self.new, {}
+            self.old, self.new = self.new, self._first()
+
+    def _first(self) -> dict[str, bytes]:
+        """Chunks that no call gives: the line end, and the nothing before a text that begins with a space."""
+        return {"\n": np.array([self.separator_id], dtype="<u4").tobytes(), "\r": b""} if self.rule is _Spaced else {}
 
     def _learn(self, missing: set[str]) -> None:
-        """Ids of chunks into the newer generation; those of the older one are taken over."""
-        known, old = self.new, self.old
-        bare: dict[str, str] = {}  # a word and one sign after it are tokens of their own
-        alone: set[str] = set()
+        """Ids of chunks into the newer generation; those of the older one are taken over.
+
+        Signs after a last letter are a token of their own, and a line end is one."""
+        known, rule = self.new, self.rule
+        self._take_over(missing)
+        cut: dict[str, tuple[str, ...]] = {}
         for c in missing:
-            ids = old.get(c)
-            if ids is not None:
-                known[c] = ids
-            elif c == self.rule.separator:
-                alone.add(c)
-            elif c[-1] in _POINTS and c[-2:-1] in _ASCII_LETTERS and c.isascii():
-                bare[c] = c[:-1]
-            else:
-                alone.add(c)
-        words = [w for w in dict.fromkeys([*alone, *bare.values(), *{c[-1] for c in bare}]) if w not in known and w != self.rule.separator]
-        for w in [w for w in words if w in old]:
-            known[w] = old[w]
-        words = [w for w in words if w not in known]
-        plain = list(filter(self.rule.letters.fullmatch, words))
-        if plain:
-            ids = np.array(self.letters.encode_batch_fast([self.rule.joined(plain)], add_special_tokens=False)[0].ids, dtype="<u4")
-            self._keep(plain, ids, self.rule.cuts(np.flatnonzero(self.marked[ids]), len(ids)), 0)
-        others = [w for w in words if w not in known]
+            if not c.isalpha():
+                signed = rule.signed.fullmatch(c)
+                parts = rule.parts(*signed.groups()) if signed else (c,)
+                if rule is _Spaced and c[0] == "\n":
+                    parts = ("\n", "\r" + parts[0][1:], *parts[1:])
+                if len(parts) > 1:
+                    cut[c] = parts
+        words = missing.difference(cut).union(*cut.values()).difference(known)
+        self._take_over(words)
+        ascii_words = [w for w in words if w.isascii() and w.isalpha()]
+        rest = [w for w in words if not (w.isascii() and w.isalpha())]
+        for plain in (ascii_words, list(filter(rule.letters.fullmatch, rest))):
+            if plain:
+                ids = self._bare([rule.joined(plain[k : k + JOINED]) for k in range(0, len(plain), JOINED)])
+                self._keep(plain, ids, rule.cuts(np.flatnonzero(self.marked[ids]), len(ids)), 0)
+        first = list(filter(rule.unspaced.fullmatch, rest)) if rule.unspaced else []
+        if first:
+            # After each word a space of the byte alphabet, which is a token of its own.
+            texts = [" ".join(first[k : k + JOINED]).replace("\r", "") for k in range(0, len(first), JOINED)]
+            ids = self._bare([_in_bytes(t).replace(" ", " \u0120 ") + " \u0120" for t in texts])
+            self._keep(first, ids, np.concatenate([[-1], np.flatnonzero(self.marked[ids])]), 1)
+        others = [w for w in rest if w not in known]
         if others:
-            joined = self.rule.separator.join(others)
+            joined = rule.separator.join(map(rule.written, others))
             ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype="<u4")
             self._keep(others, ids, np.concatenate([[-1], np.flatnonzero(ids == self.separator_id), [len(ids)]]), 1)
-        if self.rule.separator in alone:
-            known[self.rule.separator] = np.array([self.separator_id], dtype="<u4").tobytes()
-        for c, w in bare.items():
-            known[c] = known[w] + known[c[-1]]
+        for c, parts in cut.items():
+            known[c] = b"".join(map(known.__getitem__, parts))
+
+    def _take_over(self, chunks: set[str]) -> None:
+        """Those of the older generation go from `chunks` into the newer one."""
+        again = [c for c in chunks if c in self.old]
+        self.new.update(zip(again, map(self.old.__getitem__, again)))
+        chunks.difference_update(again)
+
+    def _bare(self, texts: list[str]) -> np.ndarray:
+        return np.array([i for e in self.letters.encode_batch_fast(texts, add_special_tokens=False) for i in e.ids], dtype="<u4")
 
     def _keep(self, words: list[str], ids: np.ndarray, cuts: np.ndarray, gap: int) -> None:
         """The ids between neighbouring cuts, `gap` of them left out at the start, are those of a word each."""
