@@ -16,7 +16,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tideline.llm import chains, chat, components, decontaminate, fingerprints, line_runs, main_text, packing, simhash, sparse_suffixes, tokens, toxicity
+from tideline.llm import chains, chat, components, decontaminate, fingerprints, line_runs, main_text, packing, places, simhash, sparse_suffixes, tokens, toxicity
 from tideline.llm.kernels import minimiser_positions, word_hashes
 from tideline.llm.queries import QUERIES, tokenizer_file
 from tideline.llm.rows import map_columns
@@ -164,6 +164,61 @@ def test_passages_are_found_whose_parts_occurred_before(spark):
         assert got.get((i + 2, i + 3), 0) >= 50, i
 
 
+def test_passages_with_a_word_changed_every_few_are_found(spark):
+    texts, r = {}, random.Random(70)
+    for k in range(200):  # runs of 6 to 11 words are left, so few that two texts seldom choose one place by content
+        whole = prose(r.random(), r.randrange(60, 81))
+        step = (7, 8, 10, 12)[k % 4]
+        for side in (whole, [f"changed{i}" if i % step == k % step else w for i, w in enumerate(whole)]):
+            texts[len(texts)] = prose(r.random(), r.randrange(5, 40)) + side + prose(r.random(), r.randrange(5, 40))
+    got = chains.fuzzy_passages(docs_of(spark, [(i, " ".join(t)) for i, t in texts.items()])).collect()
+    found = {(g.match_doc_id, g.doc_id) for g in got}
+    assert [i for i in range(0, len(texts), 2) if (i, i + 1) not in found] == []
+    for g in got:
+        x, y = texts[g.doc_id][g.start_word : g.start_word + g.n_words], texts[g.match_doc_id][g.match_start : g.match_start + g.match_words]
+        assert g.n_words == len(x) >= 50 and g.match_words == len(y) >= 50 and 0.8 <= g.identity <= 1
+
+
+def test_two_passages_with_other_words_between_them_are_both_found(spark):
+    first, second = prose(1, 400), prose(2, 400)
+    texts = [(i, " ".join(prose(10 + i, 20) + first + prose(20 + i, 300) + second + prose(30 + i, 20))) for i in range(2)]
+    got = chains.fuzzy_passages(docs_of(spark, texts)).collect()
+    assert sorted((g.doc_id, g.start_word, g.n_words, g.match_doc_id, g.match_start, g.identity) for g in got) == [(1, 20, 400, 0, 20, 1.0), (1, 720, 400, 0, 720, 1.0)]
+
+
+def test_repeats_within_a_document_match_an_earlier_place(spark):
+    again, last = prose(3, 60), prose(4, 55)
+    texts = {0: ["a"] * 3000, 1: ["b", "c"] * 1000, 2: again + prose(5, 300) + again + prose(6, 300) + again, 3: last + prose(7, 500) + last}
+    got = chains.fuzzy_passages(docs_of(spark, [(i, " ".join(t)) for i, t in texts.items()])).collect()
+    want = [(0, 1, 2999, 0, 0, 2999), (1, 2, 1998, 1, 0, 1998), (2, 360, 60, 2, 0, 60), (2, 720, 60, 2, 0, 60), (3, 555, 55, 3, 0, 55)]
+    assert sorted(tuple(g)[:6] for g in got) == want
+
+
+def test_first_places_of_classes_like_brute_force():
+    r = np.random.default_rng(9)
+    for repeated in (False, True):  # whether a doc_id has more than one text
+        docs = r.permutation(12)[:8] - 3 if not repeated else r.integers(0, 4, 8)
+        packer, seen = places.Packer(3), {}
+        for t, doc in enumerate(docs):
+            keys = r.integers(0, 15, 20).astype(np.uint64) << np.uint64(60)
+            keys |= np.uint64(1)
+            packer.add(int(doc), keys, np.arange(20))
+            for pos, key in enumerate(keys.tolist()):
+                n = sum(1 for (k, text, _), of in seen.items() for _ in of if k == key and text == t)
+                seen.setdefault((key, t, n), []).append((int(doc), pos))
+        want = {}
+        for (key, t, n), of in seen.items():
+            want.setdefault((key, n), []).extend(of)
+        rows, got = packer.rows(), Counter()
+        for i in range(len(rows["part"])):
+            for p in places.unpacked_places(iter([{k: v[i : i + 1] for k, v in rows.items()}]), 1):
+                c = places.classes(p)
+                for at, first, size in zip(c.at, c.first, c.size):
+                    got[int(p.key[at]), (int(p.of_text(at)), int(p.numbers[0][at])), (int(p.of_text(first)), int(p.numbers[0][first])), int(size)] += 1
+        counts = Counter(key for key, _ in [(k, p) for (k, _), of in want.items() for p in of])
+        assert got == Counter((key, p, min(of), len(of)) for (key, _), of in want.items() for p in of if counts[key] > 1)
+
+
 def test_a_chain_is_the_best_ordered_set_of_links():
     a, b = [0, 10, 500, 20, 30], [100, 110, 115, 120, 130]
     assert chains.chain(a, b)[0] == [0, 1, 3, 4]
